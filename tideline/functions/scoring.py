@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # Fixed values of the score.
 BASE = 0.5
@@ -50,23 +51,32 @@ def survival_score() -> Column:
     return F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0))
 
 
-@F.pandas_udf("double")
-def survival_score_arrow(
-    pclass: pd.Series, sex: pd.Series, age: pd.Series, fare: pd.Series, family_size: pd.Series
-) -> pd.Series:
-    """The score in pandas, one Arrow batch at a time."""
-    low, high = SMALL_FAMILY
-    score = pd.Series(BASE, index=pclass.index)
-    score += pclass.map(CLASS_POINTS).fillna(OTHER_CLASS)
-    score += sex.eq("FEMALE").map({True: FEMALE_POINTS, False: OTHER_SEX})
-    score += age.lt(YOUNG_BELOW) * YOUNG_POINTS + age.gt(OLD_ABOVE) * OLD_POINTS
-    score += fare.gt(FARE_ABOVE) * HIGH_FARE_POINTS + fare.lt(FARE_BELOW) * LOW_FARE_POINTS
-    score += family_size.between(low, high) * SMALL_FAMILY_POINTS
-    score += family_size.gt(high) * LARGE_FAMILY_POINTS
-    return score.clip(0.0, 1.0)
-
-
-@F.pandas_udf("double")
-def discounted_price(priced: pd.DataFrame) -> pd.Series:
+def survival_score_arrow() -> Column:
+    """The score in pandas, one Arrow batch at a time.
+
+    Defined inside, so Spark ships the function itself and workers need not import this module.
+    """
+
+    @F.pandas_udf(DoubleType())
+    def score(
+        pclass: pd.Series, sex: pd.Series, age: pd.Series, fare: pd.Series, family: pd.Series
+    ) -> pd.Series:
+        low, high = SMALL_FAMILY
+        total = BASE + pclass.map(CLASS_POINTS).fillna(OTHER_CLASS)
+        total += sex.eq("FEMALE").map({True: FEMALE_POINTS, False: OTHER_SEX})
+        total += age.lt(YOUNG_BELOW) * YOUNG_POINTS + age.gt(OLD_ABOVE) * OLD_POINTS
+        total += fare.gt(FARE_ABOVE) * HIGH_FARE_POINTS + fare.lt(FARE_BELOW) * LOW_FARE_POINTS
+        total += family.between(low, high) * SMALL_FAMILY_POINTS + family.gt(high) * LARGE_FAMILY_POINTS
+        return total.clip(0.0, 1.0)
+
+    return score(*[F.col(c) for c in SCORE_INPUTS])
+
+
+def discounted_price(price: str, discount: str) -> Column:
     """A function over one struct argument (price, discount), read by position."""
-    return priced.iloc[:, 0] * (1 - priced.iloc[:, 1])
+
+    @F.pandas_udf(DoubleType())
+    def discounted(priced: pd.DataFrame) -> pd.Series:
+        return priced.iloc[:, 0] * (1 - priced.iloc[:, 1])
+
+    return discounted(F.struct(price, discount))

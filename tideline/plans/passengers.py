@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tideline.functions.features import all_features
-from tideline.functions.scoring import survival_score
+from tideline.functions.scoring import survival_score, survival_score_arrow
 from tideline.operators import windows as w
 from tideline.operators.groups import GROUP_ROWS
 
@@ -59,6 +58,4 @@ def scored_natively(passengers: DataFrame) -> DataFrame:
 
 
 def scored_by_function(passengers: DataFrame) -> DataFrame:
-    from tideline.functions.scoring import SCORE_INPUTS, survival_score_arrow
-
-    return score_with(passengers, survival_score_arrow(*[F.col(c) for c in SCORE_INPUTS]))
+    return score_with(passengers, survival_score_arrow())
