@@ -53,7 +53,9 @@ def test_chunked_equals_plain(skewed, by, descending):
     assert rows_of(chunked) == rows_of(plain)
 
 
-def test_only_hot_groups_are_chunked(skewed):
+@pytest.mark.parametrize("few_groups", [0, 1000])
+def test_only_hot_groups_are_chunked(skewed, monkeypatch, few_groups):
+    monkeypatch.setattr(w, "FEW_GROUPS", few_groups)
     assert [r.g for r in hot_groups(skewed, ["g"], 1500).collect()] == ["hot"]
     assert hot_groups(skewed, ["g"], 100_000) is None
     order = w.Order("value", "key")
@@ -62,7 +64,7 @@ def test_only_hot_groups_are_chunked(skewed):
 
 
 def test_no_chunk_is_large(skewed):
-    rows = w.cut_in_chunks(skewed, w.Order("value", "key"), 200)
+    rows = w.plan_cuts(skewed, w.Order("value", "key"), 200)(skewed)
     sizes = rows.groupBy("_vb", "_kb").count().agg(F.max("count")).first()[0]
     assert sizes <= 600
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,23 @@ def money(name: str) -> Column:
     return F.col(name).cast("decimal(15,2)")
 
 
+def exact_sum(amount: Column, digits: int = 4) -> Column:
+    """Exact sum of amounts with at most ``digits`` decimals, as decimal(28,4).
+
+    Whole units and fractions are summed as two integers: the order of rows does not
+    matter, the sums stay in generated code (decimal sums do not), and they hold far more
+    rows of one group than a single scaled integer would. Amounts are taken as doubles, so
+    one amount is exact up to about 9e11 with four decimals.
+    """
+    number = amount.cast("double")
+    whole = F.floor(number)
+    parts = F.rint((number - whole) * float(10**digits)).cast("bigint")
+    unit = F.lit(Decimal(1).scaleb(-digits))
+    return (F.sum(whole).cast("decimal(28,0)") + F.sum(parts).cast("decimal(28,0)") * unit).cast(
+        "decimal(28,4)"
+    )
+
+
 def epoch_seconds(df: DataFrame, name: str) -> Column:
     """Seconds since 1970-01-01 of a date or timestamp column.
 

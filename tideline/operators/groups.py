@@ -12,40 +12,49 @@ from tideline.session import shared_folder
 
 # Rows of one group that a single task may sort. A bigger group is cut into chunks.
 GROUP_ROWS = 5_000_000
+# Spark adds up a sliding frame anew for each row, so groups with such frames are cut earlier.
+FRAME_ROWS = 100_000
+# Keys of hot groups that may be collected and broadcast; more of them are joined by shuffle.
+HOT_KEYS = 100_000
+# With no more groups than this, all of them are chunked together, large or small.
+FEW_GROUPS = 1_000
 
 
-def hot_groups(df: DataFrame, by: list[str], group_rows: int = GROUP_ROWS) -> DataFrame | None:
+def hot_groups(
+    df: DataFrame, by: list[str], group_rows: int = GROUP_ROWS, hot_keys: int = HOT_KEYS
+) -> DataFrame | None:
     """Keys of the groups with more than ``group_rows`` rows, or None when there are none.
 
-    One partial aggregate over the key columns only. At most rows/group_rows groups
-    can be that large, which bounds what comes to the driver and what is broadcast.
+    One partial aggregate over the key columns only. Up to ``hot_keys`` keys are collected
+    and marked for broadcast; beyond that the keys stay distributed.
     """
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
     large = counts.filter(F.col("_rows") > group_rows).select(*by)
-    keys = large.collect()
-    return df.sparkSession.createDataFrame(keys, large.schema) if keys else None
+    keys = large.limit(hot_keys + 1).collect()
+    if not keys:
+        return None
+    if len(keys) > hot_keys:
+        return checkpointed(large)
+    return F.broadcast(df.sparkSession.createDataFrame(keys, large.schema))
 
 
 def split_hot(
     df: DataFrame, by: list[str], group_rows: int = GROUP_ROWS
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Rows of ordinary groups and rows of hot groups; None for an empty part.
-
-    The hot part is read several times by the operators that chunk it, so it is
-    checkpointed to the shared folder.
-    """
-    if not by:
-        if df.count() <= group_rows:
-            return df, None
-        return None, checkpointed(df)
+    """Rows of ordinary groups and rows of hot groups; None for an empty part."""
     keys = hot_groups(df, by, group_rows)
     if keys is None:
         return df, None
-    keys = F.broadcast(keys.toDF(*[f"_hot_{name}" for name in by]))
+    keys = keys.toDF(*[f"_hot_{name}" for name in by])
     same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_hot_{name}")) for name in by])
-    rest = df.join(keys, same, "left_anti")
-    hot = df.join(keys, same, "left_semi")
-    return rest, checkpointed(hot)
+    return df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
+
+
+def group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
+    """How many groups there are, and the rows of the largest."""
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    groups, largest = counts.agg(F.count(F.lit(1)), F.max("_rows")).first()
+    return groups, largest or 0
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

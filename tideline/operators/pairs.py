@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators.groups import GROUP_ROWS
+from tideline.functions.columns import exact_sum
+from tideline.operators.groups import FRAME_ROWS, GROUP_ROWS
 from tideline.operators.ranges import point_range_sums
 
 # Fixed value: ages of comparable passengers differ by less than this many years.
@@ -25,7 +26,9 @@ def cross_pair_counts(df: DataFrame, by: str = "pclass") -> DataFrame:
     return counts.select(by, (F.col("rows") * total).alias("pair_count"))
 
 
-def comparable_pairs(passengers: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
+def comparable_pairs(
+    passengers: DataFrame, group_rows: int = FRAME_ROWS, chunk_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Totals over all ordered pairs alike in class, sex and port with ages less than 5 apart.
 
     A passenger pairs with itself too. Rows are first collapsed to one per group and age;
@@ -45,13 +48,12 @@ def comparable_pairs(passengers: DataFrame, group_rows: int = GROUP_ROWS) -> Dat
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.coalesce(F.sum(F.col("survived").cast("bigint")), F.lit(0)).alias("s"),
-            F.coalesce(F.sum(F.col("fare").cast("decimal(18,4)")), F.lit(0)).alias("f"),
+            F.coalesce(exact_sum(F.col("fare")), F.lit(0)).alias("f"),
         )
     )
     reach = AGE_BAND * AGE_UNITS - 1
-    paired = point_range_sums(
-        ages, by, "at", -reach, reach, {"n2": "n", "s2": "s", "f2": "f"}, group_rows
-    )
+    sums = {"n2": "n", "s2": "s", "f2": "f"}
+    paired = point_range_sums(ages, by, "at", -reach, reach, sums, group_rows, chunk_rows)
 
     def product(a: str, b: str):
         return F.sum(F.col(a).cast("decimal(19,0)") * F.col(b).cast("decimal(19,0)"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.groups import GROUP_ROWS, split_hot, union_parts
+from tideline.operators.groups import FRAME_ROWS, GROUP_ROWS, checkpointed, split_hot, union_parts
 from tideline.operators.windows import Order, chunked_windows, running_sum
 
 
@@ -16,7 +16,8 @@ def range_sums(
     low: int,
     high: int,
     sums: dict[str, str],
-    group_rows: int = GROUP_ROWS,
+    group_rows: int = FRAME_ROWS,
+    chunk_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Add sums over the rows of the group with position in [own + low, own + high].
 
@@ -29,7 +30,7 @@ def range_sums(
             rest if rest is None else plain_range_sums(rest, by, position, low, high, sums),
             hot
             if hot is None
-            else collapsed_range_sums(hot, by, position, low, high, sums, group_rows),
+            else collapsed_range_sums(checkpointed(hot), by, position, low, high, sums, group_rows, chunk_rows),
         ]
     )
 
@@ -49,16 +50,20 @@ def collapsed_range_sums(
     low: int,
     high: int,
     sums: dict[str, str],
-    group_rows: int = GROUP_ROWS,
+    group_rows: int = FRAME_ROWS,
+    chunk_rows: int = GROUP_ROWS,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Sum rows of equal position first, range over the positions, and join back.
 
     A group has far fewer positions than rows (days, say), so one window usually does;
-    a group with too many positions is swept instead.
+    a group with too many positions is swept instead. The sums are read from ``base``
+    (``df`` itself by default).
     """
-    points = df.groupBy(*by, position).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    source = df if base is None else base
+    points = source.groupBy(*by, position).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     own = {f"_range_{name}": name for name in sums}
-    ranged = point_range_sums(points, by, position, low, high, own, group_rows)
+    ranged = point_range_sums(points, by, position, low, high, own, group_rows, chunk_rows)
     place = F.struct(*by, position)
     looked_up = ranged.select(
         place.alias("_place"), *[F.col(f"_range_{name}").alias(name) for name in sums]
@@ -78,7 +83,8 @@ def point_range_sums(
     low: int,
     high: int,
     sums: dict[str, str],
-    group_rows: int = GROUP_ROWS,
+    group_rows: int = FRAME_ROWS,
+    chunk_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Range sums over rows that are already one per group and position."""
     rest, hot = split_hot(points, by, group_rows)
@@ -87,7 +93,7 @@ def point_range_sums(
             rest if rest is None else plain_range_sums(rest, by, position, low, high, sums),
             hot
             if hot is None
-            else swept_range_sums(hot, by, position, low, high, sums, group_rows),
+            else swept_range_sums(checkpointed(hot), by, position, low, high, sums, chunk_rows),
         ]
     )
 

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HASH_DIGITS = 32
-STEP_DIGITS = 4
-STEP_GROUPS = 16**STEP_DIGITS
+STEP_DIGITS = 3
+LAST_STEP_ROWS = 50_000
 DRAW_DIGITS = 13
 
 
@@ -32,7 +32,7 @@ def hash_sample(df: DataFrame, key: str, size: int, salt: str) -> DataFrame:
 
     The hash of the last row taken is found first, by counting rows per hash prefix and
     looking closer at the one prefix in which the size is reached: each count is a partial
-    aggregate over the key column with at most 65,536 groups. The sample itself is then a
+    aggregate over the key column that leaves a few thousand rows. The sample itself is then a
     plain filter. Nothing is sorted, and no task or driver holds the sample, whatever its size.
     """
     if size <= 0:
@@ -54,7 +54,7 @@ def hash_sample(df: DataFrame, key: str, size: int, salt: str) -> DataFrame:
             return df
         if digits == HASH_DIGITS:
             break
-        digits = HASH_DIGITS if rows <= STEP_GROUPS else min(digits + STEP_DIGITS, HASH_DIGITS)
+        digits = HASH_DIGITS if rows <= LAST_STEP_ROWS else min(digits + STEP_DIGITS, HASH_DIGITS)
     drawn = key_hash(key, salt)
     if rows == left:
         return df.filter(drawn <= prefix)

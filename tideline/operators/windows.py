@@ -1,7 +1,7 @@
 """Ordered window columns whose partitions may be larger than one task.
 
-``window_columns`` evaluates ordinary groups with Spark windows. A group that is too
-large for one task is cut into chunks that follow the window's order: by value, and
+``window_columns`` uses Spark windows while every group fits a task. A group that is too
+large for one is cut into chunks that follow the window's order: by value, and
 inside a value that alone is too frequent, by the row key. A window then runs inside
 each chunk, and what precedes a chunk (row counts, sums, neighbouring values) is
 added from a summary with one row per chunk. Rows are shuffled once, no sort is
@@ -12,15 +12,23 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tideline.operators.groups import GROUP_ROWS, split_hot, union_parts
+from tideline.operators.groups import (
+    FEW_GROUPS,
+    GROUP_ROWS,
+    checkpointed,
+    group_sizes,
+    split_hot,
+    union_parts,
+)
 
-MAX_CHUNKS = 4096
+MAX_CHUNKS = 10_000
 ROWS_PER_CUT = 1000
 
 
@@ -80,13 +88,24 @@ def window_columns(
     order: Order,
     measures: dict[str, Measure],
     group_rows: int = GROUP_ROWS,
+    base: DataFrame | None = None,
 ) -> DataFrame:
-    """Add window columns; groups above ``group_rows`` rows are computed in chunks."""
+    """Add window columns; groups above ``group_rows`` rows are computed in chunks.
+
+    ``base`` is where sizes and cuts are read from: a relation with the same rows that is
+    cheap to read several times, such as the scan below a chain of window columns.
+    """
+    base = df if base is None else base
+    groups, largest = group_sizes(base, by)
+    if largest <= group_rows:
+        return plain_windows(df, by, order, measures)
+    if groups <= FEW_GROUPS:
+        return chunked_windows(df, by, order, measures, group_rows, base)
     rest, hot = split_hot(df, by, group_rows)
     return union_parts(
         [
             rest if rest is None else plain_windows(rest, by, order, measures),
-            hot if hot is None else chunked_windows(hot, by, order, measures, group_rows),
+            hot if hot is None else chunked_windows(checkpointed(hot), by, order, measures, group_rows),
         ]
     )
 
@@ -131,14 +150,21 @@ def chunked_windows(
     order: Order,
     measures: dict[str, Measure],
     chunk_rows: int = GROUP_ROWS,
+    base: DataFrame | None = None,
 ) -> DataFrame:
-    """The same columns, computed chunk by chunk. Reads ``df`` several times."""
+    """The same columns, computed chunk by chunk.
+
+    Cuts and chunk summaries come from ``base`` (``df`` itself by default), which is read
+    several times.
+    """
     chunk = ["_group", "_vb", "_kb"]
     # A struct compares equal to another with the same NULL fields, so groups with a
     # NULL key join like the rest and the join shares its shuffle with the windows.
     group = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
-    rows = cut_in_chunks(df.withColumn("_group", group), order, chunk_rows)
-    joined = rows.join(_before_each_chunk(rows, order, measures), chunk)
+    base = df if base is None else base
+    place = plan_cuts(base, order, chunk_rows)
+    before = _before_each_chunk(place(base.withColumn("_group", group)), order, measures)
+    joined = place(df.withColumn("_group", group)).join(before, chunk)
 
     inside = Window.partitionBy(*chunk).orderBy(*order.columns())
     inside_by_value = Window.partitionBy(*chunk).orderBy(order.columns()[0])
@@ -195,24 +221,18 @@ def _chunked(measure: Measure) -> Column:
     raise ValueError(f"unknown measure {kind!r}")
 
 
-def cut_in_chunks(df: DataFrame, order: Order, chunk_rows: int) -> DataFrame:
-    """Add chunk numbers ``_vb`` (by value) and ``_kb`` (by row key), and ``_single``.
+def plan_cuts(
+    base: DataFrame, order: Order, chunk_rows: int
+) -> Callable[[DataFrame], DataFrame]:
+    """Decide where to cut, and return what adds the chunk of each row to a DataFrame.
 
-    ``_single`` marks chunks that hold one value only. Chunks follow the order, rows of
-    equal value share ``_vb``, and the numbers are a function of the row alone, so a
-    task that runs again gives the same ones.
+    It adds chunk numbers ``_vb`` (by value) and ``_kb`` (by row key), and ``_single`` for
+    chunks that hold one value only. Chunks follow the order and rows of equal value share
+    ``_vb``. The cuts are constants and the chunk is a function of the row alone, so a task
+    that runs again gives the same ones.
     """
-    sign = -1.0 if order.descending else 1.0
-    numbered = df.withColumns(
-        {
-            "_v": F.col(order.value).cast("double") * sign,
-            "_k": F.col(order.key).cast("double") * sign,
-        }
-    )
-    no_number = F.col("_v").isNull() | F.isnan("_v")
-    rows, numberless = numbered.agg(
-        F.count(F.lit(1)), F.count(F.when(no_number, 1))
-    ).first()
+    numbered = _numbered(base, order)
+    rows, numberless = numbered.agg(F.count(F.lit(1)), F.count(F.when(_no_number(), 1))).first()
     parts = min(MAX_CHUNKS, max(1, math.ceil(rows / chunk_rows)))
     value_cuts, key_cuts = quantiles(numbered, ["_v", "_k"], parts, rows)
 
@@ -224,28 +244,57 @@ def cut_in_chunks(df: DataFrame, order: Order, chunk_rows: int) -> DataFrame:
     last = len(bounds) + 1
     null_bucket, nan_bucket = (last + 1, -1) if order.descending else (-1, last)
 
-    placed = bucketed(numbered, "_v", "_bucket", bounds)
-    placed = placed.withColumn(
-        "_vb",
-        F.when(F.col("_v").isNull(), null_bucket)
-        .when(F.isnan("_v"), nan_bucket)
-        .otherwise(F.col("_bucket").cast("int")),
-    ).withColumn("_single", no_number | F.col("_vb").isin(own_buckets))
+    def by_value(df: DataFrame) -> DataFrame:
+        return bucketed(_numbered(df, order), "_v", "_bucket", bounds).withColumns(
+            {
+                "_vb": F.when(F.col("_v").isNull(), null_bucket)
+                .when(F.isnan("_v"), nan_bucket)
+                .otherwise(F.col("_bucket").cast("int")),
+                "_single": _no_number()
+                | F.coalesce(F.col("_bucket").cast("int").isin(own_buckets), F.lit(False)),
+            }
+        )
 
     if not frequent and numberless <= chunk_rows:
-        placed = placed.withColumn("_kb", F.lit(0))
-    else:
-        # Number the (value bucket, key bucket) cells of those rows in order, and cut the
-        # numbers so that each chunk takes about as many rows as the others.
-        placed = bucketed(placed, "_k", "_key_bucket", sorted(set(key_cuts)))
-        cell = F.col("_vb") * (len(key_cuts) + 2) + F.coalesce(
-            F.col("_key_bucket") + 1, F.lit(len(key_cuts) + 2 if order.descending else 0)
+        return lambda df: (
+            by_value(df).withColumn("_kb", F.lit(0)).select(*df.columns, "_vb", "_kb", "_single")
         )
-        placed = placed.withColumn("_cell", F.when(F.col("_single"), cell.cast("double")))
-        (cell_cuts,) = quantiles(placed.filter("_single"), ["_cell"], parts, rows)
-        placed = bucketed(placed, "_cell", "_cell_bucket", sorted(set(cell_cuts)))
-        placed = placed.withColumn("_kb", F.coalesce(F.col("_cell_bucket").cast("int"), F.lit(0)))
-    return placed.select(*df.columns, "_vb", "_kb", "_single")
+
+    # Number the (value bucket, key bucket) cells of frequent values in order, and cut the
+    # numbers so that each chunk takes about as many rows as the others.
+    key_bounds = sorted(set(key_cuts))
+    keys = len(key_bounds) + 3
+    null_key = keys - 1 if order.descending else 0
+
+    def by_cell(df: DataFrame) -> DataFrame:
+        placed = bucketed(by_value(df), "_k", "_key_bucket", key_bounds)
+        cell = F.col("_vb") * keys + F.coalesce(F.col("_key_bucket") + 1, F.lit(null_key))
+        return placed.withColumn("_cell", F.when(F.col("_single"), cell.cast("double")))
+
+    (cell_cuts,) = quantiles(by_cell(base).filter("_single"), ["_cell"], parts, rows)
+    cell_bounds = sorted(set(cell_cuts))
+
+    def by_value_and_key(df: DataFrame) -> DataFrame:
+        placed = bucketed(by_cell(df), "_cell", "_cell_bucket", cell_bounds)
+        cut = F.coalesce(F.col("_cell_bucket").cast("int"), F.lit(0))
+        return placed.withColumn("_kb", cut).select(*df.columns, "_vb", "_kb", "_single")
+
+    return by_value_and_key
+
+
+def _numbered(df: DataFrame, order: Order) -> DataFrame:
+    """Value and key as doubles that ascend in the wanted order."""
+    sign = -1.0 if order.descending else 1.0
+    return df.withColumns(
+        {
+            "_v": F.col(order.value).cast("double") * sign,
+            "_k": F.col(order.key).cast("double") * sign,
+        }
+    )
+
+
+def _no_number() -> Column:
+    return F.col("_v").isNull() | F.isnan("_v")
 
 
 def quantiles(df: DataFrame, names: list[str], parts: int, rows: int) -> list[list[float]]:

@@ -234,7 +234,7 @@ def oracle_sql() -> dict[str, str]:
         "orders_enriched": f"with {ENRICHED} select {order_part}, cast(order_revenue as double) as order_revenue from enriched",
         "order_rankings": _fact("orderkey, custkey, rn_latest, revenue_rank"),
         "rolling_30d_revenue": _fact("orderkey, custkey, orderdate, rolling_30d_revenue"),
-        "order_windows_chunked": _fact(fact_all),
+        "order_windows_skewed": _fact(fact_all).replace("o_custkey as custkey", "o_custkey % 3 as custkey"),
         "latest_order": f"with {FACT} select {order_part}, order_revenue from fact where rn_latest = 1",
         "fact_orders": _fact(fact_all),
         "agg_customer_revenue": f"with {FACT} {TOTALS.format(fact='fact')}",
@@ -289,6 +289,7 @@ def oracle_sql() -> dict[str, str]:
         "survival_score": f"with {FEATURES} select passenger_id, {SCORE} from f",
         "survival_score_udf": f"with {FEATURES} select passenger_id, {SCORE} from f",
         "passenger_transformed": f"with {FEATURES} select *, {transformed} from f",
+        "passenger_transformed_chunked": f"with {FEATURES} select *, {transformed} from f",
         "passenger_marts": stats_all + """
             select 'passenger_transformed' as table_name, count(*) as row_count from f
             union all select 'survival_statistics', count(*) from s

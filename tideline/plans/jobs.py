@@ -23,11 +23,11 @@ STAGED = "staged_changes"
 
 
 def build_star_schema(
-    spark: SparkSession, loaded: Loaded, database: str, group_rows: int = GROUP_ROWS
+    spark: SparkSession, loaded: Loaded, database: str
 ) -> dict[str, int]:
     """Write dim_customer, fact_orders and, from the written facts, agg_customer_revenue."""
     geography = star.customer_geography(loaded["customer"], loaded["nation"], loaded["region"])
-    fact = star.fact_orders(loaded["orders"], loaded["lineitem"], group_rows)
+    fact = star.fact_orders(loaded["orders"], loaded["lineitem"])
     written = {
         "dim_customer": sinks.overwrite_table(
             star.dim_customer(geography), f"{database}.dim_customer"

@@ -30,10 +30,10 @@ WINDOW_STEPS = (
 
 
 def passenger_windows(passengers: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """All eight window columns."""
+    """All eight window columns; sizes and cuts are read from the passengers themselves."""
     result = passengers
     for (by, order), measures in WINDOW_STEPS:
-        result = w.window_columns(result, by, order, measures, group_rows)
+        result = w.window_columns(result, by, order, measures, group_rows, passengers)
     return result
 
 

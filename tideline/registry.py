@@ -13,7 +13,7 @@ from tideline.functions.scoring import discounted_price
 from tideline.operators import changes as ch
 from tideline.operators import pairs, sinks, stats
 from tideline.operators import windows as w
-from tideline.operators.groups import GROUP_ROWS
+from tideline.operators.groups import GROUP_ROWS, checkpointed
 from tideline.operators.sampling import hash_sample
 from tideline.plans import jobs, star
 from tideline.plans import passengers as pax
@@ -81,8 +81,8 @@ def geography(spark, folder):
     return star.customer_geography(*[scan(spark, folder, t) for t in ("customer", "nation", "region")])
 
 
-def fact(spark, folder, group_rows=GROUP_ROWS):
-    return star.fact_orders(scan(spark, folder, "orders"), scan(spark, folder, "lineitem"), group_rows)
+def fact(spark, folder):
+    return star.fact_orders(scan(spark, folder, "orders"), scan(spark, folder, "lineitem"))
 
 
 @query
@@ -128,11 +128,12 @@ def fact_orders(spark, folder):
 
 
 @query
-def order_windows_chunked(spark, folder):
-    # Above the average customer's orders, so about half of the customers are chunked.
+def order_windows_skewed(spark, folder):
+    # Three customers hold all orders, a third each, and every one of them is chunked.
     orders = scan(spark, folder, "orders")
-    size = orders.agg(F.count(F.lit(1)) / F.count_distinct("o_custkey")).first()[0]
-    return fact(spark, folder, max(1, int(size)))
+    merged = orders.withColumn("o_custkey", F.col("o_custkey") % 3)
+    limit = few_rows(orders)
+    return star.fact_orders(merged, scan(spark, folder, "lineitem"), limit, limit)
 
 
 @query
@@ -154,8 +155,12 @@ def row_counts(spark, folder):
 
 
 def sample(spark, folder):
-    picked = hash_sample(scan(spark, folder, "orders"), "o_orderkey", jobs.SAMPLE_SIZE, SALT)
-    return as_double(star.orders_enriched(picked, scan(spark, folder, "lineitem")), "order_revenue")
+    """A sample of orders, and revenue for those only."""
+    picked = checkpointed(
+        hash_sample(scan(spark, folder, "orders"), "o_orderkey", jobs.SAMPLE_SIZE, SALT)
+    )
+    enriched = star.orders_enriched(picked, star.lines_of(picked, scan(spark, folder, "lineitem")))
+    return as_double(enriched, "order_revenue")
 
 
 def feed(spark, folder, salt="b"):
@@ -225,7 +230,10 @@ def agg_refresh_full(spark, folder):
 
 @query
 def agg_refresh_incremental(spark, folder):
-    target, changes = fact(spark, folder), staged(spark, folder)
+    # The facts are read five times over, so they are written first, as a table would be.
+    path = fresh_folder(spark, "facts")
+    formats.write_files(fact(spark, folder), path, "parquet")
+    target, changes = spark.read.parquet(path), staged(spark, folder)
     return ch.refresh_touched(
         star.agg_customer_revenue(target),
         ch.apply_changes(target, changes),
@@ -335,6 +343,12 @@ def passenger_transformed(spark, folder):
     return pax.passenger_transformed(people(spark, folder))
 
 
+@query
+def passenger_transformed_chunked(spark, folder):
+    customer = scan(spark, folder, "customer")
+    return pax.passenger_transformed(passengers(customer), few_rows(customer))
+
+
 @query
 def passenger_marts(spark, folder):
     database = scratch_database(spark)
@@ -400,7 +414,7 @@ def comparable_pairs(spark, folder):
 @query
 def comparable_pairs_chunked(spark, folder):
     # Fewer rows than a group has ages, so the sweep over ages is cut in chunks.
-    return as_double(pairs.comparable_pairs(people(spark, folder), 10), *PAIR_TOTALS)
+    return as_double(pairs.comparable_pairs(people(spark, folder), 10, 10), *PAIR_TOTALS)
 
 
 @query

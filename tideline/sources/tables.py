@@ -40,6 +40,9 @@ def load_tables(
     """Load several tables; one that is absent is noted and the rest still load."""
     loaded = Loaded()
     for name in names:
+        if not table_exists(spark, name, folder):
+            loaded.missing[name] = "no such table"
+            continue
         try:
             loaded.tables[name] = read_table(spark, name, folder)
         except AnalysisException as error:
@@ -47,6 +50,15 @@ def load_tables(
     return loaded
 
 
+def table_exists(spark: SparkSession, table: str, folder: str | None = None) -> bool:
+    """Whether a catalog table or a file or folder of that name is there, on any file system."""
+    if folder is None:
+        return spark.catalog.tableExists(table)
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}.parquet")
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+
+
 def table_inventory(spark: SparkSession, loaded: Loaded) -> DataFrame:
     """One row per expected table: its row count, NULL when it could not be read."""
     parts = [
