@@ -8,7 +8,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.session import shared_folder
+from tideline.session import fresh_folder
 
 # Rows of one group that a single task may sort. A bigger group is cut into chunks.
 GROUP_ROWS = 5_000_000
@@ -34,7 +34,7 @@ def hot_groups(
     if not keys:
         return None
     if len(keys) > hot_keys:
-        return checkpointed(large)
+        return stored(large)
     return F.broadcast(df.sparkSession.createDataFrame(keys, large.schema))
 
 
@@ -57,10 +57,14 @@ def group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
     return groups, largest or 0
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write to the shared checkpoint folder and read from there; survives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def stored(df: DataFrame) -> DataFrame:
+    """Write to the shared folder as Parquet and read from there.
+
+    Cuts the lineage, survives lost executors, and lets later passes read single columns.
+    """
+    path = fresh_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def union_parts(parts: list[DataFrame | None]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.groups import FRAME_ROWS, GROUP_ROWS, checkpointed, split_hot, union_parts
+from tideline.operators.groups import FRAME_ROWS, GROUP_ROWS, split_hot, stored, union_parts
 from tideline.operators.windows import Order, chunked_windows, running_sum
 
 
@@ -30,7 +30,7 @@ def range_sums(
             rest if rest is None else plain_range_sums(rest, by, position, low, high, sums),
             hot
             if hot is None
-            else collapsed_range_sums(checkpointed(hot), by, position, low, high, sums, group_rows, chunk_rows),
+            else collapsed_range_sums(stored(hot), by, position, low, high, sums, group_rows, chunk_rows),
         ]
     )
 
@@ -93,7 +93,7 @@ def point_range_sums(
             rest if rest is None else plain_range_sums(rest, by, position, low, high, sums),
             hot
             if hot is None
-            else swept_range_sums(checkpointed(hot), by, position, low, high, sums, chunk_rows),
+            else swept_range_sums(stored(hot), by, position, low, high, sums, chunk_rows),
         ]
     )
 

@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from tideline.operators.groups import (
     FEW_GROUPS,
     GROUP_ROWS,
-    checkpointed,
     group_sizes,
     split_hot,
+    stored,
     union_parts,
 )
 
@@ -105,7 +105,7 @@ def window_columns(
     return union_parts(
         [
             rest if rest is None else plain_windows(rest, by, order, measures),
-            hot if hot is None else chunked_windows(checkpointed(hot), by, order, measures, group_rows),
+            hot if hot is None else chunked_windows(stored(hot), by, order, measures, group_rows),
         ]
     )
 

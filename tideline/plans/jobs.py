@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import changes as ch
 from tideline.operators import sinks, stats
-from tideline.operators.groups import GROUP_ROWS, checkpointed
+from tideline.operators.groups import GROUP_ROWS, stored
 from tideline.operators.sampling import hash_sample
 from tideline.plans import star
 from tideline.plans.passengers import passenger_transformed
@@ -59,7 +59,7 @@ def run_change_cycle(
 
     changes = spark.table(staged)
     target = spark.table(fact)
-    touched = checkpointed(ch.touched_groups(target, changes))
+    touched = stored(ch.touched_groups(target, changes))
     written = {STAGED: changes.count()}
     written["fact_orders"] = sinks.overwrite_table(ch.apply_changes(target, changes), fact)
     refreshed = ch.refresh_touched(

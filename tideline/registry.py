@@ -13,7 +13,7 @@ from tideline.functions.scoring import discounted_price
 from tideline.operators import changes as ch
 from tideline.operators import pairs, sinks, stats
 from tideline.operators import windows as w
-from tideline.operators.groups import GROUP_ROWS, checkpointed
+from tideline.operators.groups import GROUP_ROWS, stored
 from tideline.operators.sampling import hash_sample
 from tideline.plans import jobs, star
 from tideline.plans import passengers as pax
@@ -156,7 +156,7 @@ def row_counts(spark, folder):
 
 def sample(spark, folder):
     """A sample of orders, and revenue for those only."""
-    picked = checkpointed(
+    picked = stored(
         hash_sample(scan(spark, folder, "orders"), "o_orderkey", jobs.SAMPLE_SIZE, SALT)
     )
     enriched = star.orders_enriched(picked, star.lines_of(picked, scan(spark, folder, "lineitem")))
@@ -169,9 +169,7 @@ def feed(spark, folder, salt="b"):
 
 def staged(spark, folder):
     """The staged feed, written to the shared folder and read back."""
-    path = fresh_folder(spark, "staged")
-    formats.write_files(ch.stage_changes(ch.last_per_key(feed(spark, folder))), path, "parquet")
-    return spark.read.parquet(path)
+    return stored(ch.stage_changes(ch.last_per_key(feed(spark, folder))))
 
 
 @query
@@ -231,9 +229,7 @@ def agg_refresh_full(spark, folder):
 @query
 def agg_refresh_incremental(spark, folder):
     # The facts are read five times over, so they are written first, as a table would be.
-    path = fresh_folder(spark, "facts")
-    formats.write_files(fact(spark, folder), path, "parquet")
-    target, changes = spark.read.parquet(path), staged(spark, folder)
+    target, changes = stored(fact(spark, folder)), staged(spark, folder)
     return ch.refresh_touched(
         star.agg_customer_revenue(target),
         ch.apply_changes(target, changes),
