@@ -1,0 +1,133 @@
+"""Star schema, sinks and whole jobs."""
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from tideline.operators import changes as ch
+from tideline.operators import sinks
+from tideline.plans import jobs, star
+from tideline.session import scratch_database, shared_folder
+from tideline.sources.tables import load_tables
+
+
+@pytest.fixture()
+def database(spark):
+    name = scratch_database(spark)
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@pytest.fixture(scope="module")
+def skewed_orders(spark):
+    """A third of the orders with one customer, a third of those on one day, with times of day."""
+    n, h = F.col("id"), F.xxhash64("id")
+    day = F.when(n % 9 == 0, 700).otherwise(F.pmod(h, F.lit(1500))).cast("int")
+    at = F.timestamp_add("SECOND", F.pmod(h, F.lit(86400)), F.date_add(F.lit("1995-01-01").cast("date"), day).cast("timestamp"))
+    return spark.range(4000).select(
+        n.alias("orderkey"),
+        F.when(n % 3 == 0, 1).when(n % 57 == 0, None).otherwise(n % 40).alias("custkey"),
+        F.when(n % 61 != 0, at).cast("timestamp_ntz").alias("orderdate"),
+        F.when(n % 10 != 0, F.pmod(h, F.lit(300)) * 1.25).cast("decimal(28,4)").alias("order_revenue"),
+    )
+
+
+@pytest.mark.parametrize("group_rows, chunk_rows", [(600, 200), (30, 50)])
+def test_order_windows_under_skew(skewed_orders, group_rows, chunk_rows):
+    plain = star.order_windows(skewed_orders)
+    assert rows_of(star.order_windows(skewed_orders, group_rows, chunk_rows)) == rows_of(plain)
+
+
+def test_latest_orders_agree(spark, folder):
+    loaded = load_tables(spark, folder)
+    fact = star.fact_orders(loaded["orders"], loaded["lineitem"])
+    direct = star.latest_order_of_each(loaded["orders"], loaded["lineitem"])
+    direct = direct.withColumn("order_revenue", F.col("order_revenue").cast("double"))
+    assert rows_of(star.latest_order(fact).select(*star.ORDER_COLUMNS)) == rows_of(direct)
+
+
+def test_lone_customers_and_orders_stay(spark):
+    customer = spark.createDataFrame(
+        [(1, "a", 1.0, "m", 7), (2, "b", 2.0, "m", None), (3, "c", 3.0, "m", 99)],
+        "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string, c_nationkey int",
+    )
+    nation = spark.createDataFrame([(7, "N", 5)], "n_nationkey int, n_name string, n_regionkey int")
+    region = spark.createDataFrame([(6, "R")], "r_regionkey int, r_name string")
+    got = {r.custkey: (r.nation, r.region) for r in star.customer_geography(customer, nation, region).collect()}
+    assert got == {1: ("N", None), 2: (None, None), 3: (None, None)}
+
+
+def test_dim_customer_keeps_one_of_each(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "d"), (None, "d")], "custkey int, name string")
+    assert rows_of(star.dim_customer(df), ["custkey", "name"]) == sorted([(1, "a"), (2, "c"), (None, "d")], key=repr)
+
+
+def test_overwrite_reads_and_replaces_itself(spark, database):
+    table = f"{database}.t"
+    assert sinks.overwrite_table(spark.range(5), table) == 5
+    assert sinks.overwrite_table(spark.table(table).filter("id > 1"), table) == 3
+    assert sinks.overwrite_table(spark.table(table).selectExpr("id", "id * 2 as twice"), table) == 3
+    assert rows_of(spark.table(table), ["id", "twice"]) == [(2, 4), (3, 6), (4, 8)]
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()] == ["t"]
+    with pytest.raises(ValueError):
+        sinks.overwrite_table(spark.range(1), table, "append")
+
+
+def test_interrupted_swap_is_mended(spark, database):
+    table = f"{database}.t"
+    sinks.overwrite_table(spark.range(4), table)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__prev")
+    assert sinks.mend_table(spark, table)
+    assert sinks.overwrite_table(spark.table(table).filter("id < 2"), table) == 2
+    assert not sinks.mend_table(spark, table)
+
+
+def test_insert_overwrite_keeps_the_table(spark, database):
+    table = f"{database}.t"
+    sinks.insert_overwrite(spark.range(3).selectExpr("id as a", "id as b"), table)
+    sinks.insert_overwrite(spark.range(2).selectExpr("id + 10 as b", "id as a"), table)
+    assert rows_of(spark.table(table), ["a", "b"]) == [(0, 10), (1, 11)]
+
+
+def test_overwrite_existing_needs_the_table(spark, database):
+    with pytest.raises(RuntimeError, match="must exist"):
+        sinks.overwrite_existing(spark.range(1), f"{database}.t")
+    sinks.overwrite_table(spark.range(1), f"{database}.t")
+    assert sinks.overwrite_existing(spark.range(2), f"{database}.t") == 2
+
+
+def test_write_check_leaves_nothing(spark, database):
+    assert sinks.write_check(spark.range(7), f"{database}.probe").first().row_count == 7
+    assert not spark.catalog.tableExists(f"{database}.probe")
+
+
+def test_star_schema_and_change_cycle(spark, folder, database):
+    loaded = load_tables(spark, folder)
+    written = jobs.build_star_schema(spark, loaded, database)
+    assert written == {"dim_customer": 150, "fact_orders": 1500, "agg_customer_revenue": 150}
+    before = star.fact_orders(loaded["orders"], loaded["lineitem"])
+    assert rows_of(spark.table(f"{database}.fact_orders")) == rows_of(before)
+
+    after = jobs.run_change_cycle(spark, database, size=400)
+    staged = spark.table(f"{database}.{jobs.STAGED}")
+    assert after[jobs.STAGED] == staged.count() == 400
+    expected = ch.apply_changes(before, staged)
+    fact = spark.table(f"{database}.fact_orders")
+    assert rows_of(fact) == rows_of(expected) and after["fact_orders"] == fact.count()
+    totals = spark.table(f"{database}.agg_customer_revenue")
+    assert rows_of(totals) == rows_of(star.agg_customer_revenue(fact))
+    updated = fact.join(staged.filter("op = 'U'").select("orderkey"), "orderkey")
+    assert updated.filter("rn_latest <> 0 or rolling_30d_revenue <> 0").count() == 0
+
+
+def test_passenger_marts(spark, folder, database):
+    written = jobs.build_passenger_marts(spark, load_tables(spark, folder), database)
+    assert written["passenger_transformed"] == 150
+    assert spark.table(f"{database}.cohort_analysis").count() == written["cohort_analysis"]
+
+
+def test_shared_folder_is_the_named_one(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert named in shared_folder(spark)
+    assert shared_folder(spark) == shared_folder(spark)

@@ -2,7 +2,7 @@
 
 Parquet tables have no transactions. A table is replaced by writing the new rows beside it
 and swapping names, so readers never see half a write; between the two renames the name is
-briefly absent, and a run that stopped there is mended by the next.
+briefly absent, and ``mend_table`` restores it if a run stopped just there.
 """
 
 from __future__ import annotations
@@ -20,11 +20,7 @@ def overwrite_table(df: DataFrame, table: str, mode: str = "overwrite") -> int:
         raise ValueError(f"unsupported mode {mode!r}; use 'overwrite'")
     spark = df.sparkSession
     upcoming, former = f"{table}__next", f"{table}__prev"
-    if spark.catalog.tableExists(former):
-        if spark.catalog.tableExists(table):
-            spark.sql(f"DROP TABLE {former}")
-        else:
-            spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
+    mend_table(spark, table)
     rows = write_table(df, upcoming)
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
@@ -33,6 +29,18 @@ def overwrite_table(df: DataFrame, table: str, mode: str = "overwrite") -> int:
     return rows
 
 
+def mend_table(spark: SparkSession, table: str) -> bool:
+    """Finish or undo a swap that stopped half way; True if the table had lost its name."""
+    former = f"{table}__prev"
+    if not spark.catalog.tableExists(former):
+        return False
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE {former}")
+        return False
+    spark.sql(f"ALTER TABLE {former} RENAME TO {table}")
+    return True
+
+
 def write_table(df: DataFrame, table: str) -> int:
     """Write a Parquet table in place and return its rows, counted on the way."""
     counted = Observation()

@@ -7,14 +7,29 @@ from pyspark.sql.types import StructType
 
 FORMATS = ("parquet", "csv", "json")
 
+# Full timestamps, a mark that tells NULL from empty text, doubled quotes.
+TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+OPTIONS = {
+    "parquet": {},
+    "json": TIMES,
+    "csv": TIMES
+    | {
+        "header": "true",
+        "nullValue": "\\N",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    },
+}
+
 
 def write_files(df: DataFrame, path: str, file_format: str) -> None:
-    """Overwrite ``path`` with the rows of ``df``."""
+    """Overwrite ``path`` with the rows of ``df``. In CSV a row is a line: no line breaks in text."""
     _check(file_format)
-    writer = df.write.mode("overwrite").format(file_format)
-    if file_format == "csv":
-        # An empty string is written quoted and NULL bare, so both survive.
-        writer = writer.option("header", "true").option("emptyValue", '""').option("nullValue", "")
+    writer = df.write.mode("overwrite").format(file_format).options(**OPTIONS[file_format])
     if file_format == "parquet":
         writer = writer.option("compression", "snappy")
     writer.save(path)
@@ -23,10 +38,7 @@ def write_files(df: DataFrame, path: str, file_format: str) -> None:
 def read_files(spark: SparkSession, path: str, file_format: str, schema: StructType) -> DataFrame:
     """Read files back under a given schema; nothing is inferred, so there is no extra pass."""
     _check(file_format)
-    reader = spark.read.schema(schema).format(file_format)
-    if file_format == "csv":
-        reader = reader.option("header", "true").option("emptyValue", "").option("nullValue", "")
-    return reader.load(path)
+    return spark.read.schema(schema).format(file_format).options(**OPTIONS[file_format]).load(path)
 
 
 def _check(file_format: str) -> None:
