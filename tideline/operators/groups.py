@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tideline.session import fresh_folder
 
 # Rows of one group that a single task may sort. A bigger group is cut into chunks.
-GROUP_ROWS = 5_000_000
+GROUP_ROWS = 2_000_000
 # Spark adds up a sliding frame anew for each row, so groups with such frames are cut earlier.
-FRAME_ROWS = 100_000
+FRAME_ROWS = 20_000
 # Keys of hot groups that may be collected and broadcast; more of them are joined by shuffle.
 HOT_KEYS = 100_000
 # With no more groups than this, all of them are chunked together, large or small.
@@ -41,13 +41,19 @@ def hot_groups(
 def split_hot(
     df: DataFrame, by: list[str], group_rows: int = GROUP_ROWS
 ) -> tuple[DataFrame | None, DataFrame | None]:
-    """Rows of ordinary groups and rows of hot groups; None for an empty part."""
+    """Rows of ordinary groups and rows of hot groups; None for an empty part.
+
+    With hot groups, ``df`` is computed once and stored in two partitions of one Parquet
+    folder; each part then reads its own, as often as it needs to.
+    """
     keys = hot_groups(df, by, group_rows)
     if keys is None:
         return df, None
-    keys = keys.toDF(*[f"_hot_{name}" for name in by])
+    keys = keys.select(*[F.col(name).alias(f"_hot_{name}") for name in by], F.lit(True).alias("_hot"))
     same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_hot_{name}")) for name in by])
-    return df.join(keys, same, "left_anti"), df.join(keys, same, "left_semi")
+    marked = df.join(keys, same, "left").select(*df.columns, F.coalesce("_hot", F.lit(False)).alias("_hot"))
+    parts = stored(marked, "_hot")
+    return parts.filter("not _hot").drop("_hot"), parts.filter("_hot").drop("_hot")
 
 
 def group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
@@ -57,13 +63,13 @@ def group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
     return groups, largest or 0
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write to the shared folder as Parquet and read from there.
 
     Cuts the lineage, survives lost executors, and lets later passes read single columns.
     """
     path = fresh_folder(df.sparkSession, "stored")
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

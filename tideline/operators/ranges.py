@@ -30,7 +30,7 @@ def range_sums(
             rest if rest is None else plain_range_sums(rest, by, position, low, high, sums),
             hot
             if hot is None
-            else collapsed_range_sums(stored(hot), by, position, low, high, sums, group_rows, chunk_rows),
+            else collapsed_range_sums(hot, by, position, low, high, sums, group_rows, chunk_rows),
         ]
     )
 
@@ -86,14 +86,18 @@ def point_range_sums(
     group_rows: int = FRAME_ROWS,
     chunk_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Range sums over rows that are already one per group and position."""
-    rest, hot = split_hot(points, by, group_rows)
+    """Range sums over rows that are already one per group and position.
+
+    The points are stored first: they are few beside the rows they sum up, and finding the
+    groups with many of them must not sum the rows twice.
+    """
+    rest, hot = split_hot(stored(points), by, group_rows)
     return union_parts(
         [
             rest if rest is None else plain_range_sums(rest, by, position, low, high, sums),
             hot
             if hot is None
-            else swept_range_sums(stored(hot), by, position, low, high, sums, chunk_rows),
+            else swept_range_sums(hot, by, position, low, high, sums, chunk_rows),
         ]
     )
 
