@@ -63,6 +63,18 @@ def test_only_hot_groups_are_chunked(skewed, monkeypatch, few_groups):
     assert rows_of(mixed) == rows_of(w.plain_windows(skewed, ["g"], order, MEASURES))
 
 
+def test_group_sizes(skewed):
+    from tideline.operators.groups import group_sizes
+
+    tagged = skewed.withColumn("h", F.col("key") % 2)
+    sizes = group_sizes(tagged, ["g"], [], ["h", "g"], ["h"])
+    for by, size in zip((["g"], [], ["h", "g"], ["h"]), sizes):
+        counts = [r["count"] for r in tagged.groupBy(*by).count().collect()]
+        assert size == (len(counts), max(counts))
+    assert group_sizes(skewed, []) == [(1, 6000)]
+    assert group_sizes(skewed.filter("false"), ["g"]) == [(0, 0)]
+
+
 def test_no_chunk_is_large(skewed):
     rows = w.plan_cuts(skewed, w.Order("value", "key"), 200)(skewed)
     sizes = rows.groupBy("_vb", "_kb").count().agg(F.max("count")).first()[0]

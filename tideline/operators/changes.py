@@ -72,35 +72,36 @@ def stage_changes(changes: DataFrame) -> DataFrame:
     )
 
 
-def check_unique(changes: DataFrame, key: str = "orderkey") -> None:
-    """Refuse a change set in which a key occurs twice; applying it would be ambiguous."""
-    repeated = (
-        changes.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .limit(1)
-        .collect()
-    )
-    if repeated:
-        raise ValueError(f"several changes for {key} {repeated[0][0]}; use last_per_key first")
+def inspect_changes(changes: DataFrame, key: str = "orderkey") -> int:
+    """Rows of a change set; refuses one in which a key occurs twice.
 
+    Applying such a set would be ambiguous. NULL keys match nothing and may repeat.
+    """
+    per_key = changes.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = F.when(F.col("_n") > 1, F.col(key))
+    rows, example = per_key.agg(F.sum("_n"), F.max(repeated)).first()
+    if example is not None:
+        raise ValueError(f"several changes for {key} {example}; use last_per_key first")
+    return rows or 0
 
-def sized(changes: DataFrame, broadcast_rows: int) -> tuple[DataFrame, bool]:
-    """The change set, marked for broadcast only if its counted rows allow it."""
-    small = changes.limit(broadcast_rows + 1).count() <= broadcast_rows
-    return (F.broadcast(changes) if small else changes), small
 
+def is_small(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has at most ``rows`` rows; stops counting beyond."""
+    return df.limit(rows + 1).count() <= rows
 
-def matched_keys(
-    target: DataFrame, changes: DataFrame, key: str, broadcast_rows: int
-) -> DataFrame:
+
+def hinted(df: DataFrame, small: bool) -> DataFrame:
+    """Marked for broadcast if its rows were counted and found few."""
+    return F.broadcast(df) if small else df
+
+
+def matched_keys(target: DataFrame, changes: DataFrame, key: str, small: bool) -> DataFrame:
     """Keys of the change set that the target has, each once.
 
     Reads the target's key column only, and shuffles nothing of it but the matches when the
     change set is small.
     """
-    wanted, _ = sized(changes.select(key), broadcast_rows)
+    wanted = hinted(changes.select(key), small)
     return target.select(key).join(wanted, key, "left_semi").distinct()
 
 
@@ -117,23 +118,23 @@ def apply_changes(
     never the built side of a join and never in an outer join that cannot be split, so a
     frequent target key stays divisible.
     """
-    check_unique(changes, key)
+    small = inspect_changes(changes, key) <= broadcast_rows
     columns = target.columns
     touching = changes.filter(F.col("op").isin("U", "D")).select(
         F.col(key).alias("_key"),
         F.col("op").alias("_op"),
         F.struct(*[F.col(c) for c in columns]).alias("_new"),
     )
-    touching, _ = sized(touching, broadcast_rows)
     updated = F.col("_op").eqNullSafe("U")
     kept = (
-        target.join(touching, F.col(key) == F.col("_key"), "left")
+        target.join(hinted(touching, small), F.col(key) == F.col("_key"), "left")
         .filter(~F.col("_op").eqNullSafe("D"))
         .select(*[F.when(updated, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns])
     )
     inserts = changes.filter(F.col("op") == "I").select(*columns)
-    existing = matched_keys(target, inserts, key, broadcast_rows)
-    return kept.unionByName(inserts.join(existing, key, "left_anti").select(*columns))
+    existing = matched_keys(target, inserts, key, small)
+    new = inserts.join(hinted(existing, small), key, "left_anti")
+    return kept.unionByName(new.select(*columns))
 
 
 def change_outcomes(
@@ -143,7 +144,8 @@ def change_outcomes(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Changes per operation and match, and whether that combination does anything."""
-    found = matched_keys(target, changes, key, broadcast_rows).withColumn("_found", F.lit(True))
+    small = is_small(changes, broadcast_rows)
+    found = matched_keys(target, changes, key, small).withColumn("_found", F.lit(True))
     matched = F.coalesce(F.col("_found"), F.lit(False))
     applied = (matched & F.col("op").isin("U", "D")) | (~matched & (F.col("op") == "I"))
     return (
@@ -173,7 +175,8 @@ def touched_groups(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Groups whose aggregate may differ after the changes: where rows were, and where they are now."""
-    moving, _ = sized(changes.filter(F.col("op").isin("U", "D")).select(key), broadcast_rows)
+    moving = changes.filter(F.col("op").isin("U", "D")).select(key)
+    moving = hinted(moving, is_small(changes, broadcast_rows))
     before = target.select(key, group).join(moving, key, "left_semi").select(group)
     after = changes.filter(F.col("op").isin("U", "I")).select(group)
     return before.union(after).distinct()
@@ -188,7 +191,8 @@ def refresh_touched(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Aggregate after a merge: recomputed for the touched groups, carried over for the rest."""
-    keys, _ = sized(touched.select(F.col(group).alias("_touched")), broadcast_rows)
+    small = is_small(touched, broadcast_rows)
+    keys = hinted(touched.select(F.col(group).alias("_touched")), small)
     same: Column = F.col(group).eqNullSafe(F.col("_touched"))
     renewed = aggregate(merged.join(keys, same, "left_semi"))
     return previous.join(keys, same, "left_anti").unionByName(renewed)

@@ -56,11 +56,24 @@ def split_hot(
     return parts.filter("not _hot").drop("_hot"), parts.filter("_hot").drop("_hot")
 
 
-def group_sizes(df: DataFrame, by: list[str]) -> tuple[int, int]:
-    """How many groups there are, and the rows of the largest."""
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    groups, largest = counts.agg(F.count(F.lit(1)), F.max("_rows")).first()
-    return groups, largest or 0
+def group_sizes(df: DataFrame, *groupings: list[str]) -> list[tuple[int, int]]:
+    """For each list of keys, how many groups there are and the rows of the largest.
+
+    One scan for all of them: grouping sets, summed up before the shuffle.
+    """
+    keys = sorted({name for by in groupings for name in by})
+    if not keys:
+        rows = df.count()
+        return [(1, rows) for _ in groupings]
+    # A grouping id has a bit for each key that is not grouped by, the last key lowest.
+    ids = [sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in by) for by in groupings]
+    sets = [[F.col(name) for name in by] for by in groupings]
+    counts = df.groupingSets(sets, *keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_id")
+    )
+    sizes = counts.groupBy("_id").agg(F.count(F.lit(1)).alias("groups"), F.max("_rows").alias("largest"))
+    found = {row["_id"]: (row["groups"], row["largest"]) for row in sizes.collect()}
+    return [found.get(i, (0, 0)) for i in ids]
 
 
 def stored(df: DataFrame, *partition_by: str) -> DataFrame:

@@ -67,7 +67,7 @@ def lead(source: str) -> Measure:
 
 @dataclass(frozen=True)
 class Order:
-    """Order by a numeric column, equal values by a numeric row key.
+    """Order by a numeric column, equal values by a numeric row key that is unique.
 
     Ascending puts NULL first and descending puts it last, as Spark does by default.
     """
@@ -81,32 +81,55 @@ class Order:
         return [F.col(c).desc() if self.descending else F.col(c).asc() for c in names]
 
 
+@dataclass(frozen=True)
+class Step:
+    """Window columns of one partitioning and order."""
+
+    by: tuple[str, ...]
+    order: Order
+    measures: dict[str, Measure]
+
+
 def window_columns(
     df: DataFrame,
     by: list[str],
     order: Order,
     measures: dict[str, Measure],
     group_rows: int = GROUP_ROWS,
-    base: DataFrame | None = None,
 ) -> DataFrame:
-    """Add window columns; groups above ``group_rows`` rows are computed in chunks.
+    """Add window columns; groups above ``group_rows`` rows are computed in chunks."""
+    return window_steps(df, [Step(tuple(by), order, measures)], group_rows)
 
-    ``base`` is where sizes and cuts are read from: a relation with the same rows that is
-    cheap to read several times, such as the scan below a chain of window columns.
+
+def window_steps(df: DataFrame, steps: list[Step], group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Add the window columns of several steps.
+
+    Sizes and cuts are read from ``df`` itself, not from the growing chain above it: one scan
+    for all sizes, and one set of cuts for all steps of equal order.
     """
-    base = df if base is None else base
-    groups, largest = group_sizes(base, by)
-    if largest <= group_rows:
-        return plain_windows(df, by, order, measures)
-    if groups <= FEW_GROUPS:
-        return chunked_windows(df, by, order, measures, group_rows, base)
-    rest, hot = split_hot(df, by, group_rows)
-    return union_parts(
-        [
-            rest if rest is None else plain_windows(rest, by, order, measures),
-            hot if hot is None else chunked_windows(hot, by, order, measures, group_rows),
-        ]
-    )
+    sizes = group_sizes(df, *[list(step.by) for step in steps])
+    cuts: dict[Order, Callable[[DataFrame], DataFrame]] = {}
+    result = df
+    for step, (groups, largest) in zip(steps, sizes):
+        by = list(step.by)
+        if largest <= group_rows:
+            result = plain_windows(result, by, step.order, step.measures)
+        elif groups <= FEW_GROUPS:
+            if step.order not in cuts:
+                cuts[step.order] = plan_cuts(df, step.order, group_rows)
+            result = chunked_windows(
+                result, by, step.order, step.measures, group_rows, df, cuts[step.order]
+            )
+        else:
+            rest, hot = split_hot(result, by, group_rows)
+            parts = [
+                rest if rest is None else plain_windows(rest, by, step.order, step.measures),
+                hot
+                if hot is None
+                else chunked_windows(hot, by, step.order, step.measures, group_rows),
+            ]
+            result = union_parts(parts)
+    return result
 
 
 def plain_windows(
@@ -150,18 +173,19 @@ def chunked_windows(
     measures: dict[str, Measure],
     chunk_rows: int = GROUP_ROWS,
     base: DataFrame | None = None,
+    place: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The same columns, computed chunk by chunk.
 
     Cuts and chunk summaries come from ``base`` (``df`` itself by default), which is read
-    several times.
+    several times. ``place`` is what ``plan_cuts`` returned for the same order, if it is known.
     """
     chunk = ["_group", "_vb", "_kb"]
     # A struct compares equal to another with the same NULL fields, so groups with a
     # NULL key join like the rest and the join shares its shuffle with the windows.
     group = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
     base = df if base is None else base
-    place = plan_cuts(base, order, chunk_rows)
+    place = place or plan_cuts(base, order, chunk_rows)
     before = _before_each_chunk(place(base.withColumn("_group", group)), order, measures)
     joined = place(df.withColumn("_group", group)).join(before, chunk)
 

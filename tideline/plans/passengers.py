@@ -9,10 +9,13 @@ from tideline.functions.scoring import survival_score, survival_score_arrow
 from tideline.operators import windows as w
 from tideline.operators.groups import GROUP_ROWS
 
-BY_CLASS = (["pclass"], w.Order("fare", "passenger_id"))
-BY_SEX_CLASS = (["sex", "pclass"], w.Order("age", "passenger_id"))
-BY_PORT = (["embarked"], w.Order("fare", "passenger_id"))
-BY_ALL = ([], w.Order("fare", "passenger_id"))
+FARE = w.Order("fare", "passenger_id")
+AGE = w.Order("age", "passenger_id")
+
+BY_CLASS = (("pclass",), FARE)
+BY_SEX_CLASS = (("sex", "pclass"), AGE)
+BY_PORT = (("embarked",), FARE)
+BY_ALL = ((), FARE)
 
 FARE_RANKS = {"fare_rank_by_class": w.RANK, "fare_percentile_by_class": w.PERCENT_RANK}
 AGE_RANK = {"age_rank_by_sex_class": w.DENSE_RANK}
@@ -21,20 +24,17 @@ AGE_MOVING_AVG = {"age_moving_avg_3": w.centred_avg("age")}
 FARE_NEIGHBOURS = {"fare_lag_1": w.lag("fare"), "fare_lead_1": w.lead("fare")}
 GLOBAL_PERCENTILE = {"global_fare_percentile": w.PERCENT_RANK}
 
-WINDOW_STEPS = (
-    (BY_CLASS, FARE_RANKS | AGE_MOVING_AVG | FARE_NEIGHBOURS),
-    (BY_SEX_CLASS, AGE_RANK),
-    (BY_PORT, FARE_CUMSUM),
-    (BY_ALL, GLOBAL_PERCENTILE),
-)
+WINDOW_STEPS = [
+    w.Step(*BY_CLASS, FARE_RANKS | AGE_MOVING_AVG | FARE_NEIGHBOURS),
+    w.Step(*BY_SEX_CLASS, AGE_RANK),
+    w.Step(*BY_PORT, FARE_CUMSUM),
+    w.Step(*BY_ALL, GLOBAL_PERCENTILE),
+]
 
 
 def passenger_windows(passengers: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """All eight window columns; sizes and cuts are read from the passengers themselves."""
-    result = passengers
-    for (by, order), measures in WINDOW_STEPS:
-        result = w.window_columns(result, by, order, measures, group_rows, passengers)
-    return result
+    """All eight window columns."""
+    return w.window_steps(passengers, WINDOW_STEPS, group_rows)
 
 
 def passenger_transformed(passengers: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
