@@ -233,7 +233,7 @@ def agg_refresh_incremental(spark, folder):
     return ch.refresh_touched(
         star.agg_customer_revenue(target),
         ch.apply_changes(target, changes),
-        ch.touched_groups(target, changes),
+        stored(ch.touched_groups(target, changes)),
         star.agg_customer_revenue,
     )
 
