@@ -93,6 +93,16 @@ def test_nan_follows_numbers(spark):
         assert rows_of(w.chunked_windows(df, [], order, measures, 20)) == rows_of(plain)
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_signed_zeros_and_infinities(spark, descending):
+    values = [0.0, -0.0, float("inf"), float("-inf"), 0.0, -0.0, 1.5, -1.5, None, float("nan")]
+    df = spark.createDataFrame([(i, values[i % 10]) for i in range(400)], "key bigint, value double")
+    order = w.Order("value", "key", descending)
+    measures = {"rn": w.ROW_NUMBER, "rk": w.RANK, "dr": w.DENSE_RANK, "pr": w.PERCENT_RANK}
+    plain = w.plain_windows(df, [], order, measures).drop("value")
+    assert rows_of(w.chunked_windows(df, [], order, measures, 15).drop("value")) == rows_of(plain)
+
+
 def test_one_row_and_no_row(spark):
     one = spark.createDataFrame([(1, 2.0)], "key bigint, value double")
     order = w.Order("value", "key")
@@ -121,6 +131,11 @@ def test_range_sums_agree(stamped):
     assert rows_of(collapsed) == rows_of(plain)
 
 
+def test_range_sums_without_groups(stamped):
+    plain = plain_range_sums(stamped, [], "at", -3, 3, {"s": "r"})
+    assert rows_of(range_sums(stamped, [], "at", -3, 3, {"s": "r"}, 100, 100)) == rows_of(plain)
+
+
 def test_swept_range_sums(stamped):
     points = stamped.groupBy("c", "at").agg(F.sum("r").alias("r"), F.count(F.lit(1)).alias("n"))
     sums = {"s": "r", "m": "n"}

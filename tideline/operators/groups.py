@@ -46,6 +46,8 @@ def split_hot(
     With hot groups, ``df`` is computed once and stored in two partitions of one Parquet
     folder; each part then reads its own, as often as it needs to.
     """
+    if not by:
+        return (None, stored(df)) if df.count() > group_rows else (df, None)
     keys = hot_groups(df, by, group_rows)
     if keys is None:
         return df, None

@@ -306,12 +306,15 @@ def plan_cuts(
 
 
 def _numbered(df: DataFrame, order: Order) -> DataFrame:
-    """Value and key as doubles that ascend in the wanted order."""
+    """Value and key as doubles that ascend in the wanted order.
+
+    Adding zero turns -0.0 into 0.0: Spark sorts them as equal, a search among cuts does not.
+    """
     sign = -1.0 if order.descending else 1.0
     return df.withColumns(
         {
-            "_v": F.col(order.value).cast("double") * sign,
-            "_k": F.col(order.key).cast("double") * sign,
+            "_v": F.col(order.value).cast("double") * sign + F.lit(0.0),
+            "_k": F.col(order.key).cast("double") * sign + F.lit(0.0),
         }
     )
 
@@ -332,16 +335,15 @@ def quantiles(df: DataFrame, names: list[str], parts: int, rows: int) -> list[li
     if rows > 4 * wanted:
         df = df.sample(fraction=wanted / rows, seed=7)
     shares = [i / parts for i in range(1, parts)]
-    return df.approxQuantile(names, shares, 1 / (4 * parts))
+    found = df.approxQuantile(names, shares, 1 / (4 * parts))
+    return [[cut for cut in cuts if math.isfinite(cut)] for cuts in found]
 
 
 def bucketed(df: DataFrame, source: str, target: str, bounds: list[float]) -> DataFrame:
     """Number of the interval between bounds a value lies in, by binary search; NULL stays NULL."""
     if not bounds:
         return df.withColumn(target, F.when(F.col(source).isNotNull(), F.lit(0.0)))
-    splits = [-math.inf, *[b for b in bounds if math.isfinite(b)], math.inf]
-    if len(splits) < 3:
-        return df.withColumn(target, F.when(F.col(source).isNotNull(), F.lit(0.0)))
+    splits = [-math.inf, *bounds, math.inf]
     buckets = Bucketizer(splits=splits, inputCol=source, outputCol=target, handleInvalid="keep")
     return buckets.transform(df).withColumn(
         target, F.when(F.col(source).isNotNull(), F.col(target))
