@@ -73,6 +73,37 @@ def test_outcomes(target, changes):
     assert every.agg(F.sum("changes")).first()[0] == 9
 
 
+def test_statement_merges_alike(target, changes):
+    import duckdb
+
+    db = duckdb.connect()
+    old, new = target.toPandas(), changes.toPandas()  # noqa: F841
+    kinds = "orderkey bigint, custkey bigint, orderdate date, order_revenue double"
+    db.sql(f"create table facts ({kinds})")
+    db.sql("insert into facts select * from old")
+    db.sql(f"create table feed ({kinds}, op varchar)")
+    db.sql("insert into feed select * from new")
+    db.sql(ch.merge_statement("facts", "feed", target.columns))
+    merged = ch.apply_changes(target, changes)
+    theirs = db.sql(f"select {', '.join(sorted(target.columns))} from facts").fetchall()
+    assert sorted(theirs, key=repr) == rows_of(merged)
+
+
+def test_merge_into_needs_a_table_that_takes_merge(spark, changes):
+    from pyspark.errors import PySparkException
+
+    from tideline.session import scratch_database
+
+    database = scratch_database(spark)
+    changes.drop("op").write.saveAsTable(f"{database}.facts")
+    try:
+        with pytest.raises(PySparkException, match="MERGE"):
+            ch.merge_into(changes, f"{database}.facts")
+        assert not spark.catalog.tableExists("changes_of_facts")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 @pytest.mark.parametrize("broadcast_rows", [1000, 0])
 def test_incremental_refresh_equals_full(target, changes, broadcast_rows):
     merged = ch.apply_changes(target, changes)

@@ -137,6 +137,34 @@ def apply_changes(
     return kept.unionByName(new.select(*columns))
 
 
+def merge_statement(target: str, source: str, columns: list[str], key: str = "orderkey") -> str:
+    """The same merge as SQL, for tables that take MERGE. ``columns`` are the target's."""
+    assignments = ", ".join(f"{c} = source.{c}" for c in columns)
+    values = ", ".join(f"source.{c}" for c in columns)
+    return (
+        f"MERGE INTO {target} AS target USING {source} AS source ON target.{key} = source.{key} "
+        f"WHEN MATCHED AND source.op = 'D' THEN DELETE "
+        f"WHEN MATCHED AND source.op = 'U' THEN UPDATE SET {assignments} "
+        f"WHEN NOT MATCHED AND source.op = 'I' THEN INSERT ({', '.join(columns)}) VALUES ({values})"
+    )
+
+
+def merge_into(changes: DataFrame, table: str, key: str = "orderkey") -> None:
+    """Run the merge inside a catalog whose tables take MERGE; Parquet tables do not.
+
+    The statement is all or nothing there. For Parquet, write the result of ``apply_changes``.
+    """
+    inspect_changes(changes, key)
+    spark = changes.sparkSession
+    view = f"changes_of_{table.split('.')[-1]}"
+    changes.createOrReplaceTempView(view)
+    try:
+        columns = [c for c in changes.columns if c != "op"]
+        spark.sql(merge_statement(table, view, columns, key))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def change_outcomes(
     target: DataFrame,
     changes: DataFrame,

@@ -196,7 +196,11 @@ def cdc_dedup(spark, folder):
 
 @query
 def cdc_staged(spark, folder):
-    return staged(spark, folder).select(*FEED_COLUMNS, *star.WINDOW_COLUMNS)
+    """Staged twice over: into a new table, then into the one that is there by then."""
+    changes, table = staged(spark, folder), f"{scratch_database(spark)}.{jobs.STAGED}"
+    sinks.insert_overwrite(changes, table)
+    sinks.overwrite_existing(changes, table)
+    return spark.table(table).select(*FEED_COLUMNS, *star.WINDOW_COLUMNS)
 
 
 @query
