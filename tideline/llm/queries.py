@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fertility, langid, packing, quality_model, urls
+from tideline.llm import chat, decontaminate, fertility, langid, line_dedup, near_dups, packing, passages, quality_model, urls
 from tideline.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,30 @@ def op5_quality(spark, folder):
 def op6_fertility(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
     return fertility.judge_quality(docs, keep_text=False).drop("lang")
+
+
+@query
+def op8_line_dedup(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).drop("longest_run")
+
+
+ORACLE["op8_line_dedup"] = line_dedup.dedup_sql("documents")
+
+
+@query
+def op9_decontaminate(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.mark_contaminated(docs, read(spark, folder, "benchmark")).drop("text")
+
+
+@query
+def op10_near_duplicates(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return near_dups.near_duplicates(docs).drop("text")
+
+
+@query
+def op7_passages(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return passages.mark_passages(docs).drop("text")
