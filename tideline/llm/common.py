@@ -13,7 +13,17 @@ from pyspark.sql import types as T
 # Texts of one Arrow batch are worked on in pieces of about so many bytes.
 BATCH_BYTES = 8_000_000
 # Words of one Python worker's cache; it starts afresh when full.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 600_000
+# What a Python worker keeps from one task to the next: one thing, under the name it was made for.
+KEPT: dict = {}
+
+
+def kept(name: tuple, make: Callable):
+    """What ``make`` returned when this worker last asked for ``name``, if nothing else was kept since."""
+    if name not in KEPT:
+        KEPT.clear()
+        KEPT[name] = make()
+    return KEPT[name]
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import CachedWords, slices, text_key, utf8_texts
+from tideline.llm.common import CachedWords, kept, slices, text_key, utf8_texts
 from tideline.operators.groups import stored
 
 # Tokens of a window; items with fewer tokens are one window of their own length.
@@ -86,6 +86,10 @@ def token(word: bytes) -> bytes:
     return record.tobytes()
 
 
+def cached_tokens() -> CachedWords:
+    return kept(("template tokens",), lambda: CachedWords(token))
+
+
 class Tokens:
     """The tokens of a batch of texts, end to end."""
 
@@ -141,7 +145,7 @@ def item_windows(benchmark: DataFrame, item: str, text: str, window: int, shorte
     names = ["item", "tokens", "place", "size", "window", "slots"]
 
     def run(batches: Iterator[pa.RecordBatch]):
-        known = CachedWords(token)
+        known = cached_tokens()
         for batch in slices(batches, "text"):
             tokens = Tokens(utf8_texts(batch.column("text")), known)
             ids = batch.column("item").to_pylist()
@@ -168,7 +172,7 @@ def text_windows(docs: DataFrame, text: str, sizes: list[int], bitmap: Broadcast
     names = ["_key", "_check", "place", "size", "window", "slots"]
 
     def run(batches: Iterator[pa.RecordBatch]):
-        known, bits = CachedWords(token), bitmap.value
+        known, bits = cached_tokens(), bitmap.value
         mask = np.uint64(len(bits) * 8 - 1)
         for batch in slices(batches, "text"):
             tokens = Tokens(utf8_texts(batch.column("text")), known)
@@ -191,7 +195,7 @@ def window_map(items: DataFrame, bits: int) -> np.ndarray:
     """A bit per benchmark window, put together by Spark; its size is fixed, whatever the benchmark's."""
     bit = F.col("window").bitwiseAND(bits - 1)
     words = items.groupBy(F.shiftright(bit, 3).alias("byte")).agg(
-        F.bit_or(F.shiftleft(F.lit(1), bit.bitwiseAND(7).cast("int"))).alias("bits")
+        F.bit_or(F.expr("shiftleft(1, cast(window & 7 AS int))")).alias("bits")
     )
     found = np.zeros(bits // 8, dtype=np.uint8)
     for row in words.toLocalIterator():

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.llm.common import CachedWords, utf8_texts, with_columns
+from tideline.llm.common import kept as of_worker
 from tideline.operators.groups import stored
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -71,22 +72,17 @@ def text_features(df: DataFrame, text: str = "text", vocabulary: str = VOCABULAR
     so white space plays no part. NULL and empty texts have zeros. Same-named columns of ``df``
     are replaced.
     """
-    state: dict = {}
 
     def words_as_ids():
         pieces = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
         n = pieces.get_piece_size()
-        state["fallback"] = np.array([pieces.is_byte(i) for i in range(n)])
+        fallback = np.array([pieces.is_byte(i) for i in range(n)])
         kind = np.uint16 if n <= 1 << 16 else np.uint32
-        state["kind"] = kind
-        state["words"] = CachedWords(
-            lambda word: np.array(pieces.encode(word.decode("utf-8", "replace")), dtype=kind).tobytes()
-        )
+        words = CachedWords(lambda word: np.array(pieces.encode(word.decode("utf-8", "replace")), dtype=kind).tobytes())
+        return words, fallback, kind
 
     def compute(batch: pa.RecordBatch) -> list:
-        if not state:
-            words_as_ids()
-        known, fallback, kind = state["words"], state["fallback"], state["kind"]
+        known, fallback, kind = of_worker(("word pieces", vocabulary), words_as_ids)
         rows = []
         for raw in utf8_texts(batch.column(text)):
             words = raw.split()

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tideline.llm.common import CachedWords, slices, to_arrow, utf8_texts
+from tideline.llm.common import kept as of_worker
 from tideline.operators.groups import stored
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -66,12 +67,9 @@ def token_pieces(
     kept = [c for c in docs.columns if c not in (text, *names)]
     schema = T.StructType([docs.schema[c] for c in kept] + PIECE)
     types = to_arrow(T.StructType(PIECE))
-    state: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]):
-        if not state:
-            state["words"] = word_ids(vocabulary)
-        known = state["words"]
+        known = of_worker(("word ids", vocabulary), lambda: word_ids(vocabulary))
         last = np.array([end], dtype="<u4").tobytes()
         for batch in slices(batches, text):
             rows, pieces = [], []

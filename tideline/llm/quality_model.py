@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import operator
+import uuid
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import CachedWords, utf8_texts, with_columns
+from tideline.llm.common import CachedWords, kept, utf8_texts, with_columns
 
 BUCKETS = 1 << 17
 # The last bucket stands for the word bigram of a word and itself.
@@ -109,14 +110,14 @@ def score(df: DataFrame, model: Broadcast, text: str = "text") -> DataFrame:
     (0.5 if there were none). Rows are scored one by one; columns named score or predicted are
     replaced. A word's buckets are summed up once and kept, as the mean over a document is linear.
     """
-    cache: dict[str, CachedWords] = {}
+    run = uuid.uuid4().hex
 
     def compute(batch: pa.RecordBatch) -> list:
         weights, bias = model.value
-        if "words" not in cache:
-            # Real part: sum of the weights; imaginary part: number of buckets.
-            cache["words"] = CachedWords(lambda w: complex(weights[b := features(w)].sum(), len(b)))
-        known = cache["words"]
+        # Real part: sum of the weights; imaginary part: number of buckets.
+        known = kept(
+            ("word odds", run), lambda: CachedWords(lambda w: complex(weights[b := features(w)].sum(), len(b)))
+        )
         odds = []
         for value in utf8_texts(batch.column(text)):
             words = value.split()
