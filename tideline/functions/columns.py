@@ -17,20 +17,63 @@ def money(name: str) -> Column:
     return F.col(name).cast("decimal(15,2)")
 
 
+# Decimals that exact sums of doubles keep, and the size from which an amount has no room in them.
+SUM_DIGITS = 12
+SUM_LIMIT = 1e25
+
+
+def exact_parts(number: Column) -> list[Column]:
+    """What to sum of a column of doubles so that the sum does not hang on the order of the rows.
+
+    The amount as decimal(38,12), and counts of NaN, Infinity and -Infinity. Amounts of 1e25 and
+    more, which have no room in it, stop the query rather than change its result.
+    """
+    value = number.cast("double")
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
+    fits = F.when(F.abs(value) < SUM_LIMIT, value).otherwise(
+        F.raise_error(F.lit(f"amounts of {SUM_LIMIT} and more cannot be summed exactly")).cast("double")
+    )
+    counts = [F.isnan(value), value == float("inf"), value == float("-inf")]
+    return [
+        F.when(finite, fits).cast(f"decimal(38,{SUM_DIGITS})"),
+        *[F.when(value.isNotNull(), test.cast("bigint")) for test in counts],
+    ]
+
+
+def exact_double(sums: list[Column]) -> Column:
+    """The double that the sums of ``exact_parts`` make; NULL if there was nothing to sum."""
+    total, nan, up, down = sums
+    return (
+        F.when((nan > 0) | ((up > 0) & (down > 0)), float("nan"))
+        .when(up > 0, float("inf"))
+        .when(down > 0, float("-inf"))
+        .otherwise(total.cast("double"))
+    )
+
+
 def exact_sum(amount: Column, digits: int = 4) -> Column:
-    """Exact sum of amounts with at most ``digits`` decimals, as decimal(28,4).
+    """Exact sum of amounts of at most ``digits`` decimals, as decimal(28,digits).
 
     Whole units and fractions are summed as two integers: the order of rows does not
     matter, the sums stay in generated code (decimal sums do not), and they hold far more
     rows of one group than a single scaled integer would. Amounts are taken as doubles, so
-    one amount is exact up to about 9e11 with four decimals.
+    one amount is exact up to about 9e11 with four decimals. An amount with more decimals, or
+    one that is no finite number, stops the query: it is not rounded away. ``digits`` is then
+    to be raised, or the amount to be rounded where that is wanted.
     """
     number = amount.cast("double")
-    whole = F.floor(number)
-    parts = F.rint((number - whole) * float(10**digits)).cast("bigint")
+    finite = number.isNull() | (~F.isnan(number) & (F.abs(number) != float("inf")))
+    scaled = (number - F.floor(F.when(finite, number))) * float(10**digits)
+    # Doubles of a few digits are off by parts of their last place only.
+    rest = F.abs(scaled - F.rint(scaled))
+    allowed = F.greatest(F.lit(1e-6), F.abs(number) * float(10**digits) * 4e-16)
+    told = F.lit(f"an amount is not a finite number of at most {digits} decimals")
+    checked = F.when(finite & (number.isNull() | (rest <= allowed)), number).otherwise(F.raise_error(told).cast("double"))
+    whole = F.floor(checked)
+    parts = F.rint((checked - whole) * float(10**digits)).cast("bigint")
     unit = F.lit(Decimal(1).scaleb(-digits))
     return (F.sum(whole).cast("decimal(28,0)") + F.sum(parts).cast("decimal(28,0)") * unit).cast(
-        "decimal(28,4)"
+        f"decimal(28,{digits})"
     )
 
 

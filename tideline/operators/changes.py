@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.operators.sampling import key_number, key_uniform
 
@@ -17,8 +18,9 @@ INSERT_KEY_OFFSET = 10_000_000
 UPDATE_MARK = "upd"
 STATUS_WIDTH, PRIORITY_WIDTH, CLERK_WIDTH = 10, 15, 15
 
-# A change set up to this many rows is broadcast; a larger one is joined by shuffle.
+# A change set up to this many rows and bytes is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def make_changes(sample: DataFrame, salt: str) -> DataFrame:
@@ -72,26 +74,34 @@ def stage_changes(changes: DataFrame) -> DataFrame:
     )
 
 
-def inspect_changes(changes: DataFrame, key: str = "orderkey") -> int:
-    """Rows of a change set; refuses one in which a key occurs twice.
+def row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in memory: 16 bytes a column, and its texts."""
+    texts = [F.col(f.name) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c in texts]
+    return sum(sizes, F.lit(16 * (1 + len(df.columns)))).cast("bigint")
+
+
+def inspect_changes(changes: DataFrame, key: str = "orderkey", rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a change set is small; refuses one in which a key occurs twice.
 
     Applying such a set would be ambiguous. NULL keys match nothing and may repeat.
     """
-    per_key = changes.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = changes.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum(row_bytes(changes)).alias("_bytes"))
     repeated = F.when(F.col("_n") > 1, F.col(key))
-    rows, example = per_key.agg(F.sum("_n"), F.max(repeated)).first()
+    found, size, example = per_key.agg(F.sum("_n"), F.sum("_bytes"), F.max(repeated)).first()
     if example is not None:
         raise ValueError(f"several changes for {key} {example}; use last_per_key first")
-    return rows or 0
+    return (found or 0) <= rows and (size or 0) <= BROADCAST_BYTES
 
 
 def is_small(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; stops counting beyond."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows, and no more bytes than are broadcast; one partial aggregate."""
+    found, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return found <= rows and (size or 0) <= BROADCAST_BYTES
 
 
 def hinted(df: DataFrame, small: bool) -> DataFrame:
-    """Marked for broadcast if its rows were counted and found few."""
+    """Marked for broadcast if its rows and bytes were counted and found few."""
     return F.broadcast(df) if small else df
 
 
@@ -114,12 +124,15 @@ def apply_changes(
     """The target after the changes.
 
     Matched D rows go, matched U rows take every column of the change, unmatched I rows come
-    in; any other combination, a NULL ``op`` included, changes nothing. The target side is
+    in; any other combination, a NULL ``op`` included, changes nothing. Changes must have the
+    target's columns and ``op``, in any order: none is dropped in silence. The target side is
     never the built side of a join and never in an outer join that cannot be split, so a
     frequent target key stays divisible.
     """
-    small = inspect_changes(changes, key) <= broadcast_rows
     columns = target.columns
+    if {c.lower() for c in changes.columns} != {c.lower() for c in columns} | {"op"}:
+        raise ValueError(f"changes have columns {changes.columns}; expected op and {columns}")
+    small = inspect_changes(changes, key, broadcast_rows)
     touching = changes.filter(F.col("op").isin("U", "D")).select(
         F.col(key).alias("_key"),
         F.col("op").alias("_op"),

@@ -15,8 +15,9 @@ from tideline.operators.ranges import point_range_sums
 
 # Fixed value: ages of comparable passengers differ by less than this many years.
 AGE_BAND = 5
-# Ages are compared in whole millionths of a year, so the band has exact ends.
-AGE_UNITS = 1_000_000
+# Ages are compared in whole units of 1e-14 years, about what a double of such size tells apart,
+# so the band has exact, open ends.
+AGE_UNITS = 10**14
 
 
 def cross_pair_counts(df: DataFrame, by: str = "pclass") -> DataFrame:
@@ -31,7 +32,7 @@ def comparable_pairs(
 ) -> DataFrame:
     """Totals over all ordered pairs alike in class, sex and port with ages less than 5 apart.
 
-    A passenger pairs with itself too. Rows are first collapsed to one per group and age;
+    A passenger pairs with itself too; an infinite age is 5 years from none, itself included. Rows are first collapsed to one per group and age;
     a range sum over the ages then gives each age the totals of its partners.
     """
     by = ["pclass", "sex", "embarked"]
@@ -41,6 +42,7 @@ def comparable_pairs(
         & F.col("embarked").isNotNull()
         & F.col("age").isNotNull()
         & ~F.isnan("age")
+        & (F.abs("age") != float("inf"))
     )
     ages = (
         known.withColumn("at", F.rint(F.col("age") * AGE_UNITS).cast("bigint"))

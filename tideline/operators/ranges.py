@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tideline.operators.groups import FRAME_ROWS, GROUP_ROWS, split_hot, stored, union_parts
@@ -38,9 +38,36 @@ def range_sums(
 def plain_range_sums(
     df: DataFrame, by: list[str], position: str, low: int, high: int, sums: dict[str, str]
 ) -> DataFrame:
-    """One Spark range window over each group."""
-    window = Window.partitionBy(*by).orderBy(position).rangeBetween(low, high)
-    return df.withColumns({name: F.sum(source).over(window) for name, source in sums.items()})
+    """One sort of each group: a range is the difference of two running frames.
+
+    Spark adds up a sliding frame anew for each row; a frame without a lower end only grows.
+    """
+    order = Window.partitionBy(*by).orderBy(position)
+    return df.withColumns({name: difference(df, source, position, order, low, high) for name, source in sums.items()})
+
+
+def difference(
+    df: DataFrame, source: str, position: str, order: WindowSpec, low: int, high: int, descending: bool = False
+) -> Column:
+    """Sum of ``source`` over positions in [own + low, own + high], NULL if there is nothing to sum.
+
+    ``order`` sorts by ``position``, NULL where Spark puts it by default. Rows with no position
+    see only one another: what stands before them in a descending order is taken off.
+    """
+    near, far = (-low, -high - 1) if descending else (high, low - 1)
+    upto = order.rangeBetween(Window.unboundedPreceding, near)
+    below = order.rangeBetween(Window.unboundedPreceding, far)
+    everything = order.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = F.when(F.col(position).isNotNull(), F.col(source))
+
+    def outside(measure):
+        before_nulls = measure(placed).over(everything) if descending else F.lit(None)
+        return F.when(F.col(position).isNull(), before_nulls).otherwise(measure(F.col(source)).over(below))
+
+    taken = F.coalesce(outside(F.sum), F.lit(0))
+    seen = F.count(source).over(upto) - F.coalesce(outside(F.count), F.lit(0))
+    kind = df.select(F.sum(source)).schema[0].dataType
+    return F.when(seen > 0, F.sum(source).over(upto) - taken).cast(kind)
 
 
 def collapsed_range_sums(

@@ -57,13 +57,17 @@ def write_table(df: DataFrame, table: str) -> int:
 def insert_overwrite(df: DataFrame, table: str) -> None:
     """Create the table if it is absent, then replace its rows; the table itself stays.
 
-    ``df`` must not read the table: Spark refuses to overwrite what it is reading.
+    Columns go by name and must be the table's, in any order. ``df`` must not read the table:
+    Spark refuses to overwrite what it is reading.
     """
     spark = df.sparkSession
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} USING parquet AS SELECT * FROM {{df}} WHERE false", df=df
     )
-    ordered = df.select(*spark.table(table).columns)
+    columns = spark.table(table).columns
+    if sorted(c.lower() for c in columns) != sorted(c.lower() for c in df.columns):
+        raise ValueError(f"{table} has columns {columns}, the rows to insert have {df.columns}")
+    ordered = df.select(*columns)
     spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM {{df}}", df=ordered)
 
 

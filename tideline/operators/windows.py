@@ -5,7 +5,8 @@ large for one is cut into chunks that follow the window's order: by value, and
 inside a value that alone is too frequent, by the row key. A window then runs inside
 each chunk, and what precedes a chunk (row counts, sums, neighbouring values) is
 added from a summary with one row per chunk. Rows are shuffled once, no sort is
-global, and the result does not depend on where the cuts fall.
+global, and the result does not depend on where the cuts fall: running sums of doubles
+are summed as decimals and cast once at the end, in either way of computing them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tideline.functions.columns import exact_double, exact_parts
 from tideline.operators.groups import (
     FEW_GROUPS,
     GROUP_ROWS,
@@ -27,8 +30,11 @@ from tideline.operators.groups import (
     union_parts,
 )
 
-MAX_CHUNKS = 10_000
 ROWS_PER_CUT = 1000
+# Into how many chunks a window over all rows is cut at least, unless they get too small.
+ALL_CHUNKS, LEAST_CHUNK = 64, 10_000
+# Whole numbers up to this are told apart as doubles.
+EXACT_WHOLE = 1 << 53
 
 
 @dataclass(frozen=True)
@@ -112,7 +118,12 @@ def window_steps(df: DataFrame, steps: list[Step], group_rows: int = GROUP_ROWS)
     result = df
     for step, (groups, largest) in zip(steps, sizes):
         by = list(step.by)
-        if largest <= group_rows:
+        if not by:
+            # One window over all rows would be one task, however few the rows.
+            rows = min(group_rows, max(LEAST_CHUNK, largest // ALL_CHUNKS))
+            place = cuts.setdefault(step.order, plan_cuts(df, step.order, rows))
+            result = chunked_windows(result, by, step.order, step.measures, rows, df, place)
+        elif largest <= group_rows:
             result = plain_windows(result, by, step.order, step.measures)
         elif groups <= FEW_GROUPS:
             if step.order not in cuts:
@@ -140,12 +151,16 @@ def plain_windows(
     by_value = Window.partitionBy(*by).orderBy(order.columns()[0])
     ranks = {name: m for name, m in measures.items() if m.kind in RANKS}
     others = {name: m for name, m in measures.items() if m.kind not in RANKS}
-    result = df.withColumns({name: _plain(m, by_row) for name, m in others.items()})
-    result = result.withColumns({name: _plain(m, by_value) for name, m in ranks.items()})
+    result = df.withColumns({name: _plain(m, by_row, df) for name, m in others.items()})
+    result = result.withColumns({name: _plain(m, by_value, df) for name, m in ranks.items()})
     return result.select(*df.columns, *measures)
 
 
-def _plain(measure: Measure, window: WindowSpec) -> Column:
+def is_float(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType))
+
+
+def _plain(measure: Measure, window: WindowSpec, df: DataFrame) -> Column:
     kind, source = measure.kind, measure.source
     if kind == "row_number":
         return F.row_number().over(window).cast("bigint")
@@ -156,9 +171,12 @@ def _plain(measure: Measure, window: WindowSpec) -> Column:
     if kind == "percent_rank":
         return F.percent_rank().over(window)
     if kind == "running_sum":
-        return F.sum(source).over(window.rowsBetween(Window.unboundedPreceding, 0))
+        upto = window.rowsBetween(Window.unboundedPreceding, 0)
+        if is_float(df, source):
+            return exact_double([F.sum(part).over(upto) for part in exact_parts(F.col(source))])
+        return F.sum(source).over(upto)
     if kind == "centred_avg":
-        return F.avg(source).over(window.rowsBetween(-1, 1))
+        return F.avg(F.col(source).cast("double")).over(window.rowsBetween(-1, 1))
     if kind == "lag":
         return F.lag(source, 1).over(window)
     if kind == "lead":
@@ -195,7 +213,8 @@ def chunked_windows(
     working = {"_position": F.row_number().over(inside)}
     for source in sorted({m.source for m in measures.values() if m.kind == "running_sum"}):
         window = inside.rowsBetween(Window.unboundedPreceding, 0)
-        working[f"_sum_{source}"] = F.sum(source).over(window)
+        parts = exact_parts(F.col(source)) if is_float(df, source) else [F.col(source)]
+        working[f"_sum_{source}"] = F.array(*[F.sum(part).over(window) for part in parts])
     for source in sorted({m.source for m in measures.values() if m.kind in NEIGHBOURS}):
         working[f"_lag_{source}"] = F.lag(source, 1).over(inside)
         working[f"_lead_{source}"] = F.lead(source, 1).over(inside)
@@ -204,10 +223,10 @@ def chunked_windows(
         result = result.withColumn("_rank", F.rank().over(inside_by_value))
     if "dense_rank" in kinds:
         result = result.withColumn("_dense", F.dense_rank().over(inside_by_value))
-    return result.select(*df.columns, *[_chunked(m).alias(name) for name, m in measures.items()])
+    return result.select(*df.columns, *[_chunked(m, df).alias(name) for name, m in measures.items()])
 
 
-def _chunked(measure: Measure) -> Column:
+def _chunked(measure: Measure, df: DataFrame) -> Column:
     """A measure from the value inside the chunk and what the summary says came before."""
     kind, source = measure.kind, measure.source
     rank = F.col("_rows_of_less") + F.when(F.col("_single"), 1).otherwise(F.col("_rank"))
@@ -225,7 +244,13 @@ def _chunked(measure: Measure) -> Column:
         ).otherwise(F.lit(0.0))
     if kind == "running_sum":
         here, before = F.col(f"_sum_{source}"), F.col(f"_sum_before_{source}")
-        return F.coalesce(before + here, here, before)
+
+        def both(i: int) -> Column:
+            return F.coalesce(before[i] + here[i], here[i], before[i])
+
+        if is_float(df, source):
+            return exact_double([both(i) for i in range(len(exact_parts(F.col(source))))])
+        return both(0).cast(df.select(F.sum(source)).schema[0].dataType)
     previous = F.when(F.col("_position") == 1, F.col(f"_last_before_{source}")).otherwise(
         F.col(f"_lag_{source}")
     )
@@ -256,12 +281,13 @@ def plan_cuts(
     """
     numbered = _numbered(base, order)
     rows, numberless = numbered.agg(F.count(F.lit(1)), F.count(F.when(_no_number(), 1))).first()
-    parts = min(MAX_CHUNKS, max(1, math.ceil(rows / chunk_rows)))
+    parts = max(1, math.ceil(rows / chunk_rows))
     value_cuts, key_cuts = quantiles(numbered, ["_v", "_k"], parts, rows)
 
     # A quantile that repeats is a value too frequent for one chunk: it gets a bucket to
     # itself, which closes at the next larger double.
-    frequent = sorted(v for v, times in Counter(value_cuts).items() if times > 1)
+    # Not so where other values of the column are the same double: these must stay together.
+    frequent = sorted(v for v, times in Counter(value_cuts).items() if times > 1 and _told_apart(base, order, v))
     bounds = sorted({*value_cuts, *(math.nextafter(v, math.inf) for v in frequent)})
     own_buckets = [bounds.index(v) + 1 for v in frequent]
     last = len(bounds) + 1
@@ -305,6 +331,14 @@ def plan_cuts(
     return by_value_and_key
 
 
+def _told_apart(df: DataFrame, order: Order, value: float) -> bool:
+    """Whether no other value of the order's column becomes the same double."""
+    kind = df.schema[order.value].dataType
+    if isinstance(kind, T.LongType):
+        return abs(value) < EXACT_WHOLE
+    return not isinstance(kind, T.DecimalType) or kind.precision <= 15
+
+
 def _numbered(df: DataFrame, order: Order) -> DataFrame:
     """Value and key as doubles that ascend in the wanted order.
 
@@ -361,7 +395,9 @@ def _before_each_chunk(
     place = F.struct(F.col(order.value), F.col(order.key))
     first, last = (F.max_by, F.min_by) if order.descending else (F.min_by, F.max_by)
     wanted = [F.count(F.lit(1)).alias("_rows")]
-    wanted += [F.sum(c).alias(f"_sum_of_{c}") for c in sums]
+    for c in sums:
+        parts = exact_parts(F.col(c)) if is_float(rows, c) else [F.col(c)]
+        wanted += [F.sum(part).alias(f"_sum_of_{c}_{i}") for i, part in enumerate(parts)]
     for c in neighbours:
         wanted += [first(c, place).alias(f"_first_{c}"), last(c, place).alias(f"_last_{c}")]
     if "dense_rank" in kinds:
@@ -376,7 +412,8 @@ def _before_each_chunk(
     of_less = Window.partitionBy("_group").orderBy("_vb").rangeBetween(Window.unboundedPreceding, -1)
     before = {"_rows_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0))}
     for c in sums:
-        before[f"_sum_before_{c}"] = F.sum(f"_sum_of_{c}").over(earlier)
+        parts = [name for name in chunks.columns if name.rpartition("_")[0] == f"_sum_of_{c}"]
+        before[f"_sum_before_{c}"] = F.array(*[F.sum(part).over(earlier) for part in parts])
     for c in neighbours:
         before[f"_last_before_{c}"] = F.lag(f"_last_{c}").over(in_order)
         before[f"_first_after_{c}"] = F.lead(f"_first_{c}").over(in_order)

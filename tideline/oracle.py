@@ -114,6 +114,10 @@ AGE_RANK = " dense_rank() over (partition by sex, pclass order by age nulls firs
 FARE_CUMSUM = """
  sum(fare) over (partition by embarked order by fare nulls first, passenger_id
   rows between unbounded preceding and current row) as fare_cumsum_by_embark"""
+CENTS = """
+ cast(sum(cast(round(fare + (passenger_id % 100) / 100::double, 2) as decimal(18,2))) over (partition by embarked
+  order by round(fare + (passenger_id % 100) / 100::double, 2) nulls first, passenger_id
+  rows between unbounded preceding and current row) as double) as fare_cumsum_by_embark"""
 AGE_MOVING_AVG = """
  avg(age) over (partition by pclass order by fare nulls first, passenger_id
   rows between 1 preceding and 1 following) as age_moving_avg_3"""
@@ -215,7 +219,7 @@ def oracle_sql() -> dict[str, str]:
     percentile = _ranked(GLOBAL_PERCENTILE)
     stats_all = f"with {FEATURES}, s as ({SURVIVAL_STATS}), c as ({COHORTS}), m as ({FAMILIES})"
     twice = FACT + SAMPLE + feed("first_feed", "42b") + feed("second_feed", "42c")
-    return {
+    found = {
         "scan_orders": f"select {ORDER_FIELDS} from orders",
         "table_inventory": _inventory(),
         "row_counts": f"""with {FACT}
@@ -261,7 +265,19 @@ def oracle_sql() -> dict[str, str]:
             union all select 'agg_customer_revenue', count(distinct custkey) from merged""",
         "passenger_cast": f"""with {PASSENGERS}
             select passenger_id, survived, pclass, sex,
-             case when passenger_id % 211 = 0 then null else age end as age, sibsp, parch, fare, embarked, alone from p""",
+             case when passenger_id % 211 = 0 then null else age end as age, sibsp,
+             case when passenger_id % 223 = 0 then null else parch end as parch, fare, embarked, alone from p""",
+        "cents_cumsum": _ranked(CENTS),
+        "cents_cumsum_chunked": _ranked(CENTS),
+        "written_facts_after_cycle": f"with {MERGED} select {fact_all} from merged",
+        "written_totals_after_cycle": refreshed,
+        "written_passengers": f"with {FEATURES} select *, {transformed} from f",
+        "written_survival_statistics": f"with {FEATURES} {SURVIVAL_STATS}",
+        "written_cohorts": f"with {FEATURES} {COHORTS}",
+        "written_families": f"with {FEATURES} {FAMILIES}",
+        "catalog_listing": """
+            select 'nation' as table_name, true as database_listed, true as table_exists, count(*) as row_count from nation
+            union all select 'supplier', true, true, count(*) from supplier""",
         "cross_pairs": f"""with {PASSENGERS}
             select a.pclass, cast(count(*) as double) as pair_count from p a cross join p b group by a.pclass""",
         "fare_ranks": fare_ranks,
@@ -304,11 +320,8 @@ def oracle_sql() -> dict[str, str]:
             f"select '{f}' as file_format, {ORDER_FIELDS} from orders" for f in ("parquet", "csv", "json")
         ),
         "array_transform": """
-            select vec_id, -cast(embedding[1] as double) + len(embedding) as e1,
-             -cast(embedding[2] as double) + len(embedding) as e2,
-             -cast(embedding[3] as double) + len(embedding) as e3,
-             -cast(embedding[4] as double) + len(embedding) as e4,
-             len(embedding) as n from embeddings""",
+            select vec_id, len(embedding) as n, cast(unnest(range(len(embedding))) as bigint) as pos,
+             -cast(unnest(embedding) as double) + len(embedding) as e from embeddings""",
         "struct_udf": "select l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) as discounted from lineitem",
         "dedupe_columns": """
             select o_orderkey as orderkey, o_custkey as custkey, o_totalprice as amount,
@@ -317,3 +330,5 @@ def oracle_sql() -> dict[str, str]:
             select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, cast(l_quantity as double) as quantity,
              l_returnflag from lineitem""",
     }
+    found["written_dim_customer"] = found["dim_customer"]
+    return found

@@ -26,8 +26,6 @@ QUERIES: dict[str, Query] = {}
 
 ORDER_FIELDS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 FEED_COLUMNS = [*star.ORDER_COLUMNS, "op"]
-SEXES = [None, "FEMALE", "MALE"]
-CLASSES = [1, 2, 3]
 SALT = str(jobs.SEED)
 
 
@@ -45,8 +43,8 @@ def as_double(df: DataFrame, *names: str) -> DataFrame:
 
 
 def few_rows(df: DataFrame) -> int:
-    """A group limit so low that even test tables take the chunked path."""
-    return max(50, df.count() // 16)
+    """A group limit so low that even test tables take the chunked path, and no higher than for large ones."""
+    return max(50, min(GROUP_ROWS, df.count() // 16))
 
 
 # ---- sources ------------------------------------------------------------------------
@@ -252,6 +250,84 @@ def change_cycle(spark, folder):
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
+def written(spark, table: str, *job) -> DataFrame:
+    """The rows of one table after jobs that write into a database of their own."""
+    database = scratch_database(spark)
+    try:
+        for step in job:
+            step(database)
+        return stored(spark.table(f"{database}.{table}"))
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def star_job(spark, folder):
+    return lambda database: jobs.build_star_schema(spark, tables.load_tables(spark, folder), database)
+
+
+def cycle_job(spark):
+    return lambda database: jobs.run_change_cycle(spark, database)
+
+
+def marts_job(spark, folder):
+    return lambda database: jobs.build_passenger_marts(spark, tables.load_tables(spark, folder), database)
+
+
+@query
+def written_dim_customer(spark, folder):
+    return written(spark, "dim_customer", star_job(spark, folder))
+
+
+@query
+def written_facts_after_cycle(spark, folder):
+    return written(spark, "fact_orders", star_job(spark, folder), cycle_job(spark))
+
+
+@query
+def written_totals_after_cycle(spark, folder):
+    return written(spark, "agg_customer_revenue", star_job(spark, folder), cycle_job(spark))
+
+
+@query
+def written_passengers(spark, folder):
+    return written(spark, "passenger_transformed", marts_job(spark, folder))
+
+
+@query
+def written_survival_statistics(spark, folder):
+    found = written(spark, "survival_statistics", marts_job(spark, folder))
+    return found.withColumn("stddev_fare", F.round("stddev_fare", 6))
+
+
+@query
+def written_cohorts(spark, folder):
+    return written(spark, "cohort_analysis", marts_job(spark, folder))
+
+
+@query
+def written_families(spark, folder):
+    return written(spark, "family_survival_patterns", marts_job(spark, folder))
+
+
+@query
+def catalog_listing(spark, folder):
+    """Tables written from the given ones, as the catalog lists them, with their rows and whether they exist."""
+    database = scratch_database(spark)
+    try:
+        known = tables.list_databases(spark).filter(F.col("namespace") == database).count()
+        for name in ("nation", "supplier"):
+            sinks.overwrite_table(scan(spark, folder, name), f"{database}.{name}")
+        listed = tables.list_catalog(spark, database).filter("NOT isTemporary").collect()
+        rows = [
+            (row["tableName"], known == 1, tables.table_exists(spark, f"{database}.{row['tableName']}"),
+             spark.table(f"{database}.{row['tableName']}").count())
+            for row in listed
+        ]
+        return spark.createDataFrame(rows, "table_name string, database_listed boolean, table_exists boolean, row_count bigint")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 # ---- passengers ---------------------------------------------------------------------
 
 
@@ -313,6 +389,24 @@ def fare_cumsum_chunked(spark, folder):
     return chunked(spark, folder, pax.BY_PORT, pax.FARE_CUMSUM)
 
 
+def cents(spark, folder, limit=GROUP_ROWS):
+    """Running sums of fares whose cents no double holds."""
+    odd = F.col("fare") + (F.col("passenger_id") % 100) / 100
+    riders = people(spark, folder).withColumn("fare", F.round(odd, 2))
+    by, order = pax.BY_PORT
+    return w.window_columns(riders, by, order, pax.FARE_CUMSUM, limit).select("passenger_id", *pax.FARE_CUMSUM)
+
+
+@query
+def cents_cumsum(spark, folder):
+    return cents(spark, folder)
+
+
+@query
+def cents_cumsum_chunked(spark, folder):
+    return cents(spark, folder, few_rows(scan(spark, folder, "customer")))
+
+
 @query
 def age_moving_avg(spark, folder):
     return windowed(spark, folder, pax.BY_CLASS, pax.AGE_MOVING_AVG)
@@ -395,12 +489,12 @@ def family_patterns(spark, folder):
 
 @query
 def pivot_survival(spark, folder):
-    return stats.pivot_survival(featured(spark, folder), SEXES)
+    return stats.pivot_survival(featured(spark, folder))
 
 
 @query
 def pivot_fare(spark, folder):
-    return stats.pivot_fare(featured(spark, folder), CLASSES)
+    return stats.pivot_fare(featured(spark, folder))
 
 
 PAIR_TOTALS = ["pair_count", "p1_survived", "p2_survived", "both_survived", "p1_fare", "p2_fare"]
@@ -468,10 +562,10 @@ def array_transform(spark, folder):
         "embedding", F.col("embedding").cast("array<double>")
     )
     n = F.size("embedding")
-    changed = vectors.select("vec_id", n.alias("n"), cols.transform_elements("embedding", lambda e: -e + n).alias("e"))
-    return changed.select(
-        "vec_id", *[F.col("e")[i].alias(f"e{i + 1}") for i in range(4)], F.col("n").cast("bigint").alias("n")
+    changed = vectors.select(
+        "vec_id", n.cast("bigint").alias("n"), F.posexplode(cols.transform_elements("embedding", lambda e: -e + n)).alias("pos", "e")
     )
+    return changed.select("vec_id", "n", F.col("pos").cast("bigint").alias("pos"), "e")
 
 
 @query

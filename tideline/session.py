@@ -32,14 +32,15 @@ def shared_folder(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local master, where
     driver and executors are one process, falls back to a temporary folder.
     """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    # Only a session with its own driver gets here; a remote client names the folder.
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-            named = tempfile.mkdtemp(prefix="tideline-")
-        context.setCheckpointDir(named)
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tideline-"))
     return context.getCheckpointDir()
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -26,9 +27,30 @@ OPTIONS = {
 }
 
 
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+
+
+def _escaped(text: Column) -> Column:
+    """Line breaks and the mark itself behind a backslash, so that a CSV row is a line."""
+    for plain, mark in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(mark))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    def breaks(part: Column) -> Column:
+        return F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    # Pairs of backslashes are texts' own; a single one begins a line break.
+    return F.array_join(F.transform(F.split(text, r"\\\\"), breaks), "\\")
+
+
 def write_files(df: DataFrame, path: str, file_format: str) -> None:
-    """Overwrite ``path`` with the rows of ``df``. In CSV a row is a line: no line breaks in text."""
+    """Overwrite ``path`` with the rows of ``df``. In CSV, backslashes and line breaks are escaped."""
     _check(file_format)
+    if file_format == "csv":
+        df = df.withColumns({name: _escaped(F.col(name)) for name in _texts(df)})
     writer = df.write.mode("overwrite").format(file_format).options(**OPTIONS[file_format])
     if file_format == "parquet":
         writer = writer.option("compression", "snappy")
@@ -38,7 +60,10 @@ def write_files(df: DataFrame, path: str, file_format: str) -> None:
 def read_files(spark: SparkSession, path: str, file_format: str, schema: StructType) -> DataFrame:
     """Read files back under a given schema; nothing is inferred, so there is no extra pass."""
     _check(file_format)
-    return spark.read.schema(schema).format(file_format).options(**OPTIONS[file_format]).load(path)
+    found = spark.read.schema(schema).format(file_format).options(**OPTIONS[file_format]).load(path)
+    if file_format == "csv":
+        found = found.withColumns({name: _unescaped(F.col(name)) for name in _texts(found)})
+    return found
 
 
 def _check(file_format: str) -> None:

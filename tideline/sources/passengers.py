@@ -6,7 +6,7 @@ The text below is also the first part of every passenger check in DuckDB.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PASSENGER_SQL = """
@@ -39,14 +39,34 @@ def passengers(customer: DataFrame) -> DataFrame:
 
 
 def cast_passengers(raw: DataFrame) -> DataFrame:
-    """Cast the six numeric columns by name; text that is no number becomes NULL."""
-    return raw.withColumns(
-        {name: F.col(name).try_cast(kind) for name, kind in NUMERIC_TYPES.items()}
-    )
+    """Cast the six numeric columns by name; text that is no number becomes NULL.
+
+    Whole numbers are read as lenient casts do: "3.0" and "1e1" count, fractions are cut off,
+    and what an int cannot hold is NULL.
+    """
+
+    def lenient(name: str, kind: str):
+        return F.col(name).try_cast("double").try_cast(kind) if kind == "int" else F.col(name).try_cast(kind)
+
+    return raw.withColumns({name: lenient(name, kind) for name, kind in NUMERIC_TYPES.items()})
 
 
 def passengers_as_text(typed: DataFrame) -> DataFrame:
-    """The numeric columns as text, with a malformed age here and there, as a file would hold them."""
+    """The numeric columns as text, as a file would hold them.
+
+    Here and there an age is malformed, a class is written as "3.0", a number of siblings has
+    spaces around it, and one of parents has more digits than an int.
+    """
     text = typed.withColumns({name: F.col(name).cast("string") for name in NUMERIC_TYPES})
-    malformed = F.col("passenger_id") % 211 == 0
-    return text.withColumn("age", F.when(malformed, F.lit("n/a")).otherwise(F.col("age")))
+
+    def every(n: int, name: str, other) -> Column:
+        return F.when(F.col("passenger_id") % n == 0, other).otherwise(F.col(name))
+
+    return text.withColumns(
+        {
+            "age": every(211, "age", F.lit("n/a")),
+            "pclass": every(7, "pclass", F.concat("pclass", F.lit(".0"))),
+            "sibsp": every(11, "sibsp", F.concat(F.lit(" "), "sibsp", F.lit(" "))),
+            "parch": every(223, "parch", F.lit("99999999999")),
+        }
+    )
