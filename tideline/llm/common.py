@@ -104,4 +104,4 @@ def to_arrow(schema: T.StructType) -> pa.Schema:
 def text_key(text: str) -> list[Column]:
     """Two hashes that stand for a text, 96 bits in all; NULL counts as empty."""
     value = F.coalesce(F.col(text), F.lit(""))
-    return [F.xxhash64(value).alias("_key"), F.hash(value).alias("_check")]
+    return [F.xxhash64(value).alias("_ll_key"), F.hash(value).alias("_ll_check")]

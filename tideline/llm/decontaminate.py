@@ -168,15 +168,15 @@ def table(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> Iter
 
 
 def text_windows(docs: DataFrame, text: str, sizes: list[int], bitmap: Broadcast) -> DataFrame:
-    """_key, _check, place, size, window, slots: the windows of all texts whose bit is set in the map."""
-    names = ["_key", "_check", "place", "size", "window", "slots"]
+    """_ll_key, _ll_check, place, size, window, slots: the windows of all texts whose bit is set in the map."""
+    names = ["_ll_key", "_ll_check", "place", "size", "window", "slots"]
 
     def run(batches: Iterator[pa.RecordBatch]):
         known, bits = cached_tokens(), bitmap.value
         mask = np.uint64(len(bits) * 8 - 1)
         for batch in slices(batches, "text"):
             tokens = Tokens(utf8_texts(batch.column("text")), known)
-            key, check = batch.column("_key").to_numpy(), batch.column("_check").to_numpy()
+            key, check = batch.column("_ll_key").to_numpy(), batch.column("_ll_check").to_numpy()
             rows = []
             for n in sizes:
                 at, made = tokens.windows(n)
@@ -188,7 +188,7 @@ def text_windows(docs: DataFrame, text: str, sizes: list[int], bitmap: Broadcast
             yield from table(rows, names, [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())])
 
     rows = docs.select(*text_key(text), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"_key long, _check int, {WINDOWS}")
+    return rows.mapInArrow(run, f"_ll_key long, _ll_check int, {WINDOWS}")
 
 
 def window_map(items: DataFrame, bits: int) -> np.ndarray:
@@ -207,7 +207,7 @@ def contaminated_texts(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
     window: int = WINDOW, enough: int = ENOUGH_TOKENS, shortest: int = SHORTEST_ITEM, bits: int = MAP_BITS,
 ) -> DataFrame:
-    """_key, _check, item_ids, matched_tokens, kind of each text that repeats enough of an item.
+    """_ll_key, _ll_check, item_ids, matched_tokens, kind of each text that repeats enough of an item.
 
     Windows of texts and items are joined by hash. Matches of a text and an item at one distance
     (diagonal) must fill slots consistently: equal values of the item stand for equal values of
@@ -220,33 +220,33 @@ def contaminated_texts(
     bitmap = docs.sparkSession.sparkContext.broadcast(window_map(items, bits))
     found = text_windows(docs, text, sizes, bitmap)
     # Copies of a text say the same; they are reduced before they are shuffled.
-    found = found.groupBy("_key", "_check", "place", "size", "window").agg(F.first("slots").alias("slots"))
+    found = found.groupBy("_ll_key", "_ll_check", "place", "size", "window").agg(F.first("slots").alias("slots"))
     named = items.select(
         "item", "tokens", F.col("place").alias("item_place"), "size", "window", F.col("slots").alias("item_slots")
     )
     hits = stored(found.join(named, ["size", "window"]))
     pairs = F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours"))
-    diagonal = ["_key", "_check", "item", (F.col("place") - F.col("item_place")).alias("shift")]
+    diagonal = ["_ll_key", "_ll_check", "item", (F.col("place") - F.col("item_place")).alias("shift")]
     slots = F.array_distinct(F.flatten(F.collect_set(pairs)))
     per_diagonal = hits.groupBy(*diagonal).agg(
         slots.alias("pairs"), F.collect_set(F.struct("item_place", "size", "tokens")).alias("places")
     )
     one_to_one = [
-        F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) == F.size("pairs") for side in ("item_slots", "slots")
+        F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) == F.size("pairs") for side in ("theirs", "ours")
     ]
-    same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
+    same = F.forall("pairs", lambda p: p["theirs"] == p["ours"])
     consistent = per_diagonal.filter(one_to_one[0] & one_to_one[1]).select(
-        "_key", "_check", "item", same.alias("same"), F.explode("places").alias("p")
+        "_ll_key", "_ll_check", "item", same.alias("same"), F.explode("places").alias("p")
     )
-    offsets = consistent.groupBy("_key", "_check", "item", "p.item_place", "p.size", "p.tokens").agg(F.max("same").alias("same"))
-    by_place = Window.partitionBy("_key", "_check", "item").orderBy("item_place", "size")
+    offsets = consistent.groupBy("_ll_key", "_ll_check", "item", "p.item_place", "p.size", "p.tokens").agg(F.max("same").alias("same"))
+    by_place = Window.partitionBy("_ll_key", "_ll_check", "item").orderBy("item_place", "size")
     new = F.least(F.col("size"), F.coalesce(F.col("item_place") - F.lag("item_place").over(by_place), F.col("size")))
-    covered = offsets.withColumn("new", new).groupBy("_key", "_check", "item").agg(
+    covered = offsets.withColumn("new", new).groupBy("_ll_key", "_ll_check", "item").agg(
         F.sum("new").alias("covered"), F.max("tokens").alias("tokens"), F.min("same").alias("same")
     )
     return (
         covered.filter(F.col("covered") >= F.least(F.col("tokens"), F.lit(enough)))
-        .groupBy("_key", "_check")
+        .groupBy("_ll_key", "_ll_check")
         .agg(
             F.sort_array(F.collect_set("item")).alias("item_ids"),
             F.max("covered").alias("matched_tokens"),
@@ -267,8 +267,8 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     added = ["contaminated", "item_ids", "matched_tokens", "kind"]
     found = stored(contaminated_texts(docs, benchmark, text, **options))
     key, check = text_key(text)
-    rows = docs.drop(*added).withColumns({"_key": key, "_check": check})
-    joined = rows.join(found, ["_key", "_check"], "left")
+    rows = docs.drop(*added).withColumns({"_ll_key": key, "_ll_check": check})
+    joined = rows.join(found, ["_ll_key", "_ll_check"], "left")
     return joined.withColumn("contaminated", F.col("kind").isNotNull()).select(
         *[c for c in docs.columns if c not in added], *added
     )
@@ -276,6 +276,6 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose text repeats no benchmark item; columns as they are."""
-    found = stored(contaminated_texts(docs, benchmark, text, **options).select("_key", "_check"))
+    found = stored(contaminated_texts(docs, benchmark, text, **options).select("_ll_key", "_ll_check"))
     key, check = text_key(text)
-    return docs.withColumns({"_key": key, "_check": check}).join(found, ["_key", "_check"], "left_anti").select(*docs.columns)
+    return docs.withColumns({"_ll_key": key, "_ll_check": check}).join(found, ["_ll_key", "_ll_check"], "left_anti").select(*docs.columns)

@@ -27,8 +27,9 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 class Bands:
     """When a text is rejected. Bands reach ``spread`` interquartile ranges beyond the quartiles.
 
-    A band is that of a language's texts of like size (the tokens' power of two), and none is
-    drawn from fewer than ``least_rows`` texts. The margins are added to every band.
+    A band is that of a language's texts of like size (the tokens' power of two), or of all its
+    texts where those are fewer than ``least_rows``; a language with fewer in all has none. The
+    margins are added to every band.
     """
 
     min_words: int = 10
@@ -130,8 +131,25 @@ def quartiles(features: DataFrame, group: list[str]) -> DataFrame:
         reached = (F.col("measure") == measure) & (F.col("upto") >= F.ceil(F.col("rows") * share))
         return F.min(F.when(reached, F.col("value")))
 
-    found = [at(q, m).alias(f"{m}_q{i}") for m in MEASURES for i, q in ((1, 0.25), (3, 0.75))]
-    return ranked.groupBy(*group).agg(F.max("rows").alias("_rows"), *found)
+    found = [at(q, m).alias(f"_ll_{m}_q{i}") for m in MEASURES for i, q in ((1, 0.25), (3, 0.75))]
+    return ranked.groupBy(*group).agg(F.max("rows").alias("_ll_rows"), *found)
+
+
+def limits(features: DataFrame, group: list[str], bands: Bands) -> DataFrame:
+    """The ends of the bands of each group of enough rows, stored; column names end in the group's size."""
+
+    def end(m: str, side: int, margin: float):
+        q1, q3 = F.col(f"_ll_{m}_q1"), F.col(f"_ll_{m}_q3")
+        return (q1 if side < 0 else q3) + side * (bands.spread * (q3 - q1) + margin)
+
+    ends = {
+        "least_chars": end("chars_per_token", -1, bands.chars_margin),
+        "most_chars": end("chars_per_token", 1, bands.chars_margin),
+        "most_bytes": end("byte_share", 1, bands.byte_margin),
+        "least_entropy": end("token_entropy", -1, bands.entropy_margin),
+    }
+    found = quartiles(features, group).filter(F.col("_ll_rows") >= bands.least_rows)
+    return stored(found.select(*group, *[e.alias(f"_ll_{name}_{len(group)}") for name, e in ends.items()]))
 
 
 def judge_quality(
@@ -155,27 +173,22 @@ def judge_quality(
     measured = stored(
         (features if keep_text else features.drop(text))
         .withColumn("base_failed", base_failed(bands))
-        .withColumn("_size", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int"))
-        .withColumn("_lang", F.coalesce(F.col(lang).cast("string"), F.lit("")))
+        .withColumn("_ll_size", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int"))
+        .withColumn("_ll_lang", F.coalesce(F.col(lang).cast("string"), F.lit("")))
     )
-    limits = quartiles(measured.filter(~F.col("base_failed")), ["_lang", "_size"])
-    limits = stored(limits.filter(F.col("_rows") >= bands.least_rows))
-
-    def low(m, margin):
-        q1, q3 = F.col(f"{m}_q1"), F.col(f"{m}_q3")
-        return q1 - bands.spread * (q3 - q1) - margin
+    sound = measured.filter(~F.col("base_failed"))
+    judged = measured
+    for group in (["_ll_lang", "_ll_size"], ["_ll_lang"]):
+        judged = judged.join(limits(sound, group, bands), group, "left")
 
-    def high(m, margin):
-        q1, q3 = F.col(f"{m}_q1"), F.col(f"{m}_q3")
-        return q3 + bands.spread * (q3 - q1) + margin
+    def limit(name: str):
+        return F.coalesce(f"_ll_{name}_2", f"_ll_{name}_1")
 
     outside = (
-        (F.col("chars_per_token") < low("chars_per_token", bands.chars_margin))
-        | (F.col("chars_per_token") > high("chars_per_token", bands.chars_margin))
-        | (F.col("byte_share") > high("byte_share", bands.byte_margin))
-        | (F.col("token_entropy") < low("token_entropy", bands.entropy_margin))
-    )
-    judged = measured.join(limits, ["_lang", "_size"], "left").withColumn(
-        "kept", ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False))
+        (F.col("chars_per_token") < limit("least_chars"))
+        | (F.col("chars_per_token") > limit("most_chars"))
+        | (F.col("byte_share") > limit("most_bytes"))
+        | (F.col("token_entropy") < limit("least_entropy"))
     )
+    judged = judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False)))
     return judged.select(*[c for c in features.columns if c != text or keep_text], "base_failed", "kept")

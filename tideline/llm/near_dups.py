@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import slices, text_key, utf8_texts
@@ -20,6 +20,8 @@ from tideline.operators.groups import stored
 ID_BITS = 44
 TABLE_BITS = 16
 SEED = 42
+# Texts of a bucket that the others are compared with.
+CENTERS = 4
 
 
 @dataclass(frozen=True)
@@ -139,7 +141,7 @@ def weights_table(docs: DataFrame, text: str, shape: NearDups) -> Broadcast:
 
 
 def distinct_texts(docs: DataFrame, text: str, order: str, table: Broadcast, shape: NearDups) -> DataFrame:
-    """tid, _key, _check, first, n and buckets of every different text, stored; buckets are NULL without words."""
+    """tid, _ll_key, _ll_check, first, n and buckets of every different text, stored; buckets are NULL without words."""
     kind = docs.schema[order].dataType.simpleString()
     rows = docs.select(F.col(order).alias("first"), *text_key(text), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
@@ -151,13 +153,13 @@ def distinct_texts(docs: DataFrame, text: str, order: str, table: Broadcast, sha
             lists: list = [None] * batch.num_rows
             for k, buckets in zip(present, made.T.view(np.int64).tolist()):
                 lists[k] = buckets
-            arrays = [batch.column(c) for c in ("first", "_key", "_check")]
+            arrays = [batch.column(c) for c in ("first", "_ll_key", "_ll_check")]
             yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(lists, pa.list_(pa.int64()))], ["first", "_key", "_check", "buckets"]
+                [*arrays, pa.array(lists, pa.list_(pa.int64()))], ["first", "_ll_key", "_ll_check", "buckets"]
             )
 
-    signed = rows.mapInArrow(sign, f"first {kind}, _key long, _check int, buckets array<long>")
-    grouped = signed.groupBy("_key", "_check").agg(
+    signed = rows.mapInArrow(sign, f"first {kind}, _ll_key long, _ll_check int, buckets array<long>")
+    grouped = signed.groupBy("_ll_key", "_ll_check").agg(
         F.min("first").alias("first"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets")
     )
     return stored(grouped.withColumn("tid", F.monotonically_increasing_id()))
@@ -169,9 +171,9 @@ def verify(pairs: DataFrame, docs: DataFrame, texts: DataFrame, text: str, table
     Only texts that pairs name are fetched, one of each.
     """
     named = pairs.select(F.col("a").alias("tid")).unionAll(pairs.select(F.col("b").alias("tid"))).distinct()
-    needed = stored(named.join(texts.select("tid", "_key", "_check"), "tid"))
+    needed = stored(named.join(texts.select("tid", "_ll_key", "_ll_check"), "tid"))
     rows = docs.select(*text_key(text), F.col(text).alias("text"))
-    fetched = rows.join(needed, ["_key", "_check"]).groupBy("tid").agg(F.max("text").alias("text"))
+    fetched = rows.join(needed, ["_ll_key", "_ll_check"]).groupBy("tid").agg(F.max("text").alias("text"))
     fetched = stored(fetched)
 
     def compare(batches: Iterator[pa.RecordBatch]):
@@ -200,30 +202,36 @@ def verify(pairs: DataFrame, docs: DataFrame, texts: DataFrame, text: str, table
     return stored(full.mapInArrow(compare, "a long, b long, similar boolean"))
 
 
-def stars(members: DataFrame) -> DataFrame:
-    """Members (bucket, tid, weight) with their bucket's center, the member of most weight; centers left out."""
-    center = F.max(F.struct("weight", "tid"))["tid"].alias("center")
-    centers = stored(members.groupBy("bucket").agg(center, F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    return stored(members.join(centers, "bucket").filter("tid <> center"))
+def heaviest(members: DataFrame) -> DataFrame:
+    """bucket, tid2 and rank of the ``CENTERS`` members of most weight of each bucket; stored.
+
+    Tasks drop all others before the shuffle, so a large bucket costs no more than a small one.
+    """
+    order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "tid")
+    ranked = members.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= CENTERS)
+    return stored(ranked.select("bucket", F.col("tid").alias("tid2"), "rank"))
 
 
-def tested(starred: DataFrame, check) -> tuple[DataFrame, DataFrame]:
-    """The similar pairs, and the members that are not similar to their center."""
-    ends = [F.least("tid", "center").alias("a"), F.greatest("tid", "center").alias("b")]
-    verified = check(stored(starred.select(*ends).distinct()))
-    joined = starred.withColumns({"a": ends[0], "b": ends[1]}).join(verified, ["a", "b"])
-    failed = stored(joined.filter("not similar").select("bucket", "tid", "weight"))
-    return verified.filter("similar").select(F.col("a").alias("u"), F.col("b").alias("v")), failed
+def compared(some: DataFrame, centers: DataFrame, check) -> tuple[DataFrame, DataFrame]:
+    """Similar pairs of members and centers of a bucket, and the members that are like none of them."""
+    ends = {"a": F.least("tid", "tid2"), "b": F.greatest("tid", "tid2")}
+    met = some.join(centers, "bucket").filter("tid <> tid2").withColumns(ends).select("bucket", "tid", "weight", "a", "b")
+    met = stored(met)
+    verified = check(stored(met.select("a", "b").distinct()))
+    alike = stored(verified.filter("similar").select("a", "b"))
+    good = met.join(alike, ["a", "b"], "left_semi").select("bucket", "tid").distinct()
+    failed = met.select("bucket", "tid", "weight").distinct().join(good, ["bucket", "tid"], "left_anti")
+    return alike.select(F.col("a").alias("u"), F.col("b").alias("v")), stored(failed)
 
 
-def links(texts: DataFrame, check, spark) -> DataFrame:
+def links(texts: DataFrame, check) -> DataFrame:
     """Pairs u, v of different texts that are near duplicates, enough of them to join every class.
 
     In each bucket all texts are compared with its center, the text that shares most buckets
-    with others, as the original of a group of copies does. Texts unlike their center are put in
-    finer buckets, of those that share a second band too, and compared with the center there;
-    this goes on among those that are left, until no bucket holds two. Comparisons follow the
-    number of texts, not its square.
+    with others, as the original of a group of copies does. Texts unlike the center are compared
+    with the next heaviest, and then, in finer buckets of those that share a second band too,
+    with the heaviest there. Comparisons follow the number of texts, not its square; buckets of
+    up to ``CENTERS`` + 1 texts are compared in full.
     """
     named = F.posexplode("buckets").alias("band", "value")
     all_members = texts.select("tid", named).select(F.xxhash64("band", "value").alias("bucket"), "tid")
@@ -233,29 +241,31 @@ def links(texts: DataFrame, check, spark) -> DataFrame:
     )
     met = stored(met)
     members = met.select(F.explode("all").alias("bucket"), "tid", "weight")
-    similar, failed = tested(stars(members), check)
-    found = [similar]
+    centers = heaviest(members)
+    found, failed = compared(members, centers.filter("rank = 1"), check)
     if not failed.isEmpty():
-        left = failed.join(met.select("tid", "all"), "tid").select("bucket", "tid", "weight", F.explode("all").alias("second"))
-        pair = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket")
-        failed = left.filter("second <> bucket").select(pair, "tid", "weight").distinct()
-        while True:
-            starred = stars(failed)
-            if starred.isEmpty():
-                break
-            similar, failed = tested(starred, check)
-            found.append(similar)
-    made = found[0]
-    for more in found[1:]:
-        made = made.unionAll(more)
-    return stored(made.distinct())
+        more, failed = compared(failed, centers.filter("rank > 1"), check)
+        found = found.unionAll(more)
+    if not failed.isEmpty():
+        around = stored(members.join(failed.select("bucket").distinct(), "bucket", "left_semi"))
+        fine_failed = stored(finer(failed, met))
+        fine = finer(around, met).join(fine_failed.select("bucket").distinct(), "bucket", "left_semi")
+        found = found.unionAll(compared(fine_failed, heaviest(fine), check)[0])
+    return stored(found.distinct())
+
+
+def finer(members: DataFrame, met: DataFrame) -> DataFrame:
+    """The members in buckets of two: their own and any other that their text shares."""
+    both = members.join(met.select("tid", "all"), "tid").select("bucket", "tid", "weight", F.explode("all").alias("second"))
+    pair = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket")
+    return both.filter("second <> bucket").select(pair, "tid", "weight").distinct()
 
 
 def text_classes(docs: DataFrame, text: str, order: str, shape: NearDups) -> DataFrame:
-    """_key, _check, class_id, class_rows, n_links of every different text; stored."""
+    """_ll_key, _ll_check, class_id, class_rows, n_links of every different text; stored."""
     table = weights_table(docs, text, shape)
     texts = distinct_texts(docs, text, order, table, shape)
-    edges = links(texts, lambda pairs: verify(pairs, docs, texts, text, table, shape), docs.sparkSession)
+    edges = links(texts, lambda pairs: verify(pairs, docs, texts, text, table, shape))
     ends = edges.select(F.col("u").alias("tid")).unionAll(edges.select(F.col("v").alias("tid")))
     degree = ends.groupBy("tid").agg(F.count(F.lit(1)).alias("n_links"))
     class_of = stored(components(edges).withColumnRenamed("node", "tid").join(degree, "tid"))
@@ -263,7 +273,7 @@ def text_classes(docs: DataFrame, text: str, order: str, shape: NearDups) -> Dat
     named = stored(placed.groupBy("component").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_rows")))
     return stored(
         placed.join(named, "component").select(
-            "_key", "_check", "component", "class_id", "class_rows", F.coalesce("n_links", F.lit(0)).alias("n_links")
+            "_ll_key", "_ll_check", "component", "class_id", "class_rows", F.coalesce("n_links", F.lit(0)).alias("n_links")
         )
     )
 
@@ -284,8 +294,8 @@ def near_duplicates(
     added = ["class_id", "class_rows", "n_links"]
     classes = text_classes(docs, text, order, shape)
     key, check = text_key(text)
-    rows = docs.drop(*added).withColumns({"_key": key, "_check": check})
-    return rows.join(classes, ["_key", "_check"]).select(*[c for c in docs.columns if c not in added], *added)
+    rows = docs.drop(*added).withColumns({"_ll_key": key, "_ll_check": check})
+    return rows.join(classes, ["_ll_key", "_ll_check"]).select(*[c for c in docs.columns if c not in added], *added)
 
 
 def drop_near_duplicates(
@@ -295,13 +305,13 @@ def drop_near_duplicates(
 
     Of rows that tie, the one stored first stays.
     """
-    rows = stored(docs.withColumn("_nd_row", F.monotonically_increasing_id()))
+    rows = stored(docs.withColumn("_ll_row", F.monotonically_increasing_id()))
     classes = text_classes(rows, text, order, shape)
     key, check = text_key(text)
-    several = rows.select(F.col(order).alias("first"), "_nd_row", key, check).join(
-        classes.filter("class_rows > 1"), ["_key", "_check"]
+    several = rows.select(F.col(order).alias("first"), "_ll_row", key, check).join(
+        classes.filter("class_rows > 1"), ["_ll_key", "_ll_check"]
     )
-    place = F.struct(F.col("first").isNull().alias("last"), "first", "_nd_row")
-    best = stored(several.groupBy("component").agg(F.min(place)["_nd_row"].alias("_best")))
-    gone = stored(several.join(best, "component").filter("_nd_row <> _best").select("_nd_row"))
-    return rows.join(gone, "_nd_row", "left_anti").select(*docs.columns)
+    place = F.struct(F.col("first").isNull().alias("last"), "first", "_ll_row")
+    best = stored(several.groupBy("component").agg(F.min(place)["_ll_row"].alias("_ll_best")))
+    gone = stored(several.join(best, "component").filter("_ll_row <> _ll_best").select("_ll_row"))
+    return rows.join(gone, "_ll_row", "left_anti").select(*docs.columns)

@@ -54,6 +54,10 @@ PIECE = [
 ]
 
 
+# Names of what is added to pieces later.
+PLACE = ("ids_crc32", "sequence_id", "offset")
+
+
 def token_pieces(
     docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY, end: int = END_OF_TEXT, capacity: int = CAPACITY
 ) -> DataFrame:
@@ -61,10 +65,11 @@ def token_pieces(
 
     A document is its text's ids and then ``end``; it is cut every ``capacity`` ids. NULL and
     empty texts are one piece with ``end`` alone. Ids are little-endian unsigned 32-bit integers.
-    Columns of ``docs`` that are named like one of the piece are left out, and so is the text.
+    Columns of ``docs`` that are named like one of the piece or of its place are left out, and so
+    is the text.
     """
     names = [f.name for f in PIECE]
-    kept = [c for c in docs.columns if c not in (text, *names)]
+    kept = [c for c in docs.columns if c not in (text, *names, *PLACE)]
     schema = T.StructType([docs.schema[c] for c in kept] + PIECE)
     types = to_arrow(T.StructType(PIECE))
 
@@ -137,23 +142,23 @@ def slots(patterns: list[tuple[list[int], int]]) -> list[tuple[int, int, int, in
 
 
 def ranked(pieces: DataFrame, keys: list[str]) -> DataFrame:
-    """``pieces`` with _rank, counted from 0 within each length.
+    """``pieces`` with _ll_rank, counted from 0 within each length.
 
     Rows of a length are dealt into ``DEAL`` parts by hash and numbered there; a part begins
     where the parts before it end. No task gets all rows of a frequent length.
     """
-    dealt = pieces.withColumn("_part", F.pmod(F.xxhash64(*keys), F.lit(DEAL)).cast("int"))
-    sizes = dealt.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = pieces.withColumn("_ll_part", F.pmod(F.xxhash64(*keys), F.lit(DEAL)).cast("int"))
+    sizes = dealt.groupBy("length", "_ll_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("length").orderBy("_ll_part").rowsBetween(Window.unboundedPreceding, -1)
     begins = sizes.select(
-        "length", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin")
+        "length", "_ll_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ll_begin")
     )
-    inside = Window.partitionBy("length", "_part").orderBy(*keys)
-    numbered = dealt.withColumn("_inside", F.row_number().over(inside) - 1)
+    inside = Window.partitionBy("length", "_ll_part").orderBy(*keys)
+    numbered = dealt.withColumn("_ll_inside", F.row_number().over(inside) - 1)
     return (
-        numbered.join(begins, ["length", "_part"])
-        .withColumn("_rank", F.col("_begin") + F.col("_inside"))
-        .drop("_part", "_inside", "_begin")
+        numbered.join(begins, ["length", "_ll_part"])
+        .withColumn("_ll_rank", F.col("_ll_begin") + F.col("_ll_inside"))
+        .drop("_ll_part", "_ll_inside", "_ll_begin")
     )
 
 
@@ -168,12 +173,12 @@ def assign_sequences(pieces: DataFrame, keys: list[str], capacity: int = CAPACIT
     """
     rows = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     found = slots(pack_histogram({r["length"]: r["n"] for r in rows}, capacity))
-    schema = "_length long, _from long, _to long, _sequence long, offset long"
+    schema = "_ll_length long, _ll_from long, _ll_to long, _ll_sequence long, offset long"
     places = pieces.sparkSession.createDataFrame(found, schema)
-    fits = [F.col("length") == F.col("_length"), F.col("_rank").between(F.col("_from"), F.col("_to"))]
+    fits = [F.col("length") == F.col("_ll_length"), F.col("_ll_rank").between(F.col("_ll_from"), F.col("_ll_to"))]
     joined = ranked(pieces, keys).join(F.broadcast(places), fits)
-    return joined.withColumn("sequence_id", F.col("_sequence") + F.col("_rank") - F.col("_from")).drop(
-        "_length", "_rank", "_from", "_to", "_sequence"
+    return joined.withColumn("sequence_id", F.col("_ll_sequence") + F.col("_ll_rank") - F.col("_ll_from")).drop(
+        "_ll_length", "_ll_rank", "_ll_from", "_ll_to", "_ll_sequence"
     )
 
 
