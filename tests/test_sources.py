@@ -65,7 +65,12 @@ def test_malformed_numbers_become_null(spark, folder):
     typed = passengers(tables.read_table(spark, "customer", folder))
     again = cast_passengers(passengers_as_text(typed))
     assert again.dtypes == typed.dtypes
-    expected = typed.withColumn("age", F.when(F.col("passenger_id") % 211 != 0, F.col("age")))
+    expected = typed.withColumns(
+        {
+            "age": F.when(F.col("passenger_id") % 211 != 0, F.col("age")),
+            "parch": F.when(F.col("passenger_id") % 223 != 0, F.col("parch")),
+        }
+    )
     assert rows_of(again) == rows_of(expected)
 
 
