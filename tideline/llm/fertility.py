@@ -29,16 +29,18 @@ class Bands:
 
     A band is that of a language's texts of like size (the tokens' power of two), or of all its
     texts where those are fewer than ``least_rows``; a language with fewer in all has none. The
-    margins are added to every band.
+    margins are added to every band. Texts of fewer than ``least_tokens`` tokens tell too little
+    and only have to meet the base rules.
     """
 
     min_words: int = 10
     max_repeat_percent: int = 20
-    spread: float = 3.0
+    spread: float = 2.5
     least_rows: int = 100
-    chars_margin: float = 0.05
+    least_tokens: int = 128
+    chars_margin: float = 0.02
     byte_margin: float = 0.05
-    entropy_margin: float = 0.25
+    entropy_margin: float = 0.1
 
 
 FEATURES = T.StructType(
@@ -190,5 +192,6 @@ def judge_quality(
         | (F.col("byte_share") > limit("most_bytes"))
         | (F.col("token_entropy") < limit("least_entropy"))
     )
-    judged = judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False)))
+    outside = (F.col("n_tokens") >= bands.least_tokens) & F.coalesce(outside, F.lit(False))
+    judged = judged.withColumn("kept", ~F.col("base_failed") & ~outside)
     return judged.select(*[c for c in features.columns if c != text or keep_text], "base_failed", "kept")
