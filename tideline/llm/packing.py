@@ -25,22 +25,35 @@ DEAL = 64
 # ASCII punctuation that a word may end in; it is split off, as it forms tokens of its own.
 TAIL = b".,;:!?*#$%&|)\"-"
 SPECIAL = b"<|"
+# Letters before this one are Latin, and composed or plain.
+LATIN_END = "\u0250"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 def word_ids(vocabulary: str) -> CachedWords:
     """Ids of a word as little-endian 32-bit integers.
 
     The tokenizer lower-cases, splits at white space and never joins letters with punctuation,
-    so the ids of a text are those of its words, and of their parts, in order.
+    so the ids of a text are those of its words, and of their parts, in order. Words of lower-case
+    Latin letters, which its normaliser leaves as they are, go to its model at once.
     """
     tokenizer = Tokenizer.from_file(vocabulary)
+    model, letters = tokenizer.model, byte_letters()
 
     def ids(word: bytes) -> bytes:
         base = word.rstrip(TAIL)
         if base and len(base) < len(word) and SPECIAL not in word and base.decode("utf-8", "replace")[-1].isalpha():
             return known[base] + known[word[len(base) :]]
-        found = tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(found, dtype="<u4").tobytes()
+        text = word.decode("utf-8", "replace")
+        if text.isalpha() and max(text) < LATIN_END and text == text.lower():
+            return np.array([t.id for t in model.tokenize(word.decode("latin-1").translate(letters))], dtype="<u4").tobytes()
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     known = CachedWords(ids)
     return known
