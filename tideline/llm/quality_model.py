@@ -53,8 +53,13 @@ def learning_sample(
         F.col(key).alias("key"), F.col(label).cast("int").alias("label")
     ).distinct()
     counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    first = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    keys = labelled.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows).drop("n")
+    # A share of the hash range is expected to hold three times the keys wanted; the rest is not sorted.
+    scale, draw = 1 << 30, F.xxhash64("key")
+    wanted = F.lit(False)
+    for k, n in counts.items():
+        wanted |= (F.col("label") == k) & (F.pmod(draw, F.lit(scale)) <= int(scale * min(1.0, 3 * rows / n)))
+    first = Window.partitionBy("label").orderBy(draw, "key")
+    keys = labelled.filter(wanted).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows).drop("n")
     # A text may be long, so tasks cut it to the stretch that is learnt from.
     whole = F.coalesce(F.col(text), F.lit(""))
     begin = F.pmod(F.xxhash64(whole), F.greatest(F.length(whole) - 12 * WORDS_PER_ROW, F.lit(0)) + 1)
