@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.operators.groups import stored
+
 # Texts of one Arrow batch are worked on in pieces of about so many bytes.
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 4_000_000
 # Words of one Python worker's cache; it starts afresh when full.
 CACHED_WORDS = 600_000
+# Bits of the map that drops texts which are not needed.
+KEY_BITS = 1 << 22
 # What a Python worker keeps from one task to the next: one thing, under the name it was made for.
 KEPT: dict = {}
 
@@ -101,6 +106,41 @@ def to_arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+def bit_map(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bit for the low bits of each value of a long column, put together by Spark; of fixed size."""
+    bit = F.col(column).bitwiseAND(bits - 1)
+    found = np.zeros(bits // 8, dtype=np.uint8)
+    marks = df.groupBy(F.shiftright(bit, 3).alias("byte")).agg(F.bit_or(F.expr(f"shiftleft(1, cast({column} & 7 AS int))")).alias("bits"))
+    for row in marks.toLocalIterator():
+        found[row["byte"]] = row["bits"]
+    return found
+
+
+def in_map(values: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which values have their bit in a map; all that were put in, and a few others."""
+    bit = values.view(np.uint64) & np.uint64(len(found) * 8 - 1)
+    return (found[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def fetch_texts(docs: DataFrame, text: str, needed: DataFrame, bits: int = KEY_BITS) -> DataFrame:
+    """tid and text of the texts that ``needed`` (tid and the keys of ``text_key``) names, one of each; stored.
+
+    A map of fixed size drops most other texts where they are read, so what is shuffled follows
+    the texts that are needed; the join decides.
+    """
+    marks = docs.sparkSession.sparkContext.broadcast(bit_map(needed, "_ll_key", bits))
+    names = ["_ll_key", "_ll_check", "text"]
+
+    def marked(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            yield batch.filter(pa.array(in_map(batch.column("_ll_key").to_numpy(), marks.value)))
+
+    rows = docs.select(*text_key(text), F.col(text).alias("text")).select(*names)
+    rows = rows.mapInArrow(marked, "_ll_key long, _ll_check int, text string")
+    on = [c for c in needed.columns if c != "tid"]
+    return stored(rows.join(needed, on).groupBy("tid").agg(F.max("text").alias("text")))
+
+
 def text_key(text: str) -> list[Column]:
     """Two hashes that stand for a text, 96 bits in all; NULL counts as empty."""
     value = F.coalesce(F.col(text), F.lit(""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import CachedWords, kept, slices, text_key, utf8_texts
+from tideline.llm.common import CachedWords, bit_map, in_map, kept, slices, text_key, utf8_texts
 from tideline.operators.groups import stored
 
 # Tokens of a window; items with fewer tokens are one window of their own length.
@@ -42,7 +43,10 @@ PLAIN, NUM, NAME, UNIT, NONE = 0, 1, 2, 3, 4
 TOKEN = np.dtype(
     [("low", "<u8"), ("mid", "<u8"), ("value", "<u8"), ("low_type", "u1"), ("mid_type", "u1"), ("ends", "u1"), ("pad", "u1", 5)]
 )
+RECORD = struct.Struct("<QQQBB?5x")
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+# What ends a sentence.
+ENDS = tuple(".!?:…")
 
 
 def hashed(text: str) -> int:
@@ -59,17 +63,19 @@ def token(word: bytes) -> bytes:
     a capitalised word within a sentence, as a name.
     """
     text = word.decode("utf-8", "replace")
-    ends = text.rstrip("\"')]}*_”’»")[-1:] in tuple(".!?:…")
-    start, stop = 0, len(text)
-    while start < stop and not text[start].isalnum():
-        start += 1
-    while stop > start and not text[stop - 1].isalnum():
-        stop -= 1
-    core = text[start:stop]
-    lowered = core.lower()
-    low = mid = hashed(lowered)
+    if text.isalpha():
+        core, lowered, ends, number = text, text.lower(), False, None
+    else:
+        ends = text.rstrip("\"')]}*_”’»")[-1:] in ENDS
+        start, stop = 0, len(text)
+        while start < stop and not text[start].isalnum():
+            start += 1
+        while stop > start and not text[stop - 1].isalnum():
+            stop -= 1
+        core = text[start:stop]
+        lowered = core.lower()
+        number = NUMBER.fullmatch(lowered)
     low_type = PLAIN
-    number = NUMBER.fullmatch(lowered)
     if not core:
         low_type = NONE
     elif lowered in NUMBER_WORDS or number and (number[1] in ("", "%", "st", "nd", "rd", "th") or number[1] in UNITS):
@@ -79,11 +85,9 @@ def token(word: bytes) -> bytes:
     mid_type = low_type
     if low_type == PLAIN and len(core) > 1 and core[0].isupper() and core[1:].islower():
         mid_type = NAME
-    record = np.zeros(1, TOKEN)
-    record[0] = (
-        PLACEHOLDERS.get(low_type, low), PLACEHOLDERS.get(mid_type, mid), hashed(lowered), low_type, mid_type, ends, 0
-    )
-    return record.tobytes()
+    value = hashed(lowered)
+    low, mid = PLACEHOLDERS.get(low_type, value), PLACEHOLDERS.get(mid_type, value)
+    return RECORD.pack(low, mid, value, low_type, mid_type, ends)
 
 
 def cached_tokens() -> CachedWords:
@@ -173,15 +177,13 @@ def text_windows(docs: DataFrame, text: str, sizes: list[int], bitmap: Broadcast
 
     def run(batches: Iterator[pa.RecordBatch]):
         known, bits = cached_tokens(), bitmap.value
-        mask = np.uint64(len(bits) * 8 - 1)
         for batch in slices(batches, "text"):
             tokens = Tokens(utf8_texts(batch.column("text")), known)
             key, check = batch.column("_ll_key").to_numpy(), batch.column("_ll_check").to_numpy()
             rows = []
             for n in sizes:
                 at, made = tokens.windows(n)
-                bit = made & mask
-                hit = np.flatnonzero(bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1)
+                hit = np.flatnonzero(in_map(made, bits))
                 for i, value in zip(at[hit], made[hit].view(np.int64)):
                     k = tokens.owner[i]
                     rows.append((int(key[k]), int(check[k]), int(tokens.place[i]), n, int(value), tokens.slots(i, n)))
@@ -191,18 +193,6 @@ def text_windows(docs: DataFrame, text: str, sizes: list[int], bitmap: Broadcast
     return rows.mapInArrow(run, f"_ll_key long, _ll_check int, {WINDOWS}")
 
 
-def window_map(items: DataFrame, bits: int) -> np.ndarray:
-    """A bit per benchmark window, put together by Spark; its size is fixed, whatever the benchmark's."""
-    bit = F.col("window").bitwiseAND(bits - 1)
-    words = items.groupBy(F.shiftright(bit, 3).alias("byte")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(window & 7 AS int))")).alias("bits")
-    )
-    found = np.zeros(bits // 8, dtype=np.uint8)
-    for row in words.toLocalIterator():
-        found[row["byte"]] = row["bits"]
-    return found
-
-
 def contaminated_texts(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
     window: int = WINDOW, enough: int = ENOUGH_TOKENS, shortest: int = SHORTEST_ITEM, bits: int = MAP_BITS,
@@ -217,7 +207,7 @@ def contaminated_texts(
     """
     items = stored(item_windows(benchmark, item, item_text, window, shortest))
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
-    bitmap = docs.sparkSession.sparkContext.broadcast(window_map(items, bits))
+    bitmap = docs.sparkSession.sparkContext.broadcast(bit_map(items, "window", bits))
     found = text_windows(docs, text, sizes, bitmap)
     # Copies of a text say the same; they are reduced before they are shuffled.
     found = found.groupBy("_ll_key", "_ll_check", "place", "size", "window").agg(F.first("slots").alias("slots"))

@@ -11,7 +11,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import slices, text_key, utf8_texts
+from tideline.llm.common import fetch_texts, slices, text_key, utf8_texts
 from tideline.llm.graph import components
 from tideline.llm.shingles import FACTOR, Shingles, cached_hashes
 from tideline.operators.groups import stored
@@ -20,6 +20,8 @@ from tideline.operators.groups import stored
 ID_BITS = 44
 TABLE_BITS = 16
 SEED = 42
+# Rows, and different shingles, of the chunks in which frequent shingles are looked for.
+CHUNK_ROWS, CHUNK_SHINGLES = 4_000, 4_000_000
 # Texts of a bucket that the others are compared with.
 CENTERS = 4
 
@@ -96,23 +98,36 @@ def signatures(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, texts: i
 def common_shingles(docs: DataFrame, text: str, share: float) -> tuple[int, list[tuple[int, int]]]:
     """Number of rows, and (id, rows that have it) for shingles in at least ``share`` of the rows.
 
-    A shingle with that share in all has it in some batch; batches report what has a quarter of
-    the share in them. Sums that can reach the share are few (shingles per text over three
+    A shingle with that share in all has it in some chunk of rows; chunks report what has a
+    quarter of the share in them. Sums that can reach the share are few (shingles per text over three
     quarters of the share, at most); these are counted exactly in a second pass.
     """
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = rows.count()
+    # Small partitions are read together, as shares of a few rows mean nothing.
+    wide = rows.coalesce(max(1, total // CHUNK_ROWS))
+
+    def told(chunk: list[np.ndarray], n: int) -> Iterator[pa.RecordBatch]:
+        ids, times = np.unique(np.concatenate(chunk), return_counts=True)
+        many = times >= share / 4 * n
+        yield pa.RecordBatch.from_arrays([pa.array(ids[many].astype(np.int64)), pa.array(times[many])], ["id", "n"])
 
     def frequent(batches: Iterator[pa.RecordBatch]):
         known = cached_hashes()
+        whole, whole_rows, chunk, n = [], 0, [], 0
         for batch in slices(batches, "text"):
             found = Shingles(utf8_texts(batch.column("text")), known)
-            _, ids, _ = weighted(found, np.zeros(0, np.uint64), np.zeros(0), 1.0)
-            ids, times = np.unique(ids, return_counts=True)
-            many = times >= max(1.0, share / 4 * batch.num_rows)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[many].astype(np.int64)), pa.array(times[many])], ["id", "n"])
-
-    near = rows.mapInArrow(frequent, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            chunk.append(weighted(found, np.zeros(0, np.uint64), np.zeros(0), 1.0)[1])
+            n += batch.num_rows
+            if n >= CHUNK_ROWS and sum(map(len, chunk)) >= CHUNK_SHINGLES:
+                if whole:
+                    yield from told(whole, whole_rows)
+                whole, whole_rows, chunk, n = chunk, n, [], 0
+        # What is left joins the last whole chunk, so no chunk is of a few rows.
+        if whole or chunk:
+            yield from told(whole + chunk, whole_rows + n)
+
+    near = wide.mapInArrow(frequent, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     ids = sorted(r["id"] for r in near.filter(F.col("n") >= total * share * 0.75).select("id").collect())
     if not ids:
         return total, []
@@ -165,16 +180,11 @@ def distinct_texts(docs: DataFrame, text: str, order: str, table: Broadcast, sha
     return stored(grouped.withColumn("tid", F.monotonically_increasing_id()))
 
 
-def verify(pairs: DataFrame, docs: DataFrame, texts: DataFrame, text: str, table: Broadcast, shape: NearDups) -> DataFrame:
+def verify(pairs: DataFrame, fetched: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
     """``pairs`` (a, b) with similar: whether their weighted Jaccard similarity reaches the threshold; stored.
 
-    Only texts that pairs name are fetched, one of each.
+    ``fetched`` holds their texts (tid, text).
     """
-    named = pairs.select(F.col("a").alias("tid")).unionAll(pairs.select(F.col("b").alias("tid"))).distinct()
-    needed = stored(named.join(texts.select("tid", "_ll_key", "_ll_check"), "tid"))
-    rows = docs.select(*text_key(text), F.col(text).alias("text"))
-    fetched = rows.join(needed, ["_ll_key", "_ll_check"]).groupBy("tid").agg(F.max("text").alias("text"))
-    fetched = stored(fetched)
 
     def compare(batches: Iterator[pa.RecordBatch]):
         known = cached_hashes()
@@ -212,19 +222,19 @@ def heaviest(members: DataFrame) -> DataFrame:
     return stored(ranked.select("bucket", F.col("tid").alias("tid2"), "rank"))
 
 
-def compared(some: DataFrame, centers: DataFrame, check) -> tuple[DataFrame, DataFrame]:
+def compared(some: DataFrame, centers: DataFrame, check, fetched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Similar pairs of members and centers of a bucket, and the members that are like none of them."""
     ends = {"a": F.least("tid", "tid2"), "b": F.greatest("tid", "tid2")}
     met = some.join(centers, "bucket").filter("tid <> tid2").withColumns(ends).select("bucket", "tid", "weight", "a", "b")
     met = stored(met)
-    verified = check(stored(met.select("a", "b").distinct()))
+    verified = check(stored(met.select("a", "b").distinct()), fetched)
     alike = stored(verified.filter("similar").select("a", "b"))
     good = met.join(alike, ["a", "b"], "left_semi").select("bucket", "tid").distinct()
     failed = met.select("bucket", "tid", "weight").distinct().join(good, ["bucket", "tid"], "left_anti")
     return alike.select(F.col("a").alias("u"), F.col("b").alias("v")), stored(failed)
 
 
-def links(texts: DataFrame, check) -> DataFrame:
+def links(texts: DataFrame, fetch, check) -> DataFrame:
     """Pairs u, v of different texts that are near duplicates, enough of them to join every class.
 
     In each bucket all texts are compared with its center, the text that shares most buckets
@@ -240,17 +250,18 @@ def links(texts: DataFrame, check) -> DataFrame:
         F.sum("n").alias("weight"), F.sort_array(F.collect_list("bucket")).alias("all")
     )
     met = stored(met)
+    fetched = fetch(met.select("tid"))
     members = met.select(F.explode("all").alias("bucket"), "tid", "weight")
     centers = heaviest(members)
-    found, failed = compared(members, centers.filter("rank = 1"), check)
+    found, failed = compared(members, centers.filter("rank = 1"), check, fetched)
     if not failed.isEmpty():
-        more, failed = compared(failed, centers.filter("rank > 1"), check)
+        more, failed = compared(failed, centers.filter("rank > 1"), check, fetched)
         found = found.unionAll(more)
     if not failed.isEmpty():
         around = stored(members.join(failed.select("bucket").distinct(), "bucket", "left_semi"))
         fine_failed = stored(finer(failed, met))
         fine = finer(around, met).join(fine_failed.select("bucket").distinct(), "bucket", "left_semi")
-        found = found.unionAll(compared(fine_failed, heaviest(fine), check)[0])
+        found = found.unionAll(compared(fine_failed, heaviest(fine), check, fetched)[0])
     return stored(found.distinct())
 
 
@@ -265,7 +276,11 @@ def text_classes(docs: DataFrame, text: str, order: str, shape: NearDups) -> Dat
     """_ll_key, _ll_check, class_id, class_rows, n_links of every different text; stored."""
     table = weights_table(docs, text, shape)
     texts = distinct_texts(docs, text, order, table, shape)
-    edges = links(texts, lambda pairs: verify(pairs, docs, texts, text, table, shape))
+
+    def fetch(tids: DataFrame) -> DataFrame:
+        return fetch_texts(docs, text, stored(texts.select("tid", "_ll_key", "_ll_check").join(tids, "tid")))
+
+    edges = links(texts, fetch, lambda pairs, fetched: verify(pairs, fetched, table, shape))
     ends = edges.select(F.col("u").alias("tid")).unionAll(edges.select(F.col("v").alias("tid")))
     degree = ends.groupBy("tid").agg(F.count(F.lit(1)).alias("n_links"))
     class_of = stored(components(edges).withColumnRenamed("node", "tid").join(degree, "tid"))
