@@ -256,6 +256,33 @@ def test_copies_and_hot_passages(spark):
     assert {(r["passage_start"], r["passage_stop"]) for r in copies} == {(0, 80)}
 
 
+def test_all_passages_of_two_texts(spark):
+    rows = []
+    for k in range(30):
+        one, two = prose(100, 9000 + k), prose(60, 9100 + k)
+        for side in (0, 1):
+            seed = 9200 + 10 * k + side
+            words = prose(40, seed) + one + prose(20, seed + 5000) + two + prose(40, seed + 7000)
+            rows.append((2 * k + side, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    starts: dict = {}
+    for r in passages.mark_passages(docs).collect():
+        starts.setdefault(r["doc_id"], []).append(r["passage_start"])
+    whole = [sum(any(s is not None and abs(s - at) <= 3 for s in starts[d]) for at in (40, 160)) for d in starts]
+    assert sum(whole) >= 0.98 * 2 * len(rows)
+
+
+def test_matched_finds_every_stretch():
+    chance = np.random.default_rng(4)
+    one, two, three, x, y = (chance.integers(0, 1 << 62, n).astype(np.uint64) for n in (100, 60, 46, 30, 30))
+    a, b = np.concatenate([one, x, two, x[:20], three]), np.concatenate([one, y, two, y[:20], three])
+    assert passages.matched(a, b, passages.Passages()) == [(0, 99, 0, 99), (130, 189, 130, 189), (210, 255, 210, 255)]
+    # Side by side in one text, far apart in the other.
+    a, b = np.concatenate([one, two]), np.concatenate([one, x, y, two])
+    assert passages.matched(a, b, passages.Passages()) == [(0, 99, 0, 99), (100, 159, 160, 219)]
+    assert passages.matched(x, y, passages.Passages()) == []
+
+
 # ---- benchmark items ----------------------------------------------------------------
 
 QUESTION = "A train leaves the old station with Maria on board and travels 120 km in 2 hours before Maria gets off at the river"
