@@ -143,6 +143,30 @@ def test_near_duplicates_against_brute_force(spark):
     assert kept == sorted(set(want))
 
 
+def chained_copies():
+    """Pages of one template that are unlike each other; of each there is one copy with few changes."""
+    stock, texts = prose(80, 60), []
+    for k in range(40):
+        own = prose(40, 700 + k)
+        texts += [stock + own, stock + own[:37] + prose(3, 800 + k)]
+    return [" ".join(t) for t in texts]
+
+
+def test_every_pair_of_a_bucket_is_settled(spark):
+    texts = chained_copies()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want, near = classes(texts)
+    shape = near_dups.NearDups(bands=1, rows=1)
+    table = near_dups.weights_table(docs, "text", shape)
+    bucket = {r["first"]: r["buckets"][0] for r in near_dups.distinct_texts(docs, "text", "doc_id", table, shape).collect()}
+    met = [(i, j) for i, j in near if bucket[i] == bucket[j]]
+    assert len(met) >= 20 and max(Counter(bucket.values()).values()) > 2 * near_dups.NearDups().bands
+    found = {r["doc_id"]: r["class_id"] for r in near_dups.near_duplicates(docs, shape=shape).collect()}
+    split = [(i, j) for i, j in met if found[i] != found[j]]
+    print(f"pairs of a bucket that are split: {len(split)} of {len(met)}")
+    assert not split and all(want[i] == want[found[i]] for i in found)
+
+
 def test_near_duplicates_of_edge_rows(spark):
     rows = [(None, "x y z"), (None, "x y z"), (5, None), (5, ""), (7, "w " * 30000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

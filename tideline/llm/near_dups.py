@@ -22,8 +22,8 @@ TABLE_BITS = 16
 SEED = 42
 # Rows, and different shingles, of the chunks in which frequent shingles are looked for.
 CHUNK_ROWS, CHUNK_SHINGLES = 4_000, 4_000_000
-# Texts of a bucket that the others are compared with.
-CENTERS = 4
+# Open buckets of so many texts are compared pair by pair; larger ones by shingles that their texts share.
+FULL = 8
 
 
 @dataclass(frozen=True)
@@ -181,7 +181,7 @@ def distinct_texts(docs: DataFrame, text: str, order: str, table: Broadcast, sha
 
 
 def verify(pairs: DataFrame, fetched: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
-    """``pairs`` (a, b) with similar: whether their weighted Jaccard similarity reaches the threshold; stored.
+    """``pairs`` (a, b) with their weighted Jaccard similarity, and whether it reaches the threshold; stored.
 
     ``fetched`` holds their texts (tid, text).
     """
@@ -196,80 +196,132 @@ def verify(pairs: DataFrame, fetched: DataFrame, table: Broadcast, shape: NearDu
                 found = weighted(Shingles(utf8_texts(unique.dictionary), known), *table.value)
                 bounds = np.searchsorted(found[0], np.arange(len(unique.dictionary) + 1))
                 sides.append((unique.indices.to_numpy(), found[1], found[2], bounds))
-            similar = []
+            similarity, similar = [], []
             for i in range(n):
                 (ia, ids_a, w_a, at_a), (ib, ids_b, w_b, at_b) = sides
                 a, b = slice(at_a[ia[i]], at_a[ia[i] + 1]), slice(at_b[ib[i]], at_b[ib[i] + 1])
                 _, x, y = np.intersect1d(ids_a[a], ids_b[b], assume_unique=True, return_indices=True)
                 both = np.minimum(w_a[a][x], w_b[b][y]).sum()
                 every = w_a[a].sum() + w_b[b].sum() - both
+                similarity.append(float(both / every))
                 similar.append(bool(both >= shape.similarity * every - 1e-9))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(similar)], ["a", "b", "similar"])
+            arrays = [batch.column("a"), batch.column("b"), pa.array(similarity, pa.float64()), pa.array(similar, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "similarity", "similar"])
 
     left = fetched.select(F.col("tid").alias("a"), F.col("text").alias("text_a"))
     right = fetched.select(F.col("tid").alias("b"), F.col("text").alias("text_b"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return stored(full.mapInArrow(compare, "a long, b long, similar boolean"))
+    return stored(full.mapInArrow(compare, "a long, b long, similarity double, similar boolean"))
 
 
 def heaviest(members: DataFrame) -> DataFrame:
-    """bucket, tid2 and rank of the ``CENTERS`` members of most weight of each bucket; stored.
+    """bucket and tid2 of the member of most weight of each bucket; stored.
 
     Tasks drop all others before the shuffle, so a large bucket costs no more than a small one.
     """
     order = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "tid")
-    ranked = members.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= CENTERS)
-    return stored(ranked.select("bucket", F.col("tid").alias("tid2"), "rank"))
+    ranked = members.withColumn("rank", F.row_number().over(order)).filter("rank = 1")
+    return stored(ranked.select("bucket", F.col("tid").alias("tid2")))
 
 
-def compared(some: DataFrame, centers: DataFrame, check, fetched: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Similar pairs of members and centers of a bucket, and the members that are like none of them."""
-    ends = {"a": F.least("tid", "tid2"), "b": F.greatest("tid", "tid2")}
-    met = some.join(centers, "bucket").filter("tid <> tid2").withColumns(ends).select("bucket", "tid", "weight", "a", "b")
-    met = stored(met)
-    verified = check(stored(met.select("a", "b").distinct()), fetched)
-    alike = stored(verified.filter("similar").select("a", "b"))
-    good = met.join(alike, ["a", "b"], "left_semi").select("bucket", "tid").distinct()
-    failed = met.select("bucket", "tid", "weight").distinct().join(good, ["bucket", "tid"], "left_anti")
-    return alike.select(F.col("a").alias("u"), F.col("b").alias("v")), stored(failed)
+def first_shingles(fetched: DataFrame, tids: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
+    """tid, total and id: shingles of which two similar texts have one in common; stored.
+
+    Shingles are put in one order, those in fewest of these texts first. What two similar texts
+    share weighs at least ``similarity`` of either, so the first shingle they share has that much
+    of the weight at or after it, in both. ``total`` is the text's weight.
+    """
+
+    def told(batches: Iterator[pa.RecordBatch]):
+        known = cached_hashes()
+        for batch in slices(batches, "text"):
+            owner, ids, weights = weighted(Shingles(utf8_texts(batch.column("text")), known), *table.value)
+            total = np.bincount(owner, weights, minlength=batch.num_rows)[owner]
+            tid = batch.column("tid").to_numpy()[owner]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tid), pa.array(ids.astype(np.int64)), pa.array(weights), pa.array(total)], ["tid", "id", "w", "total"]
+            )
+
+    rows = fetched.join(tids, "tid", "left_semi").select("tid", "text")
+    rows = stored(rows.mapInArrow(told, "tid long, id long, w double, total double"))
+    times = rows.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
+    upto = Window.partitionBy("tid").orderBy("times", "id")
+    placed = rows.join(times, "id").withColumn("after", F.col("total") - F.sum("w").over(upto) + F.col("w"))
+    first = placed.filter((F.col("times") > 1) & (F.col("after") >= F.col("total") * shape.similarity - 1e-6))
+    return stored(first.select("tid", "total", "id"))
 
 
-def links(texts: DataFrame, fetch, check) -> DataFrame:
+def open_pairs(around: DataFrame, fetched: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
+    """Pairs a, b of a bucket that could be similar, though neither center nor class joins them; stored.
+
+    ``around`` (bucket, tid, similarity and similar to the center, label and center_label: classes so far).
+    Left out are pairs of one class, and those that are bounded below the threshold: by the
+    center (1 - similarity is a metric), by their weights, or as they share no first shingle.
+    """
+    slack = 1 - shape.similarity + 1e-6
+    unlike = ~F.col("similar") & (F.col("label") != F.col("center_label"))
+    around = stored(around.withColumn("unlike", unlike).drop("similar", "center_label"))
+    nearest = around.filter("unlike").groupBy("bucket").agg(F.max("similarity").alias("nearest"))
+    near = around.join(nearest, "bucket").filter(F.col("similarity") <= F.col("nearest") + slack).drop("nearest")
+    near = stored(near)
+    sizes = near.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    near = stored(near.join(sizes, "bucket"))
+
+    def met(rows: DataFrame, on: list[str]) -> DataFrame:
+        others = rows.select(*on, *[F.col(c).alias(f"{c}2") for c in rows.columns if c not in on])
+        # A pair of two open texts is made once.
+        both = (F.col("tid") < F.col("tid2")) | ~F.col("unlike2")
+        both = both & (F.col("tid") != F.col("tid2")) & (F.col("label") != F.col("label2"))
+        both = both & (F.abs(F.col("similarity") - F.col("similarity2")) <= slack)
+        if "total" in rows.columns:
+            least, most = F.least("total", "total2"), F.greatest("total", "total2")
+            both = both & (least >= most * shape.similarity - 1e-6)
+        ends = F.least("tid", "tid2").alias("a"), F.greatest("tid", "tid2").alias("b")
+        return rows.filter("unlike").join(others, on).filter(both).select(*ends)
+
+    few, many = near.filter(F.col("n") <= FULL).drop("n"), near.filter(F.col("n") > FULL).drop("n")
+    pairs = met(few, ["bucket"])
+    if not many.isEmpty():
+        shingles = first_shingles(fetched, stored(many.select("tid").distinct()), table, shape)
+        pairs = pairs.unionAll(met(many.join(shingles, "tid"), ["bucket", "id"]))
+    return stored(pairs.distinct())
+
+
+def links(texts: DataFrame, fetch, table: Broadcast, shape: NearDups) -> DataFrame:
     """Pairs u, v of different texts that are near duplicates, enough of them to join every class.
 
     In each bucket all texts are compared with its center, the text that shares most buckets
-    with others, as the original of a group of copies does. Texts unlike the center are compared
-    with the next heaviest, and then, in finer buckets of those that share a second band too,
-    with the heaviest there. Comparisons follow the number of texts, not its square; buckets of
-    up to ``CENTERS`` + 1 texts are compared in full.
+    with others, as the original of a group of copies does. Texts unlike the center that no
+    other link brings into its class are then compared with all others of the bucket that they
+    could be similar to. So any two similar texts of a bucket end up in one class.
     """
     named = F.posexplode("buckets").alias("band", "value")
     all_members = texts.select("tid", named).select(F.xxhash64("band", "value").alias("bucket"), "tid")
     sizes = stored(all_members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    met = all_members.join(sizes, "bucket").groupBy("tid").agg(
-        F.sum("n").alias("weight"), F.sort_array(F.collect_list("bucket")).alias("all")
+    met = stored(
+        all_members.join(sizes, "bucket").groupBy("tid").agg(F.sum("n").alias("weight"), F.collect_list("bucket").alias("all"))
     )
-    met = stored(met)
     fetched = fetch(met.select("tid"))
     members = met.select(F.explode("all").alias("bucket"), "tid", "weight")
-    centers = heaviest(members)
-    found, failed = compared(members, centers.filter("rank = 1"), check, fetched)
-    if not failed.isEmpty():
-        more, failed = compared(failed, centers.filter("rank > 1"), check, fetched)
-        found = found.unionAll(more)
-    if not failed.isEmpty():
-        around = stored(members.join(failed.select("bucket").distinct(), "bucket", "left_semi"))
-        fine_failed = stored(finer(failed, met))
-        fine = finer(around, met).join(fine_failed.select("bucket").distinct(), "bucket", "left_semi")
-        found = found.unionAll(compared(fine_failed, heaviest(fine), check, fetched)[0])
-    return stored(found.distinct())
-
-
-def finer(members: DataFrame, met: DataFrame) -> DataFrame:
-    """The members in buckets of two: their own and any other that their text shares."""
-    both = members.join(met.select("tid", "all"), "tid").select("bucket", "tid", "weight", F.explode("all").alias("second"))
-    pair = F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket")
-    return both.filter("second <> bucket").select(pair, "tid", "weight").distinct()
+    ends = {"a": F.least("tid", "tid2"), "b": F.greatest("tid", "tid2")}
+    centered = stored(members.join(heaviest(members), "bucket").filter("tid <> tid2").withColumns(ends).drop("weight"))
+    verified = verify(stored(centered.select("a", "b").distinct()), fetched, table, shape)
+    found = stored(verified.filter("similar").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    if verified.filter("NOT similar").isEmpty():
+        return found
+    class_of = stored(components(found))
+    around = (
+        centered.join(verified, ["a", "b"])
+        .join(class_of.select(F.col("node").alias("tid"), F.col("component").alias("label")), "tid", "left")
+        .join(class_of.select(F.col("node").alias("tid2"), F.col("component").alias("center_label")), "tid2", "left")
+        .select(
+            "bucket", "tid", "similarity", "similar", F.coalesce("label", "tid").alias("label"),
+            F.coalesce("center_label", "tid2").alias("center_label"),
+        )
+    )
+    pairs = open_pairs(around, fetched, table, shape)
+    more = verify(stored(pairs.join(verified, ["a", "b"], "left_anti")), fetched, table, shape)
+    return stored(found.unionAll(more.filter("similar").select("a", "b")))
 
 
 def text_classes(docs: DataFrame, text: str, order: str, shape: NearDups) -> DataFrame:
@@ -280,7 +332,7 @@ def text_classes(docs: DataFrame, text: str, order: str, shape: NearDups) -> Dat
     def fetch(tids: DataFrame) -> DataFrame:
         return fetch_texts(docs, text, stored(texts.select("tid", "_ll_key", "_ll_check").join(tids, "tid")))
 
-    edges = links(texts, fetch, lambda pairs, fetched: verify(pairs, fetched, table, shape))
+    edges = links(texts, fetch, table, shape)
     ends = edges.select(F.col("u").alias("tid")).unionAll(edges.select(F.col("v").alias("tid")))
     degree = ends.groupBy("tid").agg(F.count(F.lit(1)).alias("n_links"))
     class_of = stored(components(edges).withColumnRenamed("node", "tid").join(degree, "tid"))
