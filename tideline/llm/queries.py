@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, decontaminate, fertility, langid, line_dedup, near_dups, packing, passages, quality_model, urls
+from tideline.llm import chat, decontaminate, exact_dedup, fertility, langid, line_dedup, near_dups, packing, passages, quality_model, urls
 from tideline.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,12 @@ def op10_near_duplicates(spark, folder):
 def op7_passages(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return passages.mark_passages(docs).drop("text")
+
+
+@query
+def op12_exact_copies(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return exact_dedup.mark_copies(docs, exact_dedup.first_half(docs))
+
+
+ORACLE["op12_exact_copies"] = exact_dedup.copies_sql("documents")
