@@ -1,0 +1,111 @@
+"""Periodic runs against a scan of every period, and the query against a plain computation."""
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+
+from tideline.llm import periodic, queries
+
+
+def scanned(words, least=6, times=4):
+    """(start, length, period) of every run: for each period, the maximal stretches of equal words."""
+    n, found = len(words), {}
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, times * q):
+                found.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def patched(chance):
+    """A text of repeated pieces."""
+    words = []
+    for _ in range(chance.randint(0, 6)):
+        piece = [b"%d" % chance.randint(0, chance.choice([0, 1, 2, 4, 9])) for _ in range(chance.randint(1, 9))]
+        words += (piece * chance.randint(1, 9))[: chance.randint(1, 70)]
+    return words
+
+
+def test_runs_against_a_scan():
+    chance = random.Random(1)
+    for _ in range(120):
+        texts = [patched(chance) for _ in range(chance.randint(0, 12))]
+        for words, runs in zip(texts, periodic.runs_of(texts)):
+            assert [tuple(r) for r in runs.tolist()] == scanned(words)
+    for rule in (periodic.Runs(2, 2), periodic.Runs(9, 3)):
+        texts = [patched(chance) for _ in range(20)]
+        for words, runs in zip(texts, periodic.runs_of(texts, rule)):
+            assert [tuple(r) for r in runs.tolist()] == scanned(words, rule.words, rule.times)
+
+
+def test_every_grid_point_may_be_no_run(monkeypatch):
+    chance = random.Random(2)
+    every_other = [w for i in range(3_000) for w in (b"x", b"%d" % chance.randint(0, 99))]
+    long_run = [b"a", b"b", b"c"] * 4_000 + [b"a", b"d"] + [b"z"] * 5_000
+    monkeypatch.setattr(periodic, "GRID_POINTS", 1_000)
+    found = periodic.runs_of([every_other, long_run, []])
+    assert [tuple(r) for r in found[0].tolist()] == scanned(every_other[:0]) and len(found[2]) == 0
+    assert found[1].tolist() == [[0, 12_001, 3], [12_002, 5_000, 1]]
+
+
+def test_equal_stretches_extend_as_far_as_they_agree():
+    chance = random.Random(3)
+    words = np.array([chance.randint(0, 2) for _ in range(300)] * 2 + [chance.randint(0, 2) for _ in range(200)], dtype=np.int64)
+    joined = np.concatenate([[7], words, [8]])
+    levels = periodic.recompress(joined, np.array([0, len(joined) - 1]))
+    back = periodic.mirrored(levels)
+    x = np.array([1 + chance.randrange(500) for _ in range(400)])
+    y = np.array([chance.randrange(i + 1, len(words)) for i in x])
+    n = len(joined)
+    for i, j, right, left in zip(x, y, periodic.extension(levels, x, y), periodic.extension(back, n - 1 - y, n - 1 - x)):
+        assert (joined[i : i + right] == joined[j : j + right]).all() and joined[i + right] != joined[j + right]
+        assert (joined[i - left + 1 : i + 1] == joined[j - left + 1 : j + 1]).all() and joined[i - left] != joined[j - left]
+
+
+def expected(doc_id, text):
+    words = [w for w in (text or "").encode().split()]
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and words:
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+    runs = scanned(words)
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else None
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    listed = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    head = (len(runs), *(best or (None, None, None)), 1000 * best[1] // best[2] if best else None)
+    return (doc_id, *head, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def test_query_against_brute_force(spark, folder):
+    found = queries.op11_periodic_runs(spark, folder)
+    assert found.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    some = [(r["doc_id"], r["text"]) for r in docs.collect() if len(r["text"]) < 6_000]
+    got = {r["doc_id"]: tuple(r) for r in found.collect()}
+    assert len(got) == docs.count() and sum(r[1] for r in got.values()) > 20
+    for doc_id, text in some:
+        assert got[doc_id] == expected(doc_id, text)
+
+
+def test_odd_rows(spark):
+    rows = [(None, "a b " * 9, "r"), (1, None, "r"), (1, None, "r"), (2, "", "r"), (3, "\x0b \t", "r"), (4, "é é é é é é\x1cé", "r"), (5, "q " * 50_000, "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, runs string")
+    found = sorted(map(tuple, periodic.mark_runs(docs).select("doc_id", "n_runs", "strongest", "collapsed").collect()), key=repr)
+    assert found == sorted(
+        [(None, 1, (0, 18, 2), "a b"), (1, 0, None, ""), (1, 0, None, ""), (2, 0, None, ""), (3, 0, None, ""), (4, 0, None, "é é é é é é\x1cé"), (5, 1, (0, 50_000, 1), "q")],
+        key=repr,
+    )
+    digests = periodic.mark_runs(docs.filter("doc_id = 1")).select(*periodic.run_digests()).first()
+    assert digests["runs_sha256"] == digests["collapsed_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert periodic.mark_runs(docs.filter("false")).count() == 0
