@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, decontaminate, exact_dedup, fertility, langid, line_dedup, near_dups, packing, passages, periodic, quality_model, urls
+from tideline.llm import chat, decontaminate, exact_dedup, fertility, langid, line_dedup, near_dups, packing, passages, periodic, quality_model, repair, urls
 from tideline.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,8 @@ ORACLE["op12_exact_copies"] = exact_dedup.copies_sql("documents")
 def op11_periodic_runs(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return periodic.mark_runs(docs, rewrite=periodic.plant).select("doc_id", *periodic.run_digests())
+
+
+@query
+def op13_conversation_repair(spark, folder):
+    return repair.repair_digests(read(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
