@@ -1,0 +1,261 @@
+"""Versioned tables, merges by file, repeated batches, totals from retractions."""
+
+import os
+import random
+import threading
+from pathlib import Path
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from tideline.operators import changes as ch
+from tideline.operators import retract, versions
+from tideline.operators.versions import VersionedTable
+from tideline.plans import star, versioned
+from tideline.session import fresh_folder
+from tideline.sources.tables import load_tables
+
+FACT = "orderkey long, custkey long, orderdate date, order_revenue double, note string"
+
+
+@pytest.fixture()
+def table(spark):
+    return VersionedTable(spark, fresh_folder(spark, "table"))
+
+
+def times(table):
+    """Name and time of last change of every data file."""
+    root = Path(table.path.removeprefix("file:")) / "data"
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in root.glob("*/*.parquet")}
+
+
+def facts(spark, rows):
+    return spark.createDataFrame(rows, FACT)
+
+
+def random_facts(seed, n=300):
+    chance = random.Random(seed)
+    dates = [f"2024-01-{d:02d}" for d in range(1, 9)]
+    return [
+        (
+            None if chance.random() < 0.02 else i // (2 if chance.random() < 0.05 else 1),
+            chance.choice([None, *range(25)]),
+            None if chance.random() < 0.05 else chance.choice(dates),
+            None if chance.random() < 0.1 else round(chance.random() * 100, 4),
+            "old",
+        )
+        for i in range(n)
+    ]
+
+
+def dated(spark, rows):
+    plain = spark.createDataFrame(rows, FACT.replace("date,", "string,"))
+    return plain.withColumn("orderdate", F.col("orderdate").cast("date"))
+
+
+def random_changes(spark, seed, rows, n=60):
+    chance = random.Random(seed)
+    keys = sorted({r[0] for r in rows if r[0] is not None})
+    made = {}
+    for _ in range(n):
+        key = chance.choice(keys) if chance.random() < 0.7 else 10_000 + chance.randint(0, 50)
+        made[key] = (*random_facts(chance.random(), 1)[0][1:4], "new", chance.choice(["I", "U", "D", None]))
+    found = [(k, *v) for k, v in made.items()] + [(None, 3, "2024-01-02", 1.0, "new", "I")]
+    plain = spark.createDataFrame(found, FACT.replace("date,", "string,") + ", op string")
+    return plain.withColumn("orderdate", F.col("orderdate").cast("date"))
+
+
+def test_only_files_with_a_match_are_rewritten(spark, table):
+    table.replace(spark.range(1_000).selectExpr("id as k", "id * 2 as v"), "k", n_files=10)
+    before, names = times(table), set(table.version().files)
+    changes = spark.createDataFrame([(5, 0, "U"), (7, 0, "D"), (150, -1, "U"), (2_000, 1, "I"), (3, 1, "I")], "k long, v long, op string")
+    version = table.merge(changes)
+    assert version.done["rewritten"] == 2 and version.done["kept"] == 8
+    stays = names & set(version.files)
+    assert len(stays) == 8 and all(times(table)[name] == before[name] for name in names)
+    got = dict(map(tuple, table.read().collect()))
+    want = {k: 2 * k for k in range(1_000)} | {5: 0, 150: -1, 2_000: 1}
+    del want[7]
+    assert got == want
+    assert table.read(1).count() == 1_000 and table.merge(changes.filter("op = 'X'")).done["rewritten"] == 0
+
+
+@pytest.mark.parametrize("seed, broadcast_rows", [(1, 1_000), (2, 0)])
+def test_merge_equals_apply_changes(spark, table, seed, broadcast_rows):
+    rows = random_facts(seed)
+    target, changes = dated(spark, rows), random_changes(spark, seed + 50, rows)
+    table.replace(target, "orderkey", n_files=6)
+    table.merge(changes, broadcast_rows=broadcast_rows)
+    assert rows_of(table.read()) == rows_of(ch.apply_changes(target, changes))
+    with pytest.raises(ValueError, match="expected op"):
+        table.merge(changes.drop("note"))
+    with pytest.raises(ValueError, match="several changes"):
+        table.merge(changes.filter("orderkey is not null").unionByName(changes.filter("orderkey is not null")))
+
+
+def test_null_safe_keys(spark, table):
+    table.replace(spark.createDataFrame([(None, 1), (2, 2)], "k long, v long"), "k")
+    changes = spark.createDataFrame([(None, 9, "U"), (3, 3, "I")], "k long, v long, op string")
+    table.merge(changes, same="null_safe")
+    assert rows_of(table.read(), ["k", "v"]) == sorted([(None, 9), (2, 2), (3, 3)], key=repr)
+
+
+def test_a_batch_is_applied_once(spark, table):
+    table.replace(spark.range(10).selectExpr("id as k", "0 as v"), "k")
+    changes = spark.createDataFrame([(1, 5, "U"), (50, 1, "I")], "k long, v int, op string")
+    first = table.merge(changes, batch="a")
+    assert table.merge(changes, batch="a").number == first.number == 2
+    assert table.replace(spark.range(1).selectExpr("id as k", "0 as v"), batch="a").number == 2
+    assert table.merge(changes, batch="b").number == 3
+
+
+def test_replace_reads_itself_and_changes_columns(spark, table):
+    assert not table.exists()
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    table.replace(spark.range(5).toDF("k"), "k")
+    table.replace(table.read().filter("k > 2").withColumn("twice", F.col("k") * 2), "k")
+    assert rows_of(table.read(), ["k", "twice"]) == [(3, 6), (4, 8)]
+    table.replace(table.read().filter("false"))
+    assert table.read().columns == ["k", "twice"] and table.read().count() == 0 and table.read(1).count() == 5
+
+
+def test_a_stop_at_any_step_leaves_the_version_before(spark, table, monkeypatch):
+    table.replace(spark.range(100).selectExpr("id as k", "0 as v"), "k", n_files=4)
+    changes = spark.createDataFrame([(1, 5, "U")], "k long, v int, op string")
+    for module, name in ((versions.files, "put_new"), (versions.files, "listed")):
+        with monkeypatch.context() as patch:
+            whole = getattr(module, name)
+
+            def stops(spark, path, *more, whole=whole, name=name):
+                if name == "put_new" or "/data/" in path:
+                    raise KeyboardInterrupt
+                return whole(spark, path, *more)
+
+            patch.setattr(module, name, stops)
+            with pytest.raises(KeyboardInterrupt):
+                table.merge(changes, batch="a")
+        assert table.numbers() == [1] and table.read().filter("v = 5").count() == 0
+    assert table.merge(changes, batch="a").number == 2 and table.read().filter("v = 5").count() == 1
+    # What the stopped writers left is not named by any version, and goes.
+    assert len(table.expire(keep=2, grace_seconds=-5)) > 0
+    assert table.read().count() == 100 and table.read(1).count() == 100
+
+
+def test_two_writers_of_one_version(spark, table, monkeypatch):
+    table.replace(spark.range(3).toDF("k"), "k")
+    other = VersionedTable(spark, table.path)
+    whole = VersionedTable._write
+
+    def slow(self, df):
+        made = whole(self, df)
+        if self is table:
+            other.replace(spark.range(7).toDF("k"))
+        return made
+
+    monkeypatch.setattr(VersionedTable, "_write", slow)
+    with pytest.raises(versions.Conflict):
+        table.replace(spark.range(5).toDF("k"))
+    assert table.read().count() == 7
+
+
+def test_readers_always_find_the_table(spark, table):
+    table.replace(spark.range(10).selectExpr("id as k", "0 as round"), "k", n_files=2)
+    stop, seen, wrong = threading.Event(), set(), []
+
+    def poll():
+        while not stop.is_set():
+            try:
+                found = {tuple(r) for r in table.read().groupBy("round").count().collect()}
+                if len(found) != 1 or next(iter(found))[1] != 10:
+                    wrong.append(found)
+                seen.update(found)
+            except Exception as error:  # noqa: BLE001
+                wrong.append(error)
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    for round_ in range(1, 9):
+        table.replace(spark.range(10).selectExpr("id as k", f"{round_} as round"), "k", n_files=2)
+    stop.set()
+    reader.join()
+    assert not wrong and len(seen) > 1
+
+
+def test_expiry_deletes_what_no_version_names(spark, table):
+    table.replace(spark.range(100).selectExpr("id as k", "0 as v"), "k", n_files=4)
+    for k in (1, 99, 50):
+        table.merge(spark.createDataFrame([(k, 1, "U")], "k long, v int, op string"))
+    assert table.expire(keep=4, grace_seconds=3_600) == [] and table.read(1).count() == 100
+    gone = table.expire(keep=1, grace_seconds=-5)
+    assert table.numbers() == [4] and set(times(table)) == set(table.version().files) and len(gone) > 0
+    assert table.read().agg(F.sum("v")).first()[0] == 3
+    with pytest.raises(ValueError):
+        table.expire(keep=0)
+
+
+# ---- totals -------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_state_after_changes_equals_a_new_one(spark, seed):
+    rows = random_facts(seed)
+    target, changes = dated(spark, rows), random_changes(spark, seed + 70, rows, 120)
+    state = retract.customer_state(target)
+    assert rows_of(retract.totals_of(state)) == rows_of(star.agg_customer_revenue(target))
+    merged = ch.apply_changes(target, changes)
+    removed, added = retract.moved_rows(target, changes)
+    made = retract.state_changes(state, removed, added, lambda some: retract.of_customers(merged, some))
+    after = retract.with_changes(state, made)
+    assert rows_of(after) == rows_of(retract.customer_state(merged))
+    assert rows_of(retract.totals_of(after)) == rows_of(star.agg_customer_revenue(merged))
+
+
+def test_facts_are_read_again_only_where_the_last_date_went(spark):
+    rows = [(1, 1, "2024-01-05", 1.0, ""), (2, 1, "2024-01-03", 2.0, ""), (3, 2, "2024-01-05", 3.0, ""), (4, 2, "2024-01-05", 4.0, ""), (5, 3, "2024-01-01", 5.0, "")]
+    target = dated(spark, rows)
+    plain = spark.createDataFrame(
+        [(1, 1, None, None, "", "D"), (3, 2, None, None, "", "D"), (5, 3, None, None, "", "D"), (9, 2, "2024-02-01", 7.0, "", "I")],
+        FACT.replace("date,", "string,") + ", op string",
+    )
+    changes = plain.withColumn("orderdate", F.col("orderdate").cast("date"))
+    asked = []
+
+    def facts_of(customers):
+        asked.extend(r["custkey"] for r in customers.collect())
+        return retract.of_customers(ch.apply_changes(target, changes), customers)
+
+    made = retract.state_changes(retract.customer_state(target), *retract.moved_rows(target, changes), facts_of)
+    found = {r["custkey"]: (r["op"], r["order_cnt"], r["lifetime_revenue"]) for r in made.collect()}
+    assert asked == [1]
+    assert found[1][:2] == ("U", 1) and found[2][:2] == ("U", 2) and found[3][0] == "D" and float(found[2][2]) == 11.0
+
+
+def test_a_stopped_cycle_is_run_again(spark, folder, monkeypatch):
+    loaded = load_tables(spark, folder)
+    root = fresh_folder(spark, "cycle")
+    versioned.build_versioned_star(spark, loaded, root, 4)
+    whole = VersionedTable.merge
+    for stopped_at in (versioned.FACTS, versioned.STATE):
+        with monkeypatch.context() as patch:
+
+            def stops(self, *args, stopped_at=stopped_at, **more):
+                if self.path.endswith(stopped_at):
+                    raise KeyboardInterrupt
+                return whole(self, *args, **more)
+
+            patch.setattr(VersionedTable, "merge", stops)
+            with pytest.raises(KeyboardInterrupt):
+                versioned.run_versioned_cycle(spark, root, "one", 400)
+    notes = versioned.run_versioned_cycle(spark, root, "one", 400)
+    assert versioned.run_versioned_cycle(spark, root, "one", 400) == notes
+    facts_table = versioned.table(spark, root, versioned.FACTS)
+    assert facts_table.numbers() == [1, 2] and notes[versioned.FACTS]["kept"] >= 0
+    changes = versioned.staged_batch(spark, root, "one", 400, 42)
+    before = star.fact_orders(loaded["orders"], loaded["lineitem"])
+    assert rows_of(facts_table.read()) == rows_of(ch.apply_changes(before, changes))
+    assert rows_of(versioned.totals(spark, root)) == rows_of(star.agg_customer_revenue(facts_table.read()))
+    versioned.run_versioned_cycle(spark, root, "two", 300, 7)
+    assert rows_of(versioned.totals(spark, root)) == rows_of(star.agg_customer_revenue(facts_table.read()))
+    assert os.path.isdir(root.removeprefix("file:"))

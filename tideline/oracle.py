@@ -259,6 +259,9 @@ def oracle_sql() -> dict[str, str]:
             where not (matched and op in ('U', 'D') or not matched and op = 'I') group by op, matched""",
         "agg_refresh_full": refreshed,
         "agg_refresh_incremental": refreshed,
+        "agg_refresh_touched": refreshed,
+        "versioned_facts_after_cycle": f"with {MERGED} select {fact_all} from merged",
+        "versioned_totals_after_cycle": refreshed,
         "change_cycle": f"""with {MERGED}
             select 'staged_changes' as table_name, count(*) as row_count from staged
             union all select 'fact_orders', count(*) from merged
@@ -331,4 +334,5 @@ def oracle_sql() -> dict[str, str]:
              l_returnflag from lineitem""",
     }
     found["written_dim_customer"] = found["dim_customer"]
+    found["merge_by_file"] = found["merge_fact_orders"]
     return found

@@ -11,11 +11,12 @@ from tideline.functions import columns as cols
 from tideline.functions.features import fare_age_buckets, family_features, feature_flags
 from tideline.functions.scoring import discounted_price
 from tideline.operators import changes as ch
-from tideline.operators import pairs, sinks, stats
+from tideline.operators import pairs, retract, sinks, stats
 from tideline.operators import windows as w
 from tideline.operators.groups import GROUP_ROWS, stored
 from tideline.operators.sampling import hash_sample
-from tideline.plans import jobs, star
+from tideline.operators.versions import VersionedTable
+from tideline.plans import jobs, star, versioned
 from tideline.plans import passengers as pax
 from tideline.session import fresh_folder, scratch_database
 from tideline.sources import formats, tables
@@ -228,8 +229,37 @@ def agg_refresh_full(spark, folder):
     return star.agg_customer_revenue(merge_fact_orders(spark, folder))
 
 
+# Folders of the tables as they stand before a change, per session and folder of sources.
+STANDING: dict[tuple[str, str], str] = {}
+
+
+def standing(spark, folder) -> str:
+    """Facts and state of the totals as stored tables; a session writes them once, as they would stand."""
+    name = (spark.sparkContext.applicationId, folder)
+    if name not in STANDING:
+        root = fresh_folder(spark, "standing")
+        versioned.build_versioned_star(spark, tables.load_tables(spark, folder), root, 8)
+        STANDING[name] = root
+    return STANDING[name]
+
+
 @query
 def agg_refresh_incremental(spark, folder):
+    """The stored state, and what the changes take out of the stored facts and put in."""
+    root, changes = standing(spark, folder), staged(spark, folder)
+    target = versioned.table(spark, root, versioned.FACTS).read()
+    state = versioned.table(spark, root, versioned.STATE).read()
+    removed, added = retract.moved_rows(target, changes)
+
+    def facts_of(customers):
+        return retract.of_customers(ch.apply_changes(target, changes), customers)
+
+    renewed = retract.state_changes(state, removed, added, facts_of)
+    return retract.totals_of(retract.with_changes(state, renewed))
+
+
+@query
+def agg_refresh_touched(spark, folder):
     # The facts are read five times over, so they are written first, as a table would be.
     target, changes = stored(fact(spark, folder)), staged(spark, folder)
     return ch.refresh_touched(
@@ -240,6 +270,34 @@ def agg_refresh_incremental(spark, folder):
     )
 
 
+@query
+def merge_by_file(spark, folder):
+    """A merge that rewrites only the files that have a changed key."""
+    table = VersionedTable(spark, fresh_folder(spark, "facts"))
+    table.replace(fact(spark, folder), "orderkey", n_files=8)
+    return table.read(table.merge(staged(spark, folder)).number)
+
+
+def cycled(spark, folder) -> str:
+    """A versioned cycle, and the same batch once more, which must change nothing."""
+    root = fresh_folder(spark, "cycle")
+    versioned.build_versioned_star(spark, tables.load_tables(spark, folder), root, 8)
+    first = versioned.run_versioned_cycle(spark, root)
+    if versioned.run_versioned_cycle(spark, root) != first:
+        raise RuntimeError("a batch was applied twice")
+    return root
+
+
+@query
+def versioned_facts_after_cycle(spark, folder):
+    return versioned.table(spark, cycled(spark, folder), versioned.FACTS).read()
+
+
+@query
+def versioned_totals_after_cycle(spark, folder):
+    return versioned.totals(spark, cycled(spark, folder))
+
+
 @query
 def change_cycle(spark, folder):
     database = scratch_database(spark)
