@@ -205,8 +205,8 @@ def test_state_after_changes_equals_a_new_one(spark, seed):
     state = retract.customer_state(target)
     assert rows_of(retract.totals_of(state)) == rows_of(star.agg_customer_revenue(target))
     merged = ch.apply_changes(target, changes)
-    removed, added = retract.moved_rows(target, changes)
-    made = retract.state_changes(state, removed, added, lambda some: retract.of_customers(merged, some))
+    moved = retract.moved_rows(target, changes)
+    made = retract.state_changes(state, moved.removed, moved.added, lambda some: moved.facts_of(target, some))
     after = retract.with_changes(state, made)
     assert rows_of(after) == rows_of(retract.customer_state(merged))
     assert rows_of(retract.totals_of(after)) == rows_of(star.agg_customer_revenue(merged))
@@ -226,7 +226,8 @@ def test_facts_are_read_again_only_where_the_last_date_went(spark):
         asked.extend(r["custkey"] for r in customers.collect())
         return retract.of_customers(ch.apply_changes(target, changes), customers)
 
-    made = retract.state_changes(retract.customer_state(target), *retract.moved_rows(target, changes), facts_of)
+    moved = retract.moved_rows(target, changes)
+    made = retract.state_changes(retract.customer_state(target), moved.removed, moved.added, facts_of)
     found = {r["custkey"]: (r["op"], r["order_cnt"], r["lifetime_revenue"]) for r in made.collect()}
     assert asked == [1]
     assert found[1][:2] == ("U", 1) and found[2][:2] == ("U", 2) and found[3][0] == "D" and float(found[2][2]) == 11.0

@@ -8,6 +8,7 @@ Only customers whose last date lost all its rows are counted anew from the facts
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,22 +48,10 @@ def totals_of(state: DataFrame) -> DataFrame:
     return state.select("custkey", "order_cnt", revenue.alias("lifetime_revenue"), "last_order_date")
 
 
-def net_changes(removed: DataFrame, added: DataFrame) -> DataFrame:
-    """Per customer, key and date what the change adds up to; rows on both sides cancel out."""
+def signed(removed: DataFrame, added: DataFrame) -> DataFrame:
+    """What the totals need of the rows taken out (-1) and put in (1)."""
     columns = ["custkey", "orderkey", "orderdate", "order_revenue"]
-    both = removed.select(*columns, F.lit(-1).alias("_sign")).unionByName(added.select(*columns, F.lit(1).alias("_sign")))
-    sign = F.col("_sign")
-
-    def revenue(which: int) -> Column:
-        return F.coalesce(exact_sum(F.when(sign == which, F.col("order_revenue"))), F.lit(0).cast(REVENUE))
-
-    return both.groupBy("custkey", "orderkey", "orderdate").agg(
-        F.sum(sign).alias("rows"),
-        F.count_if(sign == -1).alias("before"),
-        F.count_if(sign == 1).alias("after"),
-        (revenue(1) - revenue(-1)).cast(REVENUE).alias("revenue"),
-        F.sum(F.when(F.col("order_revenue").isNotNull(), sign).otherwise(0)).alias("priced"),
-    )
+    return removed.select(*columns, F.lit(-1).alias("_sign")).unionByName(added.select(*columns, F.lit(1).alias("_sign")))
 
 
 def state_changes(
@@ -74,63 +63,63 @@ def state_changes(
 ) -> DataFrame:
     """Changes (``op`` I, U, D) that take the state from the facts before to the facts after; stored.
 
-    ``removed`` and ``added`` hold the rows that differ, and may hold others on both sides. Of an
-    order key that differs, all rows have to be there. ``facts_of(customers)`` reads the facts after
-    the change of given customers (a column ``custkey``); it is asked only for those whose last
-    date lost all its rows and who got no later one.
+    ``removed`` and ``added`` hold the rows that differ, and may hold others on both sides: these
+    cancel out. Of an order key that differs, all rows have to be there. ``facts_of(customers)``
+    reads the facts after the change of given customers (a column ``custkey``); it is asked only for
+    those whose last date lost all its rows and who got no later one, and only their dates count.
     """
-    net = stored(net_changes(removed, added))
-    counted = F.col("orderkey").isNotNull()
-    by_key = net.groupBy("custkey", "orderkey").agg(
-        F.sum("rows").alias("rows"),
-        F.sum("revenue").alias("revenue"),
-        F.sum("priced").alias("priced"),
-        F.when(counted, F.signum(F.sum("after")) - F.signum(F.sum("before"))).otherwise(0).cast("long").alias("orders"),
-    )
-    sums = by_key.groupBy(F.col("custkey").alias("_c")).agg(
-        F.sum("rows").alias("_rows"),
-        F.sum("orders").alias("_orders"),
-        F.sum("revenue").cast(REVENUE).alias("_revenue"),
-        F.sum("priced").alias("_priced"),
+    moved = stored(signed(removed, added))
+    small = is_small(moved, broadcast_rows)
+    sign, revenue = F.col("_sign"), F.col("order_revenue")
+
+    def keys(which: int) -> Column:
+        return F.count_distinct(F.when(sign == which, F.col("orderkey")))
+
+    sums = moved.groupBy(F.col("custkey").alias("_c")).agg(
+        F.sum(sign).alias("_rows"),
+        (keys(1) - keys(-1)).alias("_orders"),
+        F.coalesce(exact_sum(F.when(sign == 1, revenue).otherwise(-revenue)), F.lit(0).cast(REVENUE)).alias("_revenue"),
+        F.sum(F.when(revenue.isNotNull(), sign).otherwise(0)).alias("_priced"),
     )
-    small = is_small(sums, broadcast_rows)
-    held = state.join(hinted(sums.select(F.col("_c").alias("_t")), small), F.col("custkey").eqNullSafe(F.col("_t")), "left_semi")
-    held = stored(held.select(*[F.col(c).alias(f"_{c}" if c == "custkey" else c) for c in STATE]))
-    by_date = net.groupBy("custkey", "orderdate").agg(F.sum("rows").alias("rows")).filter("rows != 0 AND orderdate IS NOT NULL")
-    late = F.when(F.col("rows") > 0, F.col("orderdate"))
-    dates = by_date.join(held.select("_custkey", "last_order_date"), F.col("custkey").eqNullSafe(F.col("_custkey")), "left").groupBy(F.col("custkey").alias("_d")).agg(
-        F.sum(F.when(F.col("orderdate") == F.col("last_order_date"), F.col("rows"))).alias("_at_last"),
-        F.max(late).alias("_late"),
-        F.max_by("rows", late).alias("_at_late"),
+    held = state.join(hinted(moved.select(F.col("custkey").alias("_t")), small), F.col("custkey").eqNullSafe(F.col("_t")), "left_semi")
+    by_date = moved.filter("orderdate IS NOT NULL").groupBy(F.col("custkey").alias("_d"), F.col("orderdate").alias("_date")).agg(F.sum(sign).alias("_net"))
+    by_date = by_date.filter("_net != 0")
+    latest = by_date.filter("_net > 0").groupBy(F.col("_d").alias("_e")).agg(F.max("_date").alias("_late"), F.max_by("_net", "_date").alias("_at_late"))
+    joined = (
+        sums.join(held, F.col("_c").eqNullSafe(F.col("custkey")), "left")
+        .join(latest, F.col("_c").eqNullSafe(F.col("_e")), "left")
+        .join(by_date, F.col("_c").eqNullSafe(F.col("_d")) & (F.col("last_order_date") == F.col("_date")), "left")
     )
-    joined = sums.join(dates, F.col("_c").eqNullSafe(F.col("_d")), "left").join(held, F.col("_c").eqNullSafe(F.col("_custkey")), "left")
 
     def plus(before: str, more: str) -> Column:
-        return F.coalesce(F.col(before), F.lit(0)) + F.col(more)
+        return F.coalesce(F.col(before), F.lit(0)) + F.coalesce(F.col(more), F.lit(0))
 
-    last, latest = F.col("last_order_date"), F.col("_late")
-    at_last = F.coalesce("rows_at_last", F.lit(0)) + F.coalesce("_at_last", F.lit(0))
-    later = F.coalesce(latest.isNotNull() & (last.isNull() | (latest > last)), F.lit(False))
-    n_rows = plus("n_rows", "_rows")
+    last, late = F.col("last_order_date"), F.col("_late")
+    at_last, n_rows = plus("rows_at_last", "_net"), plus("n_rows", "_rows")
+    later = F.coalesce(late.isNotNull() & (last.isNull() | (late > last)), F.lit(False))
+    differs = (F.col("_rows") != 0) | (F.col("_orders") != 0) | (F.col("_revenue") != 0) | (F.col("_priced") != 0) | F.col("_net").isNotNull() | late.isNotNull()
     worked = stored(
-        joined.select(
+        joined.filter(differs).select(
             F.col("_c").alias("custkey"),
             n_rows.alias("n_rows"),
             plus("order_cnt", "_orders").alias("order_cnt"),
             plus("lifetime_revenue", "_revenue").cast(REVENUE).alias("lifetime_revenue"),
             plus("priced", "_priced").alias("priced"),
-            F.when(later, latest).otherwise(last).alias("last_order_date"),
+            F.when(later, late).otherwise(last).alias("last_order_date"),
             F.when(later, F.col("_at_late")).otherwise(at_last).alias("rows_at_last"),
             F.col("n_rows").isNotNull().alias("_known"),
-            (last.isNotNull() & ~later & (at_last <= 0) & (n_rows > 0)).alias("_lost"),
+            F.coalesce(last.isNotNull() & ~later & (at_last <= 0) & (n_rows > 0), F.lit(False)).alias("_lost"),
         )
     )
     operation = F.when(F.col("n_rows") <= 0, "D").when(F.col("_known"), "U").otherwise("I").alias("op")
     settled = worked.filter("NOT _lost AND (_known OR n_rows > 0)").select(*STATE, operation)
-    lost = worked.filter("_lost").select("custkey")
+    lost = worked.filter("_lost")
     if lost.isEmpty():
         return settled
-    renewed = customer_state(facts_of(lost)).withColumn("op", F.lit("U"))
+    again = facts_of(hinted(lost.select("custkey"), small)).groupBy(F.col("custkey").alias("_c"), F.col("orderdate").alias("_date")).agg(F.count(F.lit(1)).alias("_n"))
+    again = again.groupBy("_c").agg(F.max("_date").alias("_last"), F.coalesce(F.max_by("_n", "_date"), F.lit(0)).alias("_at"))
+    renewed = lost.join(again, F.col("custkey").eqNullSafe(F.col("_c"))).drop("last_order_date", "rows_at_last")
+    renewed = renewed.withColumnsRenamed({"_last": "last_order_date", "_at": "rows_at_last"}).select(*STATE, F.lit("U").alias("op"))
     return stored(settled.unionByName(renewed))
 
 
@@ -141,23 +130,35 @@ def with_changes(state: DataFrame, changes: DataFrame, broadcast_rows: int = BRO
     return rest.unionByName(changes.filter("op != 'D'").select(*STATE))
 
 
-def of_customers(facts: DataFrame, customers: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def of_customers(facts: DataFrame, customers: DataFrame) -> DataFrame:
     """The facts of given customers."""
-    wanted = hinted(customers.select(F.col("custkey").alias("_t")), is_small(customers, broadcast_rows))
-    return facts.join(wanted, F.col("custkey").eqNullSafe(F.col("_t")), "left_semi")
+    return facts.join(customers.withColumnRenamed("custkey", "_t"), F.col("custkey").eqNullSafe(F.col("_t")), "left_semi")
+
+
+@dataclass(frozen=True)
+class Moved:
+    """Rows that changes take out of a table and put in, and the keys whose rows they are."""
+
+    removed: DataFrame
+    added: DataFrame
+    keys: DataFrame
+    small: bool
+
+    def facts_of(self, target: DataFrame, customers: DataFrame, key: str = "orderkey") -> DataFrame:
+        """Facts after the change of given customers, without making the table."""
+        stays = of_customers(target, customers).join(hinted(self.keys, self.small), F.col(key) == F.col("_k"), "left_anti")
+        return stays.unionByName(of_customers(self.added, customers))
 
 
-def moved_rows(target: DataFrame, changes: DataFrame, key: str = "orderkey", broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows that changes take out of a table and rows that they put in, without making the table.
+def moved_rows(target: DataFrame, changes: DataFrame, key: str = "orderkey", broadcast_rows: int = BROADCAST_ROWS) -> Moved:
+    """What changes move in a table, found by one pass over it.
 
-    One pass over the target finds the rows of changed keys; they are stored, being no more than
-    the changes unless keys repeat.
+    The rows of changed keys are stored; they are no more than the changes unless keys repeat.
     """
     small = is_small(changes, broadcast_rows)
     wanted = changes.select(F.col(key).alias("_k"), F.col("op").alias("_op"), F.struct(*target.columns).alias("_new"))
     met = stored(target.join(hinted(wanted, small), F.col(key) == F.col("_k")))
-    out = met.filter("_op IN ('U', 'D')").select(*target.columns)
-    put = met.filter("_op = 'U'").select("_new.*")
-    known = met.select(F.col("_k")).distinct()
-    new = changes.filter("op = 'I'").join(hinted(known, small), F.col(key) == F.col("_k"), "left_anti").select(*target.columns)
-    return out, put.unionByName(new)
+    moving = met.filter("_op IN ('U', 'D')")
+    new = changes.filter("op = 'I'").join(hinted(met.select("_k"), small), F.col(key) == F.col("_k"), "left_anti")
+    added = met.filter("_op = 'U'").select("_new.*").unionByName(new.select(*target.columns))
+    return Moved(moving.select(*target.columns), added, moving.select("_k"), small)

@@ -249,12 +249,8 @@ def agg_refresh_incremental(spark, folder):
     root, changes = standing(spark, folder), staged(spark, folder)
     target = versioned.table(spark, root, versioned.FACTS).read()
     state = versioned.table(spark, root, versioned.STATE).read()
-    removed, added = retract.moved_rows(target, changes)
-
-    def facts_of(customers):
-        return retract.of_customers(ch.apply_changes(target, changes), customers)
-
-    renewed = retract.state_changes(state, removed, added, facts_of)
+    moved = retract.moved_rows(target, changes)
+    renewed = retract.state_changes(state, moved.removed, moved.added, lambda some: moved.facts_of(target, some))
     return retract.totals_of(retract.with_changes(state, renewed))
 
 
