@@ -57,12 +57,25 @@ def test_running_sums_in_cents_are_exact(spark):
 
 def test_exact_sum_rounds_nothing_away(spark):
     small = spark.range(1000).select(F.lit(0.00004).alias("x"))
-    with pytest.raises(Exception, match="at most 4 decimals"):
-        small.agg(cols.exact_sum(F.col("x"))).first()
+    assert small.agg(cols.exact_sum(F.col("x"))).first()[0] == Decimal("0.0400")
     assert small.agg(cols.exact_sum(F.col("x"), 5)).first()[0] == Decimal("0.04000")
-    for odd in ("NaN", "Infinity"):
-        with pytest.raises(Exception, match="not a finite number"):
-            spark.range(1).select(F.lit(odd).cast("double").alias("x")).agg(cols.exact_sum(F.col("x"))).first()
+    mixed = spark.createDataFrame([(0.1,), (0.00005,), (-7.00001,), (12345.6789,)], "x double")
+    assert mixed.agg(cols.exact_sum(F.col("x"), 5)).first()[0] == Decimal("12338.77894")
+
+
+def test_amounts_that_are_no_numbers_make_their_group_null(spark):
+    rows = [(1, 2.5), (1, 1.0), (2, 1.0), (2, float("nan")), (3, float("inf")), (4, None), (5, None), (5, 0.12345)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    found = {r["g"]: r["s"] for r in df.groupBy("g").agg(cols.exact_sum(F.col("x")).alias("s")).collect()}
+    assert found == {1: Decimal("3.5000"), 2: None, 3: None, 4: None, 5: Decimal("0.1235")}
+
+
+def test_running_sums_keep_small_digits(spark):
+    df = spark.range(200).selectExpr("id AS key", "1 AS g", "CAST(1e-13 AS DOUBLE) AS value")
+    for made in ways(df, {"total": w.running_sum("value")}):
+        got = sorted(r["total"] for r in made.collect())
+        assert all(math.isclose(x, k * 1e-13, rel_tol=1e-15) for k, x in enumerate(got, 1))
+    assert 0 < got[0] < 2e-13
 
 
 def test_pivots_show_every_value(spark):

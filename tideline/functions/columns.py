@@ -22,11 +22,16 @@ SUM_DIGITS = 12
 SUM_LIMIT = 1e25
 
 
+# What a double holds beyond those decimals is summed apart, in units of this.
+SMALL = 1e-24
+
+
 def exact_parts(number: Column) -> list[Column]:
     """What to sum of a column of doubles so that the sum does not hang on the order of the rows.
 
-    The amount as decimal(38,12), and counts of NaN, Infinity and -Infinity. Amounts of 1e25 and
-    more, which have no room in it, stop the query rather than change its result.
+    The amount as decimal(38,12), counts of NaN, Infinity and -Infinity, and what the amount has
+    beyond 12 decimals, scaled up. Amounts of 1e25 and more, which have no room in it, stop the
+    query rather than change its result.
     """
     value = number.cast("double")
     finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
@@ -34,47 +39,53 @@ def exact_parts(number: Column) -> list[Column]:
         F.raise_error(F.lit(f"amounts of {SUM_LIMIT} and more cannot be summed exactly")).cast("double")
     )
     counts = [F.isnan(value), value == float("inf"), value == float("-inf")]
+    amount = F.when(finite, fits).cast(f"decimal(38,{SUM_DIGITS})")
     return [
-        F.when(finite, fits).cast(f"decimal(38,{SUM_DIGITS})"),
+        amount,
         *[F.when(value.isNotNull(), test.cast("bigint")) for test in counts],
+        ((F.when(finite, value) - amount.cast("double")) / SMALL).cast(f"decimal(38,{SUM_DIGITS})"),
     ]
 
 
 def exact_double(sums: list[Column]) -> Column:
     """The double that the sums of ``exact_parts`` make; NULL if there was nothing to sum."""
-    total, nan, up, down = sums
+    total, nan, up, down, small = sums
     return (
         F.when((nan > 0) | ((up > 0) & (down > 0)), float("nan"))
         .when(up > 0, float("inf"))
         .when(down > 0, float("-inf"))
-        .otherwise(total.cast("double"))
+        .otherwise(total.cast("double") + small.cast("double") * SMALL)
     )
 
 
+# Decimals that ``exact_sum`` keeps of an amount that has more than it is to have.
+LONG_DIGITS = 9
+
+
 def exact_sum(amount: Column, digits: int = 4) -> Column:
-    """Exact sum of amounts of at most ``digits`` decimals, as decimal(28,digits).
+    """Exact sum of amounts of ``digits`` decimals, as decimal(28,digits).
 
     Whole units and fractions are summed as two integers: the order of rows does not
     matter, the sums stay in generated code (decimal sums do not), and they hold far more
     rows of one group than a single scaled integer would. Amounts are taken as doubles, so
-    one amount is exact up to about 9e11 with four decimals. An amount with more decimals, or
-    one that is no finite number, stops the query: it is not rounded away. ``digits`` is then
-    to be raised, or the amount to be rounded where that is wanted.
+    one amount is exact up to about 9e11 with four decimals. An amount with more decimals counts
+    with nine of them, and only the sum is rounded. An amount that is no finite number (NaN or an
+    infinity) has no decimal sum: it makes the sum of its group NULL, and touches no other group.
     """
     number = amount.cast("double")
-    finite = number.isNull() | (~F.isnan(number) & (F.abs(number) != float("inf")))
-    scaled = (number - F.floor(F.when(finite, number))) * float(10**digits)
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf"))
+    value = F.when(finite, number)
+    whole = F.floor(value)
+    rest = value - whole
+    short = F.rint(rest * float(10**digits))
     # Doubles of a few digits are off by parts of their last place only.
-    rest = F.abs(scaled - F.rint(scaled))
-    allowed = F.greatest(F.lit(1e-6), F.abs(number) * float(10**digits) * 4e-16)
-    told = F.lit(f"an amount is not a finite number of at most {digits} decimals")
-    checked = F.when(finite & (number.isNull() | (rest <= allowed)), number).otherwise(F.raise_error(told).cast("double"))
-    whole = F.floor(checked)
-    parts = F.rint((checked - whole) * float(10**digits)).cast("bigint")
-    unit = F.lit(Decimal(1).scaleb(-digits))
-    return (F.sum(whole).cast("decimal(28,0)") + F.sum(parts).cast("decimal(28,0)") * unit).cast(
-        f"decimal(28,{digits})"
-    )
+    allowed = F.greatest(F.lit(1e-6), F.abs(value) * float(10**digits) * 4e-16)
+    few = F.abs(rest * float(10**digits) - short) <= allowed
+    units = F.when(few, short * float(10 ** (LONG_DIGITS - digits))).otherwise(F.rint(rest * float(10**LONG_DIGITS)))
+    unit = F.lit(Decimal(1).scaleb(-LONG_DIGITS))
+    total = F.sum(whole).cast("decimal(28,0)") + F.sum(units.cast("bigint")).cast("decimal(28,0)") * unit
+    odd = F.max(F.when(number.isNotNull(), ~finite))
+    return F.when(~odd, total).cast(f"decimal(28,{digits})")
 
 
 def epoch_seconds(df: DataFrame, name: str) -> Column:

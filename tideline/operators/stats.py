@@ -5,9 +5,11 @@ from __future__ import annotations
 from itertools import combinations
 from math import nan
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tideline.operators.groups import stored
+
 # The columns correlated with one another.
 CORRELATED = ("survived", "pclass", "age", "sibsp", "parch", "fare", "family_size")
 
@@ -50,25 +52,50 @@ def family_patterns(features: DataFrame) -> DataFrame:
     )
 
 
+# Columns that a pivot may have per aggregate; more values stop it.
+PIVOT_VALUES = 10_000
+
+
+def pivot_once(df: DataFrame, by: str, pivot: str, wanted: dict[str, Column]) -> DataFrame:
+    """Aggregates per group, a set of columns for every value of ``pivot``, from one pass over ``df``.
+
+    The cells (one per group and value) are aggregated and stored; the values are observed in that
+    same pass and need no job of their own. NULL groups and a NULL value have their cells. Columns
+    are named and ordered as Spark's pivot does; an absent cell is NULL.
+    """
+    seen = Observation()
+    cells = df.groupBy(by, pivot).agg(*[column.alias(name) for name, column in wanted.items()])
+    observed = cells.observe(seen, F.collect_set(pivot).alias("values"), F.count_if(F.col(pivot).isNull()).alias("nulls"))
+    held = stored(observed)
+    values = sorted(seen.get["values"])
+    if len(values) > PIVOT_VALUES:
+        raise ValueError(f"{pivot} has {len(values)} values, more than {PIVOT_VALUES} columns")
+    if seen.get["nulls"]:
+        values = [None, *values]
+    if not values:
+        return held.select(by).distinct()
+    return held.groupBy(by).pivot(pivot, values).agg(*[F.first(name).alias(name) for name in wanted])
+
+
 def pivot_survival(features: DataFrame, sexes: list[str | None] | None = None) -> DataFrame:
     """Survival rate and count per class, one pair of columns per sex.
 
-    Given the values, no job runs to find them. A NULL sex has columns of its own.
+    Not given the values, they are found in the pass that aggregates. A NULL sex has columns of its own.
     """
-    return (
-        features.groupBy("pclass")
-        .pivot("sex", sexes)
-        .agg(F.avg("survived").alias("survival_rate"), F.count(F.lit(1)).alias("count"))
-    )
+    wanted = {"survival_rate": F.avg("survived"), "count": F.count(F.lit(1))}
+    return _pivoted(features, "pclass", "sex", sexes, wanted)
 
 
 def pivot_fare(features: DataFrame, classes: list[int | None] | None = None) -> DataFrame:
     """Average and largest fare per port, one pair of columns per class."""
-    return (
-        features.groupBy("embarked")
-        .pivot("pclass", classes)
-        .agg(F.avg("fare").alias("avg_fare"), F.max("fare").alias("max_fare"))
-    )
+    wanted = {"avg_fare": F.avg("fare"), "max_fare": F.max("fare")}
+    return _pivoted(features, "embarked", "pclass", classes, wanted)
+
+
+def _pivoted(df: DataFrame, by: str, pivot: str, values: list | None, wanted: dict[str, Column]) -> DataFrame:
+    if values is None:
+        return pivot_once(df, by, pivot, wanted)
+    return df.groupBy(by).pivot(pivot, values).agg(*[column.alias(name) for name, column in wanted.items()])
 
 
 def correlation_matrix(df: DataFrame, columns: tuple[str, ...] = CORRELATED) -> DataFrame:

@@ -260,6 +260,13 @@ def oracle_sql() -> dict[str, str]:
         "agg_refresh_full": refreshed,
         "agg_refresh_incremental": refreshed,
         "agg_refresh_touched": refreshed,
+        "staged_view": f"with {STAGED} select op, count(*) as changes, cast(sum(orderkey) as bigint) as key_sum from staged group by op",
+        "quarantined_orders": """
+            select case when bad then null else o_orderkey end as o_orderkey,
+             case when bad then null else o_custkey end as o_custkey,
+             case when bad then null else o_totalprice end as o_totalprice,
+             case when bad then substring('{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',', 1, 20) end as record
+            from (select *, o_orderkey % 50 = 0 as bad from orders)""",
         "versioned_facts_after_cycle": f"with {MERGED} select {fact_all} from merged",
         "versioned_totals_after_cycle": refreshed,
         "change_cycle": f"""with {MERGED}
@@ -334,5 +341,6 @@ def oracle_sql() -> dict[str, str]:
              l_returnflag from lineitem""",
     }
     found["written_dim_customer"] = found["dim_customer"]
-    found["merge_by_file"] = found["merge_fact_orders"]
+    found["merge_by_file"] = found["merge_by_partition"] = found["merge_fact_orders"]
+    found["orders_enriched_bucketed"] = found["orders_enriched"]
     return found

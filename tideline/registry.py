@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,20 @@ def format_roundtrip(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def quarantined_orders(spark, folder):
+    """Orders as JSON lines of which every fiftieth is cut short: the good rows, and the broken records."""
+    orders = scan(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    record = F.to_json(F.struct(*orders.columns))
+    lines = orders.select(F.when(F.col("o_orderkey") % 50 == 0, F.substring(record, 1, 20)).otherwise(record).alias("value"))
+    path = fresh_folder(spark, "orders-lines")
+    lines.write.text(path)
+    checked = formats.read_checked(spark, path, "json", orders.schema)
+    good = checked.good.withColumn("record", F.lit(None).cast("string"))
+    broken = checked.broken.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in orders.schema], "record")
+    return good.unionByName(broken)
+
+
 # ---- star schema --------------------------------------------------------------------
 
 
@@ -105,6 +120,16 @@ def orders_enriched(spark, folder):
     return as_double(enriched, "order_revenue")
 
 
+@query
+def orders_enriched_bucketed(spark, folder):
+    """From tables in buckets of the order key: nothing is shuffled below the join."""
+    database = scratch_database(spark)
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        sinks.write_bucketed(scan(spark, folder, name), f"{database}.{name}", key, 8)
+    enriched = star.orders_enriched(spark.table(f"{database}.orders"), spark.table(f"{database}.lineitem"))
+    return as_double(enriched, "order_revenue")
+
+
 @query
 def order_rankings(spark, folder):
     return fact(spark, folder).select("orderkey", "custkey", "rn_latest", "revenue_rank")
@@ -266,6 +291,29 @@ def agg_refresh_touched(spark, folder):
     )
 
 
+@query
+def staged_view(spark, folder):
+    """The staged changes through a temporary view and SQL."""
+    view = f"staged_{uuid.uuid4().hex}"
+    staged(spark, folder).createOrReplaceTempView(view)
+    try:
+        return stored(spark.sql(f"SELECT op, count(*) AS changes, sum(orderkey) AS key_sum FROM {view} GROUP BY op"))
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+@query
+def merge_by_partition(spark, folder):
+    """A merge into a table by year that reads and writes only years it touches."""
+    def dated(df):
+        return df.withColumn("order_year", F.year("orderdate"))
+
+    table = f"{scratch_database(spark)}.fact_orders"
+    sinks.overwrite_partitions(dated(fact(spark, folder)), table, "order_year")
+    sinks.merge_partitions(dated(staged(spark, folder)), table, "order_year")
+    return spark.table(table).drop("order_year")
+
+
 @query
 def merge_by_file(spark, folder):
     """A merge that rewrites only the files that have a changed key."""

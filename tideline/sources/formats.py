@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from tideline.operators.groups import stored
 
 FORMATS = ("parquet", "csv", "json")
 
@@ -66,6 +70,46 @@ def read_files(spark: SparkSession, path: str, file_format: str, schema: StructT
     return found
 
 
+# The column that keeps a record which does not fit the schema.
+BROKEN = "_broken_record"
+
+
+@dataclass(frozen=True)
+class Checked:
+    """Rows that fit the schema, records that do not (``record``, ``file``), and how many there are of each."""
+
+    good: DataFrame
+    broken: DataFrame
+    counts: dict[str, int]
+
+
+def read_checked(spark: SparkSession, path: str, file_format: str, schema: StructType) -> Checked:
+    """Read CSV or JSON files; records that do not fit the schema are set apart, not dropped or guessed.
+
+    A record is broken if it cannot be parsed, has a value of another type, or (CSV) another number
+    of values. The files are parsed once, into a stored copy in two parts, and the counts are
+    observed on the way. Parquet has no records of its own to be broken: a damaged file stops the read.
+    """
+    _check(file_format)
+    if file_format == "parquet":
+        raise ValueError("records are checked in csv and json files")
+    wide = StructType([*schema.fields, StructField(BROKEN, StringType())])
+    options = OPTIONS[file_format] | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    if file_format == "csv":
+        # Every value is parsed, so that a record does not count as sound for want of a column.
+        options = options | {"enforceSchema": "true"}
+    found = spark.read.schema(wide).format(file_format).options(**options).load(path)
+    bad = F.col(BROKEN).isNotNull()
+    seen = Observation()
+    parts = found.withColumns({"_bad": bad, "_file": F.col("_metadata.file_path")})
+    parts = stored(parts.observe(seen, F.count_if(~bad).alias("good"), F.count_if(bad).alias("broken")), "_bad")
+    good = parts.filter("NOT _bad").select(*schema.fieldNames())
+    if file_format == "csv":
+        good = good.withColumns({name: _unescaped(F.col(name)) for name in _texts(good)})
+    broken = parts.filter("_bad").select(F.col(BROKEN).alias("record"), F.col("_file").alias("file"))
+    return Checked(good, broken, {name: seen.get[name] for name in ("good", "broken")})
+
+
 def _check(file_format: str) -> None:
     if file_format not in FORMATS:
         raise ValueError(f"unsupported format {file_format!r}; use one of {FORMATS}")
