@@ -185,3 +185,44 @@ def test_broken_records_are_set_apart(spark):
         assert all(r["file"].endswith(".txt") for r in found.broken.collect())
     with pytest.raises(ValueError):
         formats.read_checked(spark, path, "parquet", schema)
+
+
+# ---- stored relations ---------------------------------------------------------------
+
+
+def there(df):
+    return Path(df._stored_at.removeprefix("file:")).exists()
+
+
+def test_a_scope_deletes_what_it_stored(spark):
+    from tideline.operators.groups import free, stored, storing
+
+    outside = stored(spark.range(3))
+    with storing() as outer:
+        first = stored(spark.range(4))
+        with storing() as inner:
+            gone, used = stored(spark.range(5)), stored(spark.range(6))
+            result = inner.keep(stored(used.filter("id > 2")))
+            lazily = inner.keep(used.selectExpr("id * 2 AS id"))
+            free(gone)
+            assert not there(gone) and there(used)
+            inner.free(first, spark.range(1))
+            assert there(first)
+        assert not there(used) and there(result) and there(first)
+        assert result.count() == 3 and lazily.agg(F.sum("id")).first()[0] == 30
+        kept = outer.keep(first)
+    assert not there(result) and not there(lazily) and there(kept) and there(outside)
+    free(kept)
+    assert kept.count() == 4
+
+
+def test_a_failure_leaves_no_folder(spark):
+    from tideline.operators.groups import stored, storing
+    from tideline.session import shared_folder
+
+    root = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in root.iterdir()}
+    with pytest.raises(Exception, match="stops"), storing():
+        stored(spark.range(3))
+        stored(spark.range(3).select(F.raise_error(F.lit("stops"))))
+    assert {p.name for p in root.iterdir()} == before

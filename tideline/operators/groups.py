@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 from operator import and_
 
@@ -9,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.session import fresh_folder
+from tideline.sources import files
 
 # Rows of one group that a single task may sort. A bigger group is cut into chunks.
 GROUP_ROWS = 2_000_000
@@ -78,14 +82,80 @@ def group_sizes(df: DataFrame, *groupings: list[str]) -> list[tuple[int, int]]:
     return [found.get(i, (0, 0)) for i in ids]
 
 
+class Scope:
+    """Owns the relations stored while it lasts; at its end their folders are deleted.
+
+    What a function returns has to outlast it: ``keep`` hands a stored relation on to the scope around
+    it (or to nobody, outermost). ``free`` deletes a relation before the end, once all that reads it
+    has been stored itself. Stored relations have no lineage but their files, so a lost executor
+    costs tasks that read files of relations still owned, never one that was freed.
+    """
+
+    def __init__(self, outer: Scope | None):
+        self.outer, self.folders = outer, {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Hand a relation on; it is stored first, unless ``stored`` returned it."""
+        path = getattr(df, "_stored_at", None)
+        if path not in self.folders:
+            df = stored(df)
+            path = df._stored_at
+        spark = self.folders.pop(path)
+        if self.outer is not None:
+            self.outer.folders[path] = spark
+        return df
+
+    def free(self, *relations: DataFrame) -> None:
+        """Delete the folders of relations that nothing will read any more; others are left alone."""
+        for df in relations:
+            path = getattr(df, "_stored_at", None)
+            if path in self.folders:
+                files.delete(self.folders.pop(path), path)
+
+    def close(self) -> None:
+        for path, spark in self.folders.items():
+            files.delete(spark, path)
+        self.folders.clear()
+
+
+_scope: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def storing() -> Iterator[Scope]:
+    """A scope for what ``stored`` writes inside; scopes nest, and each owns its own."""
+    scope = Scope(_scope.get())
+    token = _scope.set(scope)
+    try:
+        yield scope
+    finally:
+        _scope.reset(token)
+        scope.close()
+
+
+def free(*relations: DataFrame) -> None:
+    """Free relations of the innermost scope; without a scope they stay."""
+    scope = _scope.get()
+    if scope is not None:
+        scope.free(*relations)
+
+
 def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write to the shared folder as Parquet and read from there.
 
-    Cuts the lineage, survives lost executors, and lets later passes read single columns.
+    Cuts the lineage, survives lost executors, and lets later passes read single columns. Inside
+    ``storing`` the folder is deleted at the end of the scope.
     """
-    path = fresh_folder(df.sparkSession, "stored")
+    spark = df.sparkSession
+    path = fresh_folder(spark, "stored")
+    scope = _scope.get()
+    if scope is not None:
+        # Owned before it is written, so that a write that fails leaves nothing behind either.
+        scope.folders[path] = spark
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found._stored_at = path
+    return found
 
 
 def union_parts(parts: list[DataFrame | None]) -> DataFrame:
