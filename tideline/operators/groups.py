@@ -112,6 +112,11 @@ class Scope:
             if path in self.folders:
                 files.delete(self.folders.pop(path), path)
 
+    def reads(self, df: DataFrame) -> bool:
+        """Whether a relation reads files of this scope."""
+        names = {path.rstrip("/").split("/")[-1] for path in self.folders}
+        return any(names & set(file.split("/")) for file in df.inputFiles())
+
     def close(self) -> None:
         for path, spark in self.folders.items():
             files.delete(spark, path)
@@ -122,14 +127,23 @@ _scope: ContextVar[Scope | None] = ContextVar("scope", default=None)
 
 
 @contextmanager
-def storing() -> Iterator[Scope]:
-    """A scope for what ``stored`` writes inside; scopes nest, and each owns its own."""
-    scope = Scope(_scope.get())
+def owning(scope: Scope) -> Iterator[Scope]:
+    """Let a scope own what ``stored`` writes inside; it stays open."""
     token = _scope.set(scope)
     try:
         yield scope
     finally:
         _scope.reset(token)
+
+
+@contextmanager
+def storing() -> Iterator[Scope]:
+    """A scope for what ``stored`` writes inside; scopes nest, and each owns its own."""
+    scope = Scope(_scope.get())
+    try:
+        with owning(scope):
+            yield scope
+    finally:
         scope.close()
 
 
