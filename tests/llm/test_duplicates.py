@@ -133,7 +133,7 @@ def near_copies():
 
 def test_near_duplicates_against_brute_force(spark):
     texts = near_copies()
-    docs = spark.createDataFrame([(i, t, "mine") for i, t in enumerate(texts)], "doc_id long, text string, tid string")
+    docs = spark.createDataFrame([(i, t, "mine", "c") for i, t in enumerate(texts)], "doc_id long, text string, tid string, component string")
     want, _ = classes(texts)
     found = {r["doc_id"]: r for r in near_dups.near_duplicates(docs.repartition(6)).collect()}
     assert [found[i]["class_id"] for i in range(len(texts))] == want

@@ -1,5 +1,6 @@
 """Language ID, quality classifier and fertility rules."""
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -133,6 +134,79 @@ def test_bands_reject_what_is_odd_for_its_language(spark):
     assert all(kept[i] for i in range(300)) and not kept[1000] and not kept[1001]
 
 
+def test_short_and_lone_texts_are_judged(spark):
+    good = [(i, " ".join(f"water{'ing' * (i % 3)} the garden plant{j % 9}{'s' * (j % 2)}" for j in range(20 + i % 5)), "en") for i in range(300)]
+    short = " ".join("\u0c85\u0ca8\u0c95\u0cb2" for _ in range(11))
+    lone = " ".join(f"\u0c85\u0ca8{j}\u0c95" for j in range(60))
+    rows = [*good, (1000, short, "en"), (1001, lone, "kn"), (1002, "the water in the garden is for the plants of it", "xx"), (1003, good[0][1], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"]: r["kept"] for r in fertility.judge_quality(docs, fertility.Bands(max_repeat_percent=100)).collect()}
+    assert not kept[1000] and not kept[1001] and kept[1002] and kept[1003]
+
+
+def verdicts(rows, bands=fertility.Bands()):
+    """Kept or not by sorting the measures of each group; ``rows`` carry the features."""
+    def size(r):
+        return int(math.log2(max(r["n_tokens"], 1)))
+
+    keys = [lambda r: (r["lang"] or "", size(r)), lambda r: r["lang"] or "", lambda r: r["script"], size, lambda r: 0]
+    ends = []
+    for number, key in enumerate(keys):
+        groups: dict = {}
+        for r in rows:
+            if not r["base_failed"]:
+                groups.setdefault(key(r), []).append(r)
+        found = {}
+        for k, some in groups.items():
+            if len(some) < (1 if number == 4 else bands.least_rows):
+                continue
+            q = {}
+            for m in fertility.MEASURES:
+                values = sorted(math.floor(r[m] * 100 + 0.5) / 100 for r in some)
+                q[m] = [values[math.ceil(len(values) * share) - 1] for share in (0.25, 0.75)]
+            wide = {m: bands.spread * (b - a) for m, (a, b) in q.items()}
+            found[k] = (
+                q["chars_per_token"][0] - wide["chars_per_token"] - bands.chars_margin,
+                q["chars_per_token"][1] + wide["chars_per_token"] + bands.chars_margin,
+                q["byte_share"][1] + wide["byte_share"] + bands.byte_margin,
+                q["token_entropy"][0] - wide["token_entropy"] - bands.entropy_margin,
+            )
+        ends.append(found)
+    made = {}
+    for r in rows:
+        at = [found.get(key(r)) for key, found in zip(keys, ends)]
+        few, many, most, _ = next(x for i, x in enumerate(at) if x and i != 3) if any(at) else (None,) * 4
+        entropy = next((x[3] for x in (at[0], at[3], at[4]) if x), None)
+        error = bands.errors * (bands.like_size if at[0] else 1) / math.sqrt(max(r["n_tokens"], 1))
+        slack = [few is not None and v for v in (
+            few is not None and (few - error * bands.token_chars) - r["chars_per_token"],
+            few is not None and r["chars_per_token"] - (many + error * bands.token_chars),
+            few is not None and r["byte_share"] - (most + error * math.sqrt(most * max(1 - most, 0))),
+            entropy is not None and (entropy - error * bands.token_bits) - r["token_entropy"],
+        )]
+        made[r["doc_id"]] = (not r["base_failed"] and not any(x > 0 for x in slack), min(abs(x) for x in slack))
+    return made
+
+
+@pytest.mark.parametrize("least_rows", [100, 15])
+def test_verdicts_against_sorted_groups(spark, folder, least_rows):
+    bands = fertility.Bands(least_rows=least_rows)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").drop("n_chars", "source")
+    rows = fertility.judge_quality(docs, bands).collect()
+    want = verdicts([r.asDict() for r in rows], bands)
+    for r in rows:
+        kept, margin = want[r["doc_id"]]
+        assert r["kept"] == kept or margin < 0.02
+    assert 0 < sum(not r["kept"] and not r["base_failed"] for r in rows) < len(rows) / 2
+
+
+def test_columns_of_the_contract_come_first(spark, folder):
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    assert queries.op6_fertility(spark, folder).columns[:8] == first
+    first = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    assert queries.op2_chat(spark, folder).columns[:6] == first
+
+
 def test_quartiles_are_exact(spark):
     df = spark.range(1, 1001).selectExpr("1 AS g", *[f"id / 100.0D AS {m}" for m in fertility.MEASURES])
     row = fertility.quartiles(df, ["g"]).first()

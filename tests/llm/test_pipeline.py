@@ -67,3 +67,43 @@ def test_run(spark, stages):
     made = corpus_pipeline.run(spark, FOLDER).select("doc_id", "start", "length", "ids_crc32")
     want = stages[5].select("doc_id", "start", "length", "ids_crc32")
     assert sorted(made.collect()) == sorted(want.collect())
+
+
+EDGES = [(None, "plain text of no particular interest that is long enough to pass the rules of words", "en", "s", 9, 1, 2)] * 2 + [
+    (1, None, "en", "s", None, 1, 2), (2, "", None, None, 0, 1, 2), (3, " \n\t\n", "en", "s", 4, 1, 2), (3, " \n\t\n", "en", "s", 4, 1, 2),
+    (4, "one two three four five six seven eight nine ten eleven twelve\nand a second line of words here", "en", "s", 1, 1, 2),
+    (4, "one two three four five six seven eight nine ten eleven twelve\nand a second line of words here", "en", "s", 1, 1, 2),
+    (5, "ua " * 30_000, "en", "s", 1, 1, 2),
+]
+KINDS = "doc_id long, text string, lang string, source string, n_chars long, component int, tid int"
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_odd_rows(spark, name, stage):
+    docs = stored(spark.createDataFrame(EDGES, KINDS))
+    found = stage(spark, docs, FOLDER).collect()
+    empty = stage(spark, docs.filter("false"), FOLDER)
+    assert empty.count() == 0
+    ids = sorted((r["doc_id"] or 0) for r in found)
+    if name == "packing":
+        assert len({r["sequence_id"] for r in found}) >= 1 and {r["doc_id"] for r in found} == {None, 1, 2, 3, 4, 5}
+        return
+    assert empty.columns == docs.columns
+    if name == "quality_rules":
+        assert ids == [0, 0, 4, 4]
+    elif name == "line_dedup":
+        # One NULL id and one 4 lose all their lines; the long text has one line.
+        assert ids == [0, 1, 2, 3, 3, 4, 5]
+    elif name == "near_duplicates":
+        assert len(ids) == len(set(ids)) and set(ids) <= {0, 1, 2, 3, 4, 5} and {0, 4, 5} <= set(ids)
+    else:
+        assert ids == [0, 0, 1, 2, 3, 3, 4, 4, 5]
+
+
+def test_a_stage_deletes_what_earlier_ones_left(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    lazily = corpus_pipeline.repeated_lines(spark, corpus_pipeline.quality_rules(spark, docs, FOLDER), FOLDER)
+    assert len(corpus_pipeline.LEFT) == 2
+    written = stored(lazily)
+    corpus_pipeline.release(written)
+    assert corpus_pipeline.LEFT == [] and written.count() > 0

@@ -27,26 +27,53 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 class Bands:
     """When a text is rejected. Bands reach ``spread`` interquartile ranges beyond the quartiles.
 
-    A band is that of a language's texts of like size (the tokens' power of two), or of all its
-    texts where those are fewer than ``least_rows``; a language with fewer in all has none. The
-    margins are added to every band. Texts of fewer than ``least_tokens`` tokens tell too little
-    and only have to meet the base rules.
+    A band is that of a language's texts of like size (the tokens' power of two); where those are
+    fewer than ``least_rows`` that of the language, of the script, and at last of all texts. Token
+    entropy grows with the size, so its band falls back to all texts of like size first. Margins
+    are added to every band, and ``errors`` times what a measure of so few tokens is off by
+    chance: short texts are judged too, by wider bands. A band of texts of like size holds part of
+    that chance already and gets ``like_size`` of it. ``token_chars`` and ``token_bits`` are
+    standard deviations of the characters and of the information of one token.
     """
 
     min_words: int = 10
     max_repeat_percent: int = 20
-    spread: float = 2.5
+    spread: float = 2.0
     least_rows: int = 100
-    least_tokens: int = 128
     chars_margin: float = 0.02
     byte_margin: float = 0.05
     entropy_margin: float = 0.1
+    errors: float = 2.0
+    like_size: float = 0.4
+    token_chars: float = 2.0
+    token_bits: float = 2.5
+
+
+# Lead bytes of UTF-8 that tell scripts apart, and names for them. Fixed values.
+SCRIPTS = (
+    ("latin", (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCA))),
+    ("greek, cyrillic, armenian", range(0xCD, 0xD6)),
+    ("hebrew, arabic", range(0xD6, 0xE0)),
+    ("indic, thai", (0xE0, 0xE1)),
+    ("han, kana", range(0xE3, 0xEA)),
+    ("hangul", range(0xEA, 0xEE)),
+)
+SCRIPT_OF_BYTE = np.full(256, len(SCRIPTS))
+for number, (_, leads) in enumerate(SCRIPTS):
+    SCRIPT_OF_BYTE[list(leads)] = number
+
+
+def script(raw: bytes) -> str:
+    """The script that most letters of a UTF-8 text are of; '' without any."""
+    found = np.bincount(SCRIPT_OF_BYTE[np.frombuffer(raw, dtype=np.uint8)], minlength=len(SCRIPTS) + 1)[:-1]
+    return SCRIPTS[int(found.argmax())][0] if found.any() else ""
 
 
 FEATURES = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     + [T.StructField("n_tokens", T.LongType())]
     + [T.StructField(n, T.DoubleType()) for n in ("chars_per_token", "byte_share", "token_entropy")]
+    + [T.StructField("script", T.StringType())]
 )
 
 
@@ -100,7 +127,7 @@ def text_features(df: DataFrame, text: str = "text", vocabulary: str = VOCABULAR
                 figures = (chars / len(ids), float(fallback[ids].mean()), entropy(counts[counts > 0]))
             symbols = len(raw) - len(raw.translate(None, SYMBOLS))
             duplicates = len(lines) - len(set(lines))
-            rows.append((len(words), chars, symbols, duplicates, repeated_words(words), len(ids), *figures))
+            rows.append((len(words), chars, symbols, duplicates, repeated_words(words), len(ids), *figures, script(raw)))
         return [list(column) for column in zip(*rows)]
 
     return with_columns(df, text, FEATURES, compute)
@@ -137,8 +164,8 @@ def quartiles(features: DataFrame, group: list[str]) -> DataFrame:
     return ranked.groupBy(*group).agg(F.max("rows").alias("_ll_rows"), *found)
 
 
-def limits(features: DataFrame, group: list[str], bands: Bands) -> DataFrame:
-    """The ends of the bands of each group of enough rows, stored; column names end in the group's size."""
+def limits(features: DataFrame, group: list[str], bands: Bands, least_rows: int) -> DataFrame:
+    """The ends of the bands of each group of enough rows, stored; column names end in the group's."""
 
     def end(m: str, side: int, margin: float):
         q1, q3 = F.col(f"_ll_{m}_q1"), F.col(f"_ll_{m}_q3")
@@ -150,8 +177,12 @@ def limits(features: DataFrame, group: list[str], bands: Bands) -> DataFrame:
         "most_bytes": end("byte_share", 1, bands.byte_margin),
         "least_entropy": end("token_entropy", -1, bands.entropy_margin),
     }
-    found = quartiles(features, group).filter(F.col("_ll_rows") >= bands.least_rows)
-    return stored(found.select(*group, *[e.alias(f"_ll_{name}_{len(group)}") for name, e in ends.items()]))
+    found = quartiles(features, group).filter(F.col("_ll_rows") >= least_rows)
+    return stored(found.select(*group, *[e.alias(f"_ll_{name}{''.join(group)}") for name, e in ends.items()]))
+
+
+LANGUAGE, SIZE, SCRIPT, ALL = "_ll_lang", "_ll_size", "_ll_script", "_ll_all"
+GROUPS = ([LANGUAGE, SIZE], [LANGUAGE], [SCRIPT], [SIZE], [ALL])
 
 
 def judge_quality(
@@ -165,8 +196,9 @@ def judge_quality(
     """``df`` with its features, base_failed and kept. Bands come from all rows of ``df``.
 
     Rejected are texts that fail a base rule (too few words, too much of it repeated) and those
-    outside their language's band: characters per token too few or too many, too large a share
-    of byte fallback, too little token entropy. Rows without language are a group of their own.
+    outside their band: characters per token too few or too many, too large a share of byte
+    fallback, too little token entropy. Every text is held against a band, however short it is
+    and however few texts its language has. Rows without language are a group of their own.
     Features (with the text, unless ``keep_text`` is off) and bands are stored, so Spark knows the
     bands' size when it joins them; they have a row per language and power of two.
     NULL and empty texts fail the base rules; an empty table gives an empty one.
@@ -175,23 +207,29 @@ def judge_quality(
     measured = stored(
         (features if keep_text else features.drop(text))
         .withColumn("base_failed", base_failed(bands))
-        .withColumn("_ll_size", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int"))
-        .withColumn("_ll_lang", F.coalesce(F.col(lang).cast("string"), F.lit("")))
+        .withColumn(SIZE, F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int"))
+        .withColumn(LANGUAGE, F.coalesce(F.col(lang).cast("string"), F.lit("")))
+        .withColumn(SCRIPT, F.col("script"))
+        .withColumn(ALL, F.lit(0))
     )
     sound = measured.filter(~F.col("base_failed"))
     judged = measured
-    for group in (["_ll_lang", "_ll_size"], ["_ll_lang"]):
-        judged = judged.join(limits(sound, group, bands), group, "left")
+    for group in GROUPS:
+        judged = judged.join(limits(sound, group, bands, 1 if group == [ALL] else bands.least_rows), group, "left")
 
-    def limit(name: str):
-        return F.coalesce(f"_ll_{name}_2", f"_ll_{name}_1")
+    def limit(name: str, *groups: list[str]):
+        return F.coalesce(*[F.col(f"_ll_{name}{''.join(group)}") for group in groups])
 
+    by_size, by_language, by_script, by_length, by_all = GROUPS
+    chain = by_size, by_language, by_script, by_all
+    errors = F.when(limit("least_chars", by_size).isNotNull(), bands.errors * bands.like_size).otherwise(bands.errors)
+    error = errors / F.sqrt(F.greatest("n_tokens", F.lit(1)))
+    most_bytes = limit("most_bytes", *chain)
     outside = (
-        (F.col("chars_per_token") < limit("least_chars"))
-        | (F.col("chars_per_token") > limit("most_chars"))
-        | (F.col("byte_share") > limit("most_bytes"))
-        | (F.col("token_entropy") < limit("least_entropy"))
+        (F.col("chars_per_token") < limit("least_chars", *chain) - error * bands.token_chars)
+        | (F.col("chars_per_token") > limit("most_chars", *chain) + error * bands.token_chars)
+        | (F.col("byte_share") > most_bytes + error * F.sqrt(most_bytes * F.greatest(1 - most_bytes, F.lit(0.0))))
+        | (F.col("token_entropy") < limit("least_entropy", by_size, by_length, by_all) - error * bands.token_bits)
     )
-    outside = (F.col("n_tokens") >= bands.least_tokens) & F.coalesce(outside, F.lit(False))
-    judged = judged.withColumn("kept", ~F.col("base_failed") & ~outside)
+    judged = judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False)))
     return judged.select(*[c for c in features.columns if c != text or keep_text], "base_failed", "kept")

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.groups import stored
+from tideline.operators.groups import stored, storing
 
 # Anything but \x20 and \x09-\x0D is part of a word.
 WORD = r"[^\x20\x09-\x0D]"
@@ -139,9 +139,10 @@ def dedup_lines(
     those named like an added one are replaced. One document's lines meet in one task.
     """
     rows = numbered(docs)
-    lines = stored(line_ids(rows, text, list(order), min_words))
-    runs = repeated_runs(lines).filter((F.col("n_lines") >= min_lines) | F.col("long"))
-    covered = stored(disjoint(runs))
+    with storing() as scope:
+        lines = stored(line_ids(rows, text, list(order), min_words))
+        runs = repeated_runs(lines).filter((F.col("n_lines") >= min_lines) | F.col("long"))
+        covered = scope.keep(stored(disjoint(runs)))
     all_lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     numbers = F.sequence(F.lit(0), F.size("_ld_lines") - 1)
     worded = F.filter(numbers, lambda i: has_word(F.col("_ld_lines")[i]))
@@ -153,8 +154,14 @@ def dedup_lines(
     marked = F.zip_with(worded, flags, lambda i, gone: F.when(gone, i))
     gone = F.array_compact(marked)
     left = F.array_except(numbers, F.col("_ld_gone"))
+    # Rows that lose nothing stay where they are; covered rows grow with the input and are always
+    # merged by key, at every size.
+    listed = in_row_map(covered)
+    cut = rows.filter(listed).join(covered.hint("merge"), ROW, "left")
+    nothing = [F.lit(None).cast(covered.schema[c].dataType).alias(c) for c in ("_ld_pieces", "_ld_longest")]
+    whole = rows.filter(~listed).select(*rows.columns, *nothing)
     made = (
-        rows.join(covered, ROW, "left")
+        cut.unionByName(whole)
         .withColumn("_ld_lines", all_lines)
         .withColumn("_ld_gone", F.when(F.col("_ld_pieces").isNotNull(), gone))
         .withColumn("n_lines", F.size(worded).cast("long"))
@@ -168,6 +175,26 @@ def dedup_lines(
     )
 
 
+# Bits of the map of rows for each row that is in it, and the most it may have.
+ROW_BITS, MOST_BITS = 8, 1 << 25
+
+
+def in_row_map(covered: DataFrame) -> Column:
+    """Whether a row may be covered: true for all that are, and for few others while the map has room.
+
+    A map of at most 4 MB of bits, put together by Spark and asked for by a scalar subquery.
+    """
+    words = 1 << max(10, (ROW_BITS * covered.count()).bit_length())
+    words = min(words, MOST_BITS) // 64
+    bit = F.pmod(F.xxhash64(ROW), F.lit(64 * words))
+    marks = covered.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 64).cast("long").alias("id"))
+    marks = marks.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits"))
+    dense = covered.sparkSession.range(words).join(marks, "id", "left").select("id", F.coalesce("bits", F.lit(0)).alias("bits"))
+    table = stored(dense.agg(F.sort_array(F.collect_list(F.struct("id", "bits")))["bits"].alias("map"))).scalar()
+    held = F.element_at(table, (F.floor(bit / 64) + 1).cast("int"))
+    return F.getbit(held, F.pmod(bit, F.lit(64)).cast("int")) == 1
+
+
 def dedup_sql(table: str, min_words: int = 8) -> str:
     """The same for runs of two lines or more, as DuckDB SQL over a table with unique doc_id."""
     word = r"[^\x20\x09-\x0D]"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import fetch_texts, slices, text_key, utf8_texts
 from tideline.llm.graph import components
 from tideline.llm.shingles import FACTOR, Shingles, cached_hashes
-from tideline.operators.groups import stored
+from tideline.operators.groups import stored, storing
 
 # Bits of a shingle's id within these tables; the bits above number the texts of a batch.
 ID_BITS = 44
@@ -325,24 +325,26 @@ def links(texts: DataFrame, fetch, table: Broadcast, shape: NearDups) -> DataFra
 
 
 def text_classes(docs: DataFrame, text: str, order: str, shape: NearDups) -> DataFrame:
-    """_ll_key, _ll_check, class_id, class_rows, n_links of every different text; stored."""
-    table = weights_table(docs, text, shape)
-    texts = distinct_texts(docs, text, order, table, shape)
-
-    def fetch(tids: DataFrame) -> DataFrame:
-        return fetch_texts(docs, text, stored(texts.select("tid", "_ll_key", "_ll_check").join(tids, "tid")))
-
-    edges = links(texts, fetch, table, shape)
-    ends = edges.select(F.col("u").alias("tid")).unionAll(edges.select(F.col("v").alias("tid")))
-    degree = ends.groupBy("tid").agg(F.count(F.lit(1)).alias("n_links"))
-    class_of = stored(components(edges).withColumnRenamed("node", "tid").join(degree, "tid"))
-    placed = texts.drop("buckets").join(class_of, "tid", "left").withColumn("component", F.coalesce("component", "tid"))
-    named = stored(placed.groupBy("component").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_rows")))
-    return stored(
-        placed.join(named, "component").select(
-            "_ll_key", "_ll_check", "component", "class_id", "class_rows", F.coalesce("n_links", F.lit(0)).alias("n_links")
+    """_ll_key, _ll_check, _ll_component, class_id, class_rows, n_links of every different text; stored."""
+    with storing() as scope:
+        table = weights_table(docs, text, shape)
+        texts = distinct_texts(docs, text, order, table, shape)
+
+        def fetch(tids: DataFrame) -> DataFrame:
+            return fetch_texts(docs, text, stored(texts.select("tid", "_ll_key", "_ll_check").join(tids, "tid")))
+
+        with storing() as inner:
+            edges = inner.keep(links(texts, fetch, table, shape))
+        ends = edges.select(F.col("u").alias("tid")).unionAll(edges.select(F.col("v").alias("tid")))
+        degree = ends.groupBy("tid").agg(F.count(F.lit(1)).alias("n_links"))
+        class_of = stored(components(edges).withColumnRenamed("node", "tid").join(degree, "tid"))
+        placed = texts.drop("buckets").join(class_of, "tid", "left").withColumn("component", F.coalesce("component", "tid"))
+        named = stored(placed.groupBy("component").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_rows")))
+        classes = placed.join(named, "component").select(
+            "_ll_key", "_ll_check", F.col("component").alias("_ll_component"), "class_id", "class_rows",
+            F.coalesce("n_links", F.lit(0)).alias("n_links"),
         )
-    )
+        return scope.keep(stored(classes))
 
 
 def near_duplicates(
@@ -362,6 +364,7 @@ def near_duplicates(
     classes = text_classes(docs, text, order, shape)
     key, check = text_key(text)
     rows = docs.drop(*added).withColumns({"_ll_key": key, "_ll_check": check})
+    classes = classes.drop("_ll_component")
     return rows.join(classes, ["_ll_key", "_ll_check"]).select(*[c for c in docs.columns if c not in added], *added)
 
 
@@ -379,6 +382,6 @@ def drop_near_duplicates(
         classes.filter("class_rows > 1"), ["_ll_key", "_ll_check"]
     )
     place = F.struct(F.col("first").isNull().alias("last"), "first", "_ll_row")
-    best = stored(several.groupBy("component").agg(F.min(place)["_ll_row"].alias("_ll_best")))
-    gone = stored(several.join(best, "component").filter("_ll_row <> _ll_best").select("_ll_row"))
+    best = stored(several.groupBy("_ll_component").agg(F.min(place)["_ll_row"].alias("_ll_best")))
+    gone = stored(several.join(best, "_ll_component").filter("_ll_row <> _ll_best").select("_ll_row"))
     return rows.join(gone, "_ll_row", "left_anti").select(*docs.columns)

@@ -40,7 +40,9 @@ def op2_chat(spark, folder):
         F.lit(control).alias("text"),
     )
     rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.read_back(chat.format_conversations(rows.unionByName(extra)))
+    found = chat.read_back(chat.format_conversations(rows.unionByName(extra)))
+    first = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    return found.select(*first, *[c for c in found.columns if c not in first])
 
 
 URL_RULES = urls.UrlRules(
@@ -78,7 +80,9 @@ def op5_quality(spark, folder):
 @query
 def op6_fertility(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
-    return fertility.judge_quality(docs, keep_text=False).drop("lang")
+    judged = fertility.judge_quality(docs, keep_text=False).drop("lang")
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select(*first, *[c for c in judged.columns if c not in first])
 
 
 @query
