@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,8 +17,10 @@ from tideline.operators.groups import stored
 
 # Texts of one Arrow batch are worked on in pieces of about so many bytes.
 BATCH_BYTES = 4_000_000
-# Words of one Python worker's cache; it starts afresh when full.
+# Words of one Python worker's cache, some 200 bytes each; it starts afresh when full.
 CACHED_WORDS = 600_000
+# The same where other work of the task needs the memory.
+FEWER_WORDS = 300_000
 # Bits of the map that drops texts which are not needed.
 KEY_BITS = 1 << 22
 # What a Python worker keeps from one task to the next: one thing, under the name it was made for.
@@ -27,10 +31,20 @@ def kept(name: tuple, make: Callable):
     """What ``make`` returned when this worker last asked for ``name``, if nothing else was kept since."""
     if name not in KEPT:
         KEPT.clear()
+        give_back()
         KEPT[name] = make()
     return KEPT[name]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on from stage to stage, beside the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.common import CachedWords, utf8_texts, with_columns
+from tideline.llm.common import FEWER_WORDS, CachedWords, utf8_texts, with_columns
 from tideline.llm.common import kept as of_worker
 from tideline.operators.groups import stored
 
@@ -108,7 +108,7 @@ def text_features(df: DataFrame, text: str = "text", vocabulary: str = VOCABULAR
         n = pieces.get_piece_size()
         fallback = np.array([pieces.is_byte(i) for i in range(n)])
         kind = np.uint16 if n <= 1 << 16 else np.uint32
-        words = CachedWords(lambda word: np.array(pieces.encode(word.decode("utf-8", "replace")), dtype=kind).tobytes())
+        words = CachedWords(lambda word: np.array(pieces.encode(word.decode("utf-8", "replace")), dtype=kind).tobytes(), FEWER_WORDS)
         return words, fallback, kind
 
     def compute(batch: pa.RecordBatch) -> list:

@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 
-from tideline.llm.common import CachedWords, kept
+from tideline.llm.common import FEWER_WORDS, CachedWords, kept
 
 WORDS = 5
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -17,7 +17,7 @@ def word_hash(word: bytes) -> bytes:
 
 
 def cached_hashes() -> CachedWords:
-    return kept(("word hashes",), lambda: CachedWords(word_hash))
+    return kept(("word hashes",), lambda: CachedWords(word_hash, FEWER_WORDS))
 
 
 class Shingles:
