@@ -356,3 +356,107 @@ def test_all_planted_items_are_found(spark, folder):
             windows = {tuple(w[i : i + 8]) for w in [text.lower().split()] for i in range(len(w) - 7)}
             near = any(tuple(w[i : i + 8]) in windows for item in items.values() for w in [item.lower().split()] for i in range(len(w) - 7))
             assert near or not found[key]["contaminated"]
+
+
+CAPITAL = "What is the capital of old France today"
+NAMED = "Later Maria and Peter met Olga and Ivan near the bridge"
+DENSE = "12 km in 3 hours plus 40 km in 2 hours"
+SMALL = "then we add 3 apples and 4 pears to the big basket"
+
+
+def test_every_exact_copy_is_found(spark):
+    eaten = prose(25, 71) + ["has", "5", "apples"] + prose(20, 72) + ["eats", "5", "pears"] + prose(9, 73)
+    altered = list(eaten)
+    altered[eaten.index("eats") + 1] = "6"
+    items = {1: DENSE, 2: CAPITAL, 3: NAMED, 4: " ".join(eaten), 5: SMALL, 6: "Why not?", 7: "Peter sold 7 old books there"}
+    filler = " ".join(prose(80, 74))
+    texts = {
+        10: (f"{filler}. {DENSE}. {filler}", "verbatim", [1]),
+        11: (f"{filler} and so {CAPITAL} he said {filler}", "verbatim", [2]),
+        12: (f"{filler} and so {CAPITAL.replace('France', 'Norway')} he said {filler}", "reparameterised", [2]),
+        13: (f"{filler} {NAMED.lower()} {filler}", "verbatim", [3]),
+        14: (f"{filler} {' '.join(altered)} {filler}", "verbatim", [4]),
+        15: (f"{filler} {SMALL.replace('3', '4')} {filler}", "reparameterised", [5]),
+        16: (f"{filler}. Why not? {filler}", "verbatim", [6]),
+        17: (f"{filler} why not {filler}", None, None),
+        18: (f"{filler}. Maria sold 12 old books there. {filler}", "reparameterised", [7]),
+        19: (f"{filler}. Trains sold many old books there. {filler}", None, None),
+        20: (f"- {SMALL}", "verbatim", [5]),
+    }
+    found = decontaminate.mark_contaminated(
+        spark.createDataFrame([(k, t) for k, (t, _, _) in texts.items()], "doc_id long, text string"),
+        spark.createDataFrame(list(items.items()), "item_id long, text string"),
+    ).collect()
+    assert {r["doc_id"]: (r["kind"], r["item_ids"]) for r in found} == {k: (kind, ids) for k, (_, kind, ids) in texts.items()}
+
+
+def matched_items(text: str, items: dict[int, str], window=8, enough=13, shortest=5) -> tuple:
+    """(kind, item ids) of a text: every window held against every window, word by word."""
+
+    def words(value):
+        made = []
+        for line in value.split("\n"):
+            start = True
+            for word in line.split():
+                low, mid, plain, low_type, mid_type, ends = decontaminate.RECORD.unpack(decontaminate.token(word.encode()))
+                if low_type != decontaminate.NONE:
+                    made.append((plain, (low, low_type) if start else (mid, mid_type), (mid, mid_type), start))
+                    start = False
+                start |= ends
+        return made
+
+    ours, exact, templates = words(text), [], []
+    for item, value in items.items():
+        theirs = words(value)
+        n = min(window, len(theirs))
+        by_words, by_template = set(), set()
+        for shift in range(-len(theirs), len(ours) + 1):
+            places = [i for i in range(len(theirs) - n + 1) if n and 0 <= i + shift <= len(ours) - n]
+            met = []
+            for i in places:
+                a, b = theirs[i : i + n], ours[i + shift : i + shift + n]
+                stop = i + shift + n
+                alone = b[0][3] and (stop == len(ours) or ours[stop][3])
+                if [x[0] for x in a] == [x[0] for x in b] and (n >= shortest or alone):
+                    by_words.add(i)
+                for r in (1, 2) if n >= shortest else ():
+                    for q in (1, 2):
+                        same = [x[r] for x in a] == [x[q] for x in b]
+                        if same and 2 * sum(x[r][1] == decontaminate.PLAIN for x in a) >= n:
+                            met.append((i, {(x[0], y[0]) for x, y in zip(a, b) if x[r][1] != decontaminate.PLAIN}))
+            values: dict = {}
+            for _, pairs in met:
+                for x, y in pairs:
+                    values.setdefault(x, set()).add(y)
+            by_template |= {i for i, pairs in met if all(len(values[x]) == 1 for x, _ in pairs)}
+        need = min(enough, len(theirs))
+
+        def cover(found):
+            return len({i + j for i in found for j in range(n)})
+
+        if theirs and cover(by_words | by_template) >= need:
+            templates.append(item)
+        if theirs and cover(by_words) >= need:
+            exact.append(item)
+    return ("verbatim" if exact else "reparameterised" if templates else None), sorted(templates) or None
+
+
+def test_decontamination_against_brute_force(spark, folder):
+    chance = random.Random(12)
+    vocabulary = "the the a of river Maria Peter Olga trains Trains 3 4 12 five km hours - sold. saw? and\nWhat What".split(" ")
+    texts = [" ".join(chance.choices(vocabulary, k=chance.randrange(0, 60))) for _ in range(120)]
+    items = {i: " ".join(chance.choices(vocabulary, k=chance.randrange(0, 24))) for i in range(60)}
+    for i in range(60):
+        copy = items[i].split(" ")
+        if i % 3 and copy:
+            copy[chance.randrange(len(copy))] = chance.choice(vocabulary)
+        texts.append(" ".join(chance.choices(vocabulary, k=10) + copy + chance.choices(vocabulary, k=10)))
+    documents = [r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    benchmark = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
+    for some, all_items in ((texts, items), (sorted(set(documents), key=len)[:60], dict(list(benchmark.items())[:12]))):
+        found = decontaminate.mark_contaminated(
+            spark.createDataFrame(list(enumerate(some)), "doc_id long, text string"),
+            spark.createDataFrame(list(all_items.items()), "item_id long, text string"),
+        ).collect()
+        got = {r["doc_id"]: (r["kind"], r["item_ids"]) for r in found}
+        assert got == {k: matched_items(t, all_items) for k, t in enumerate(some)}

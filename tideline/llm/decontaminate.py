@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from tideline.operators.groups import stored
 
 # Tokens of a window; items with fewer tokens are one window of their own length.
 WINDOW = 8
-# Items with fewer tokens than this are too short to tell and are left out.
+# Items with fewer tokens than this count only where they stand as a sentence or line of their own.
 SHORTEST_ITEM = 5
 # Tokens of an item that a text must repeat; the whole item where that is shorter.
 ENOUGH_TOKENS = 13
@@ -37,6 +37,14 @@ UNITS = frozenset(
     "weeks month months year years cent cents dollar dollars euro euros percent degree degrees mph kmh watt watts volt "
     "volts joule joules byte bytes kb mb gb tb".split()
 )
+# Words that begin sentences and are no names, however they are written.
+OPENERS = frozenset(
+    "a about after all although an and any are as at because before both but by calculate can choose compare compute "
+    "could describe determine did do does each estimate evaluate every explain find for from give given had has have he "
+    "her his how i if in is it its let list many name no not of on one or our simplify she should since so solve some "
+    "that the their then there these they this those to under until was we were what when where which while who whom "
+    "whose why will with would write you your".split()
+)
 NUMBER = re.compile(r"[+-]?[$€£¥]?\d[\d.,:/]*(%|[a-z]{0,5})")
 PLAIN, NUM, NAME, UNIT, NONE = 0, 1, 2, 3, 4
 
@@ -57,10 +65,11 @@ PLACEHOLDERS = {kind: hashed(f"<{name}>") for kind, name in ((NUM, "number"), (N
 
 
 def token(word: bytes) -> bytes:
-    """A word as a record: its hash at the start of a sentence and within one, value, types, sentence end.
+    """A word as a record: its hash as a plain word and as a name, value, types, sentence end.
 
     Words lose punctuation at both ends and case. Numbers and units become placeholders; so does
-    a capitalised word within a sentence, as a name.
+    a capitalised word that is no common opener, as a name. At the start of a sentence both
+    readings of such a word are open.
     """
     text = word.decode("utf-8", "replace")
     if text.isalpha():
@@ -83,7 +92,7 @@ def token(word: bytes) -> bytes:
     elif lowered in UNITS:
         low_type = UNIT
     mid_type = low_type
-    if low_type == PLAIN and len(core) > 1 and core[0].isupper() and core[1:].islower():
+    if low_type == PLAIN and len(core) > 1 and core[0].isupper() and core[1:].islower() and lowered not in OPENERS:
         mid_type = NAME
     value = hashed(lowered)
     low, mid = PLACEHOLDERS.get(low_type, value), PLACEHOLDERS.get(mid_type, value)
@@ -115,38 +124,74 @@ class Tokens:
             starts[np.cumsum([0, *line_sizes[:-1]])] = True
         owner = np.repeat(np.arange(len(texts)), text_sizes)
         use = records["low_type"] != NONE
-        records, starts, self.owner = records[use], starts[use], owner[use]
-        self.hash = np.where(starts, records["low"], records["mid"])
-        self.type = np.where(starts, records["low_type"], records["mid_type"])
+        # A token without letters hands the start of a sentence on to the next one.
+        starts = np.diff(np.cumsum(starts)[use], prepend=0) > 0
+        records, self.starts, self.owner = records[use], starts, owner[use]
         self.value = records["value"]
+        # Sentence starts read as plain words, and as names.
+        self.readings = [
+            (np.where(starts, records["low"], records["mid"]), np.where(starts, records["low_type"], records["mid_type"])),
+            (records["mid"], records["mid_type"]),
+        ]
+        self.open = starts & (records["low_type"] != records["mid_type"])
         self.sizes = np.bincount(self.owner, minlength=len(texts))
         self.place = np.arange(len(self.owner)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
 
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where windows of n tokens begin, and their hashes: those of one text, half of it words at least."""
-        m = len(self.hash) - n + 1
+    def windows(self, n: int, shortest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+        """Windows of n tokens of one text: where they begin, their hashes, and the types they were read by.
+
+        First the words as they stand, without types; then, from ``shortest`` tokens on, the
+        templates of which half is plain words at least. A window that holds an open start has
+        two templates.
+        """
+        m = len(self.value) - n + 1
         if m <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        made = np.full(m, n, dtype=np.uint64)
-        words = np.zeros(m, dtype=np.int64)
-        for j in range(n):
-            made = (made ^ (made >> np.uint64(29))) * FACTOR + self.hash[j : j + m]
-            words += self.type[j : j + m] == PLAIN
-        good = (self.owner[:m] == self.owner[n - 1 :]) & (2 * words >= n)
-        at = np.flatnonzero(good)
-        return at, made[at]
-
-    def slots(self, at: int, n: int) -> list[int]:
+            return
+        inside = self.owner[:m] == self.owner[n - 1 :]
+        at = np.flatnonzero(inside)
+        yield at, rolled(self.value, n, 1)[at], None
+        if n < shortest:
+            return
+        for number, (hashes, types) in enumerate(self.readings):
+            good = inside & (2 * spans(types == PLAIN, n) >= n)
+            if number:
+                good &= spans(self.open, n) > 0
+            at = np.flatnonzero(good)
+            yield at, rolled(hashes, n, 0)[at], types
+
+    def alone(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Which windows are a whole sentence or line."""
+        after = np.append(self.starts, True)[at + n]
+        return self.starts[at] & after
+
+    def slots(self, at: int, n: int, types: np.ndarray | None) -> list[int]:
         """Values of the placeholders of a window."""
-        return self.value[at : at + n][self.type[at : at + n] != PLAIN].view(np.int64).tolist()
+        if types is None:
+            return []
+        return self.value[at : at + n][types[at : at + n] != PLAIN].view(np.int64).tolist()
+
+
+def rolled(values: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """A hash of every n values in a row."""
+    made = np.full(len(values) - n + 1, n + (seed << 32), dtype=np.uint64)
+    for j in range(n):
+        made = (made ^ (made >> np.uint64(29))) * FACTOR + values[j : j + len(made)]
+    return made
 
 
-WINDOWS = "place long, size int, window long, slots array<long>"
+def spans(marks: np.ndarray, n: int) -> np.ndarray:
+    """How many of every n marks in a row are set."""
+    total = np.concatenate([[0], np.cumsum(marks)])
+    return total[n:] - total[:-n]
+
+
+WINDOWS = "place long, size int, plain boolean, window long, slots array<long>"
+WINDOW_TYPES = [pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.list_(pa.int64())]
 
 
 def item_windows(benchmark: DataFrame, item: str, text: str, window: int, shortest: int) -> DataFrame:
-    """item, tokens, place, size, window, slots: every window of every item."""
-    names = ["item", "tokens", "place", "size", "window", "slots"]
+    """item, tokens, place, size, plain, window, slots: every window of every item."""
+    names = ["item", "tokens", "place", "size", "plain", "window", "slots"]
 
     def run(batches: Iterator[pa.RecordBatch]):
         known = cached_tokens()
@@ -154,12 +199,14 @@ def item_windows(benchmark: DataFrame, item: str, text: str, window: int, shorte
             tokens = Tokens(utf8_texts(batch.column("text")), known)
             ids = batch.column("item").to_pylist()
             rows = []
-            for n in range(shortest, window + 1):
-                for at, made in zip(*tokens.windows(n)):
-                    k = tokens.owner[at]
-                    if n == window or tokens.sizes[k] == n:
-                        rows.append((ids[k], int(tokens.sizes[k]), int(tokens.place[at]), n, int(made.view(np.int64)), tokens.slots(at, n)))
-            yield from table(rows, names, [batch.schema.field("item").type, pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())])
+            for n in range(1, window + 1):
+                for begins, made, types in tokens.windows(n, shortest):
+                    for at, value in zip(begins, made.view(np.int64)):
+                        k = tokens.owner[at]
+                        if n == window or tokens.sizes[k] == n:
+                            found = (n, types is None, int(value), tokens.slots(at, n, types))
+                            rows.append((ids[k], int(tokens.sizes[k]), int(tokens.place[at]), *found))
+            yield from table(rows, names, [batch.schema.field("item").type, pa.int64(), *WINDOW_TYPES])
 
     kind = benchmark.schema[item].dataType.simpleString()
     rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
@@ -171,9 +218,9 @@ def table(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names)
 
 
-def text_windows(docs: DataFrame, text: str, sizes: list[int], bitmap: Broadcast) -> DataFrame:
-    """_ll_key, _ll_check, place, size, window, slots: the windows of all texts whose bit is set in the map."""
-    names = ["_ll_key", "_ll_check", "place", "size", "window", "slots"]
+def text_windows(docs: DataFrame, text: str, sizes: list[int], bitmap: Broadcast, shortest: int) -> DataFrame:
+    """_ll_key, _ll_check, place, size, plain, window, slots: the windows of all texts whose bit is set in the map."""
+    names = ["_ll_key", "_ll_check", "place", "size", "plain", "window", "slots"]
 
     def run(batches: Iterator[pa.RecordBatch]):
         known, bits = cached_tokens(), bitmap.value
@@ -182,12 +229,15 @@ def text_windows(docs: DataFrame, text: str, sizes: list[int], bitmap: Broadcast
             key, check = batch.column("_ll_key").to_numpy(), batch.column("_ll_check").to_numpy()
             rows = []
             for n in sizes:
-                at, made = tokens.windows(n)
-                hit = np.flatnonzero(in_map(made, bits))
-                for i, value in zip(at[hit], made[hit].view(np.int64)):
-                    k = tokens.owner[i]
-                    rows.append((int(key[k]), int(check[k]), int(tokens.place[i]), n, int(value), tokens.slots(i, n)))
-            yield from table(rows, names, [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())])
+                for at, made, types in tokens.windows(n, shortest):
+                    hit = in_map(made, bits)
+                    if n < shortest:
+                        hit &= tokens.alone(at, n)
+                    for i, value in zip(at[hit], made[hit].view(np.int64)):
+                        k = tokens.owner[i]
+                        found = (n, types is None, int(value), tokens.slots(i, n, types))
+                        rows.append((int(key[k]), int(check[k]), int(tokens.place[i]), *found))
+            yield from table(rows, names, [pa.int64(), pa.int32(), *WINDOW_TYPES])
 
     rows = docs.select(*text_key(text), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.mapInArrow(run, f"_ll_key long, _ll_check int, {WINDOWS}")
@@ -199,48 +249,58 @@ def contaminated_texts(
 ) -> DataFrame:
     """_ll_key, _ll_check, item_ids, matched_tokens, kind of each text that repeats enough of an item.
 
-    Windows of texts and items are joined by hash. Matches of a text and an item at one distance
-    (diagonal) must fill slots consistently: equal values of the item stand for equal values of
-    the text, and the other way round. An item counts if the windows that are left cover
-    ``enough`` of its tokens, or all of them. kind is ``verbatim`` if all slots hold the item's
-    values for some item, else ``reparameterised``.
+    Windows of texts and items are joined by hash: words as they stand, and templates. Where a
+    text matches an item at one distance (diagonal), a value of the item must stand for one value
+    of the text; template windows that hold a value with two are dropped, other windows stay. An
+    item counts if its windows that are left cover ``enough`` of its tokens, or all of them; one
+    of fewer than ``shortest`` tokens counts where it is a sentence or line of its own, word for
+    word. kind is ``verbatim`` if words as they stand are enough for some item, else
+    ``reparameterised``.
     """
     items = stored(item_windows(benchmark, item, item_text, window, shortest))
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
     bitmap = docs.sparkSession.sparkContext.broadcast(bit_map(items, "window", bits))
-    found = text_windows(docs, text, sizes, bitmap)
+    found = text_windows(docs, text, sizes, bitmap, shortest)
     # Copies of a text say the same; they are reduced before they are shuffled.
-    found = found.groupBy("_ll_key", "_ll_check", "place", "size", "window").agg(F.first("slots").alias("slots"))
+    found = found.groupBy("_ll_key", "_ll_check", "place", "size", "plain", "window").agg(F.first("slots").alias("slots"))
     named = items.select(
-        "item", "tokens", F.col("place").alias("item_place"), "size", "window", F.col("slots").alias("item_slots")
+        "item", "tokens", F.col("place").alias("item_place"), "size", "plain", "window", F.col("slots").alias("item_slots")
     )
-    hits = stored(found.join(named, ["size", "window"]))
-    pairs = F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours"))
-    diagonal = ["_ll_key", "_ll_check", "item", (F.col("place") - F.col("item_place")).alias("shift")]
-    slots = F.array_distinct(F.flatten(F.collect_set(pairs)))
-    per_diagonal = hits.groupBy(*diagonal).agg(
-        slots.alias("pairs"), F.collect_set(F.struct("item_place", "size", "tokens")).alias("places")
+    hits = stored(
+        found.join(named, ["size", "plain", "window"]).withColumn("shift", F.col("place") - F.col("item_place"))
     )
-    one_to_one = [
-        F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) == F.size("pairs") for side in ("theirs", "ours")
-    ]
-    same = F.forall("pairs", lambda p: p["theirs"] == p["ours"])
-    consistent = per_diagonal.filter(one_to_one[0] & one_to_one[1]).select(
-        "_ll_key", "_ll_check", "item", same.alias("same"), F.explode("places").alias("p")
+    diagonal = ["_ll_key", "_ll_check", "item", "shift"]
+    pairs = F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours"))
+    filled = hits.filter("NOT plain").select(*diagonal, F.explode(pairs).alias("p")).select(*diagonal, "p.theirs", "p.ours")
+    clashes = (
+        filled.groupBy(*diagonal, "theirs").agg(F.min("ours").alias("least"), F.max("ours").alias("most"))
+        .filter("least < most").groupBy(*diagonal).agg(F.collect_list("theirs").alias("clashing"))
     )
-    offsets = consistent.groupBy("_ll_key", "_ll_check", "item", "p.item_place", "p.size", "p.tokens").agg(F.max("same").alias("same"))
-    by_place = Window.partitionBy("_ll_key", "_ll_check", "item").orderBy("item_place", "size")
-    new = F.least(F.col("size"), F.coalesce(F.col("item_place") - F.lag("item_place").over(by_place), F.col("size")))
-    covered = offsets.withColumn("new", new).groupBy("_ll_key", "_ll_check", "item").agg(
-        F.sum("new").alias("covered"), F.max("tokens").alias("tokens"), F.min("same").alias("same")
+    # NULL ids of items are one item of their own here; <=> keeps them.
+    left = hits.alias("h").join(
+        clashes.alias("c"), F.expr(" AND ".join(f"h.{c} <=> c.{c}" for c in diagonal)), "left"
+    ).filter("h.plain OR c.clashing IS NULL OR NOT arrays_overlap(h.item_slots, c.clashing)").select("h.*")
+    offsets = left.groupBy("_ll_key", "_ll_check", "item", "tokens", "item_place", "size").agg(F.max("plain").alias("plain"))
+    at_least = F.least("tokens", F.lit(enough))
+    whole = ["_ll_key", "_ll_check", "item", "tokens"]
+    pieces = Window.partitionBy(*whole).orderBy("item_place")
+    words = Window.partitionBy(*whole, "plain").orderBy("item_place")
+
+    def new(window) -> Column:
+        return F.least(F.col("size"), F.coalesce(F.col("item_place") - F.lag("item_place").over(window), F.col("size")))
+
+    covered = (
+        offsets.withColumns({"new": new(pieces), "new_words": F.when(F.col("plain"), new(words)).otherwise(F.lit(0))})
+        .groupBy(*whole)
+        .agg(F.sum("new").alias("covered"), F.sum("new_words").alias("words"))
     )
     return (
-        covered.filter(F.col("covered") >= F.least(F.col("tokens"), F.lit(enough)))
+        covered.filter(F.col("covered") >= at_least)
         .groupBy("_ll_key", "_ll_check")
         .agg(
             F.sort_array(F.collect_set("item")).alias("item_ids"),
             F.max("covered").alias("matched_tokens"),
-            F.when(F.max("same"), F.lit("verbatim")).otherwise(F.lit("reparameterised")).alias("kind"),
+            F.when(F.max(F.col("words") >= at_least), F.lit("verbatim")).otherwise(F.lit("reparameterised")).alias("kind"),
         )
     )
 
@@ -249,8 +309,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     """``docs`` with contaminated, item_ids, matched_tokens and kind (NULL for clean texts).
 
     Whole texts are searched. What is found hangs on the text alone, so equal rows get equal
-    answers; NULL and empty texts are clean, as are all texts if no item has enough tokens. Items
-    with NULL text have no windows; NULL ids are not listed. Columns of ``docs`` that are named
+    answers; NULL and empty texts are clean. Items with NULL text or without a word have no windows; NULL ids are not listed. Columns of ``docs`` that are named
     like an added one are replaced. The findings are stored; Spark decides by their size how to
     join them.
     """
