@@ -67,6 +67,58 @@ def test_sample_is_bounded_and_hangs_on_texts_only(spark, folder):
     assert one == two and all(len(p) <= 5 and all(len(x) <= 40 for x in p) for p in one.values())
 
 
+def test_copies_do_not_push_a_language_out(spark):
+    plain = {f"l{k}": " ".join(chr(97 + (k * 3 + i * j) % 26) * 3 for i, j in zip(range(30), range(3, 33))) for k in range(8)}
+    docs = spark.createDataFrame([(t, k) for k, t in plain.items()], "text string, lang string").crossJoin(spark.range(3000))
+    sample = langid.learning_sample(docs.select("text", "lang").repartition(4))
+    assert sorted(sample) == sorted(plain) and all(len(found) == 1 for found in sample.values())
+
+
+def test_predictions_against_plain_parsing(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").orderBy(F.length("text")).limit(60)
+    sample = {k: found[:4] for k, found in langid.learning_sample(docs, passages=4, chars=200).items()}
+    model = langid.learn(sample)
+    table = langid.symbol_table(model.letters)
+    learnt = {k: bytes(langid.normalise(" ".join(sample[k]), table)) for k in sorted(sample)}
+    rows = langid.predict(docs, spark.sparkContext.broadcast(model)).collect()
+    assert len(learnt) > 1 and len(rows) == 60
+    for r in rows:
+        symbols, bits = bytes(langid.normalise(r["text"] or "", table)), []
+        for known in learnt.values():
+            count = 0
+            for begin in range(0, len(symbols), langid.BLOCK):
+                block = symbols[begin : begin + langid.BLOCK]
+                while block:
+                    size = 1
+                    while size < len(block) and block[: size + 1] in known:
+                        size += 1
+                    count, block = count + 1, block[size:]
+            bits.append(count * math.log2(max(2, len(known))))
+        if symbols:
+            assert r["lang_pred"] == list(learnt)[bits.index(min(bits))]
+            assert r["score"] == pytest.approx(1 / sum(2 ** (min(bits) - b) for b in bits))
+        else:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+
+
+def test_scores_against_a_plain_forward_pass(spark):
+    sample = [("good words of a good text here", 1), ("bad bad bad spam spam buy", 0), ("calm plain prose", 1), ("spam buy buy", 0)]
+    weights, bias = quality_model.learn(sample, {0: 30, 1: 10})
+    texts = ["good plain words", "buy spam buy buy", "", None, "h\u00e9llo h\u00e9llo x", "word " * 5000]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = quality_model.score(docs, spark.sparkContext.broadcast((weights, bias))).collect()
+    for r in rows:
+        words, total, n = (r["text"] or "").encode().split(), 0.0, 0
+        for i, word in enumerate(words):
+            marked = f"<{word.decode()}>"
+            grams = [marked[j : j + size] for size in (3, 4, 5) for j in range(len(marked) - size + 1)]
+            buckets = [zlib.crc32(word) % quality_model.BUCKETS] + [zlib.crc32(g.encode()) % quality_model.BUCKETS for g in grams]
+            buckets += [quality_model.REPEAT] * (i > 0 and words[i - 1] == word)
+            total, n = total + sum(weights[b] for b in buckets), n + len(buckets)
+        want = 1 / (1 + math.exp(-(bias + (total / n if n else 0.0))))
+        assert r["score"] == pytest.approx(want) and r["predicted"] == (want >= 0.5)
+
+
 def test_quality_held_out(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")

@@ -1,5 +1,6 @@
 """Packing."""
 
+import random
 import zlib
 
 import numpy as np
@@ -93,7 +94,22 @@ def test_patterns_use_up_the_histogram(histogram):
 @pytest.mark.parametrize("parts", [1, 9])
 def test_ranks_of_a_frequent_length(spark, parts):
     pieces = spark.range(1000).selectExpr("id", "IF(id % 3 = 0, 7L, id % 5) AS length").repartition(parts)
-    found: dict = {}
-    for r in packing.ranked(pieces, ["id"]).collect():
-        found.setdefault(r["length"], []).append(r["_ll_rank"])
-    assert all(sorted(ranks) == list(range(len(ranks))) for ranks in found.values())
+    counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    for part_rows in (packing.PART_ROWS, 2):
+        found: dict = {}
+        for r in packing.ranked(pieces, ["id"], counts, part_rows).collect():
+            found.setdefault(r["length"], []).append(r["_ll_rank"])
+        assert {k: sorted(ranks) for k, ranks in found.items()} == {k: list(range(n)) for k, n in counts.items()}
+
+
+def test_words_against_the_tokenizer():
+    tokenizer, known = Tokenizer.from_file(packing.VOCABULARY), packing.word_ids(packing.VOCABULARY)
+    chance = random.Random(8)
+    letters = "abzABZ019.,;:!?*#$%&|)\"-'_/\u0130\u0131\u00c5\u00df\u03a3\u03c2\u0301\u0307\u4e2d\uac00\U0001f600\u00a0\u2026\u01c5\ufb01"
+    words = ["DEN\u0130ZL\u0130.", "\u0130", "\u0130!", "a\u0130-b."]
+    words += ["".join(chance.choices(letters, k=chance.randint(1, 9))) for _ in range(20_000)]
+    for word in words:
+        raw = word.encode()
+        found = b"".join(map(known.__getitem__, raw.lower().split()))
+        want = np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert found == want, ascii(word)

@@ -37,13 +37,14 @@ def learning_sample(
     rows = df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(lang).alias("lang"), F.col(text).alias("text")
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    draw = F.xxhash64("text")
+    # Copies of a text are one text, so texts are counted, not rows; the sketch is off by some 2 %.
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct(draw, 0.02).alias("n")).collect()}
     if not counts:
         return {}
-    # Each language's share of a hash range is expected to hold three times the rows wanted.
+    # Each language's share of a hash range is expected to hold three times the texts wanted.
     scale = 1 << 30
-    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(scale * min(1.0, 3 * passages / n)))])
-    draw = F.xxhash64("text")
+    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(scale * min(1.0, 3 * passages / max(n, 1))))])
     near = rows.filter(F.pmod(draw, F.lit(scale)) <= F.element_at(shares, F.col("lang"))).distinct()
     start = F.pmod(F.shiftright(draw, 20), F.greatest(F.length("text") - chars, F.lit(0)) + 1)
     order = Window.partitionBy("lang").orderBy(draw, "passage")

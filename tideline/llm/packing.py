@@ -20,8 +20,9 @@ from tideline.operators.groups import stored
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_OF_TEXT = 2
 CAPACITY = 4096
-# Parts into which rows of one length are dealt while they are numbered.
-DEAL = 64
+# Parts into which rows of one length are dealt while they are numbered, and the rows of a part
+# from which on a length gets more of them.
+DEAL, PART_ROWS = 64, 250_000
 # ASCII punctuation that a word may end in; it is split off, as it forms tokens of its own.
 TAIL = b".,;:!?*#$%&|)\"-"
 SPECIAL = b"<|"
@@ -45,10 +46,16 @@ def word_ids(vocabulary: str) -> CachedWords:
     """
     tokenizer = Tokenizer.from_file(vocabulary)
     model, letters = tokenizer.model, byte_letters()
+    normalizer = tokenizer.normalizer
+
+    def ends_in_letter(base: bytes) -> bool:
+        # What the tokenizer makes of the letter counts: a mark that it adds would join the punctuation.
+        text = base.decode("utf-8", "replace")
+        return (normalizer.normalize_str(text) if normalizer else text)[-1:].isalpha()
 
     def ids(word: bytes) -> bytes:
         base = word.rstrip(TAIL)
-        if base and len(base) < len(word) and SPECIAL not in word and base.decode("utf-8", "replace")[-1].isalpha():
+        if base and len(base) < len(word) and SPECIAL not in word and ends_in_letter(base):
             return known[base] + known[word[len(base) :]]
         text = word.decode("utf-8", "replace")
         if text.isalpha() and max(text) < LATIN_END and text == text.lower():
@@ -154,13 +161,18 @@ def slots(patterns: list[tuple[list[int], int]]) -> list[tuple[int, int, int, in
     return found
 
 
-def ranked(pieces: DataFrame, keys: list[str]) -> DataFrame:
-    """``pieces`` with _ll_rank, counted from 0 within each length.
+def ranked(pieces: DataFrame, keys: list[str], counts: dict[int, int], part_rows: int = PART_ROWS) -> DataFrame:
+    """``pieces`` with _ll_rank, counted from 0 within each length; ``counts`` holds the rows of each.
 
-    Rows of a length are dealt into ``DEAL`` parts by hash and numbered there; a part begins
-    where the parts before it end. No task gets all rows of a frequent length.
+    Rows of a length are dealt by hash into ``DEAL`` parts, or as many as leave a part
+    ``part_rows`` rows, and numbered there; a part begins where the parts before it end. No task
+    gets all rows of a frequent length.
     """
-    dealt = pieces.withColumn("_ll_part", F.pmod(F.xxhash64(*keys), F.lit(DEAL)).cast("int"))
+    hot = {length: -(-n // part_rows) for length, n in counts.items() if n > DEAL * part_rows}
+    parts = F.lit(DEAL)
+    if hot:
+        parts = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in sorted(hot.items()) for x in pair]), F.col("length").cast("int")), parts)
+    dealt = pieces.withColumn("_ll_part", F.pmod(F.xxhash64(*keys), parts).cast("int"))
     sizes = dealt.groupBy("length", "_ll_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_ll_part").rowsBetween(Window.unboundedPreceding, -1)
     begins = sizes.select(
@@ -185,11 +197,12 @@ def assign_sequences(pieces: DataFrame, keys: list[str], capacity: int = CAPACIT
     the result the same as a set.
     """
     rows = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
-    found = slots(pack_histogram({r["length"]: r["n"] for r in rows}, capacity))
+    counts = {r["length"]: r["n"] for r in rows}
+    found = slots(pack_histogram(counts, capacity))
     schema = "_ll_length long, _ll_from long, _ll_to long, _ll_sequence long, offset long"
     places = pieces.sparkSession.createDataFrame(found, schema)
     fits = [F.col("length") == F.col("_ll_length"), F.col("_ll_rank").between(F.col("_ll_from"), F.col("_ll_to"))]
-    joined = ranked(pieces, keys).join(F.broadcast(places), fits)
+    joined = ranked(pieces, keys, counts).join(F.broadcast(places), fits)
     return joined.withColumn("sequence_id", F.col("_ll_sequence") + F.col("_ll_rank") - F.col("_ll_from")).drop(
         "_ll_length", "_ll_rank", "_ll_from", "_ll_to", "_ll_sequence"
     )
