@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import fetch_texts, slices, text_key, utf8_texts
@@ -225,11 +225,12 @@ def heaviest(members: DataFrame) -> DataFrame:
 
 
 def first_shingles(fetched: DataFrame, tids: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
-    """tid, total and id: shingles of which two similar texts have one in common; stored.
+    """tid, total, id and after: shingles of which two similar texts have one in common; stored.
 
     Shingles are put in one order, those in fewest of these texts first. What two similar texts
     share weighs at least ``similarity`` of either, so the first shingle they share has that much
-    of the weight at or after it, in both. ``total`` is the text's weight.
+    of the weight at or after it, in both. ``total`` is the text's weight, ``after`` what of it
+    lies at or after the shingle.
     """
 
     def told(batches: Iterator[pa.RecordBatch]):
@@ -247,8 +248,13 @@ def first_shingles(fetched: DataFrame, tids: DataFrame, table: Broadcast, shape:
     times = rows.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
     upto = Window.partitionBy("tid").orderBy("times", "id")
     placed = rows.join(times, "id").withColumn("after", F.col("total") - F.sum("w").over(upto) + F.col("w"))
-    first = placed.filter((F.col("times") > 1) & (F.col("after") >= F.col("total") * shape.similarity - 1e-6))
-    return stored(first.select("tid", "total", "id"))
+    first = placed.filter((F.col("times") > 1) & (F.col("after") >= F.col("total") * shape.similarity - lost(F.col("total"))))
+    return stored(first.select("tid", "total", "id", "after"))
+
+
+def lost(total: Column) -> Column:
+    """What rounding may take from a sum of weights."""
+    return total * 1e-9 + 1e-6
 
 
 def open_pairs(around: DataFrame, fetched: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
@@ -256,7 +262,7 @@ def open_pairs(around: DataFrame, fetched: DataFrame, table: Broadcast, shape: N
 
     ``around`` (bucket, tid, similarity and similar to the center, label and center_label: classes so far).
     Left out are pairs of one class, and those that are bounded below the threshold: by the
-    center (1 - similarity is a metric), by their weights, or as they share no first shingle.
+    center (1 - similarity is a metric), or as they share no shingle that has enough of both weights after it.
     """
     slack = 1 - shape.similarity + 1e-6
     unlike = ~F.col("similar") & (F.col("label") != F.col("center_label"))
@@ -267,23 +273,25 @@ def open_pairs(around: DataFrame, fetched: DataFrame, table: Broadcast, shape: N
     sizes = near.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     near = stored(near.join(sizes, "bucket"))
 
-    def met(rows: DataFrame, on: list[str]) -> DataFrame:
-        others = rows.select(*on, *[F.col(c).alias(f"{c}2") for c in rows.columns if c not in on])
-        # A pair of two open texts is made once.
-        both = (F.col("tid") < F.col("tid2")) | ~F.col("unlike2")
-        both = both & (F.col("tid") != F.col("tid2")) & (F.col("label") != F.col("label2"))
-        both = both & (F.abs(F.col("similarity") - F.col("similarity2")) <= slack)
-        if "total" in rows.columns:
-            least, most = F.least("total", "total2"), F.greatest("total", "total2")
-            both = both & (least >= most * shape.similarity - 1e-6)
-        ends = F.least("tid", "tid2").alias("a"), F.greatest("tid", "tid2").alias("b")
-        return rows.filter("unlike").join(others, on).filter(both).select(*ends)
+    def met(left: DataFrame, right: DataFrame, on: list[str], bound: Column) -> DataFrame:
+        others = right.select(*on, *[F.col(c).alias(f"{c}2") for c in right.columns if c not in on])
+        both = (F.col("unlike") | F.col("unlike2")) & (F.col("tid") != F.col("tid2")) & (F.col("label") != F.col("label2"))
+        both = both & (F.abs(F.col("similarity") - F.col("similarity2")) <= slack) & bound
+        return left.join(others, on).filter(both).select(F.least("tid", "tid2").alias("a"), F.greatest("tid", "tid2").alias("b"))
 
     few, many = near.filter(F.col("n") <= FULL).drop("n"), near.filter(F.col("n") > FULL).drop("n")
-    pairs = met(few, ["bucket"])
+    # A pair of two open texts is made once.
+    pairs = met(few.filter("unlike"), few, ["bucket"], (F.col("tid") < F.col("tid2")) | ~F.col("unlike2"))
     if not many.isEmpty():
-        shingles = first_shingles(fetched, stored(many.select("tid").distinct()), table, shape)
-        pairs = pairs.unionAll(met(many.join(shingles, "tid"), ["bucket", "id"]))
+        marked = many.join(first_shingles(fetched, stored(many.select("tid").distinct()), table, shape), "tid")
+        # Similar texts share this much of the sum of their weights, all of it at or after the first
+        # shingle they share; in the lighter text that is twice as much of its own weight.
+        share = shape.similarity / (1 + shape.similarity)
+        leading = marked.filter(F.col("after") >= 2 * share * F.col("total") - lost(F.col("total")))
+        lighter = (F.col("total") < F.col("total2")) | ((F.col("total") == F.col("total2")) & (F.col("tid") < F.col("tid2")))
+        sums = F.col("total") + F.col("total2")
+        rest = F.least("after", "after2") >= share * sums - lost(sums)
+        pairs = pairs.unionAll(met(leading, marked, ["bucket", "id"], lighter & rest))
     return stored(pairs.distinct())
 
 
