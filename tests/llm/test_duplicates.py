@@ -68,6 +68,68 @@ def test_maximal_runs(spark):
     assert (made[2]["text"], made[0]["n_deleted"]) == ("", 0)
 
 
+def previous_lengths(worded):
+    """Of each line (row, number): how many lines from it on occurred earlier, by comparing all places."""
+    places = [(d, p) for d, found in enumerate(worded) for p in range(len(found))]
+    length = {}
+    for k, (d, p) in enumerate(places):
+        length[d, p] = 0
+        for e, q in places[:k]:
+            n = 0
+            while p + n < len(worded[d]) and q + n < len(worded[e]) and worded[d][p + n] == worded[e][q + n]:
+                n += 1
+            length[d, p] = max(length[d, p], n)
+    return length
+
+
+def tables_of_lines():
+    chance = random.Random(11)
+    few = [[chance.choice("abc") for _ in range(chance.randint(0, 24))] for _ in range(14)]
+    base = [chance.choice("abcdefghij") for _ in range(60)]
+    pieces = []
+    for _ in range(16):
+        cuts = [chance.randrange(60) for _ in range(4)]
+        pieces.append([x for c in cuts for x in base[c : c + chance.randint(1, 17)]])
+    return {
+        "joined": [list("ab"), list("xabcy"), list("zabcq")],
+        "few letters": few,
+        "pieces": pieces,
+        "one letter": [["a"] * 13, ["a"] * 5, ["b"] + ["a"] * 21, ["a"] * 40],
+        "copies": [base, base[7:31] + ["new"] + base[3:40], base, base[20:]],
+        "distinct": [list("abc"), list("def"), []],
+    }
+
+
+@pytest.mark.parametrize("name", list(tables_of_lines()))
+def test_runs_of_any_length_against_brute_force(spark, name):
+    worded = tables_of_lines()[name]
+    length = previous_lengths(worded)
+    docs = spark.createDataFrame([(i, "\n".join(x)) for i, x in enumerate(worded)], "doc_id long, text string").repartition(3)
+    rows = line_dedup.numbered(docs)
+    of = {r[line_dedup.ROW]: r["doc_id"] for r in rows.collect()}
+    runs = {}
+    for r in line_dedup.repeated_runs(line_dedup.line_ids(rows, "text", ["doc_id"], 8)).collect():
+        d, p, e, q, n = of[r[line_dedup.ROW]], r["start"], of[r["from_row"]], r["from_start"], r["n_lines"]
+        runs[d, p] = n
+        assert (e, q) < (d, p) and worded[d][p : p + n] == worded[e][q : q + n]
+    assert runs == {(d, p): n for (d, p), n in length.items() if n and length.get((d, p - 1), 0) <= n}
+    for least in (1, 3):
+        found = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs, min_lines=least).collect()}
+        for d, lines in enumerate(worded):
+            mine = {p: n for (e, p), n in length.items() if e == d and n >= least}
+            gone = {p + k for p, n in mine.items() for k in range(n)}
+            kept = "\n".join(x for p, x in enumerate(lines) if p not in gone)
+            assert (found[d]["text"], found[d]["n_deleted"]) == (kept, len(gone))
+            assert found[d]["longest_run"] == max(mine.values(), default=0)
+
+
+def test_a_long_line_in_a_short_run_goes_alone(spark):
+    long = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, f"a\n{long}\nb"), (2, f"a\n{long}\nc"), (3, f"a\n{long}\nc")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["text"], r["longest_run"]) for r in line_dedup.dedup_lines(docs, min_lines=3).collect()}
+    assert found == {1: (f"a\n{long}\nb", 0), 2: ("a\nc", 1), 3: ("", 3)}
+
+
 def test_rows_that_tie(spark):
     rows = [(None, "a b\nc d"), (None, "a b\nc d"), (1, "a b\nc d"), (1, "a b\nc d")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.operators.groups import stored, storing
+from tideline.operators.groups import free, stored, storing
 
 # Anything but \x20 and \x09-\x0D is part of a word.
 WORD = r"[^\x20\x09-\x0D]"
@@ -63,64 +63,145 @@ def doubled(suffixes: DataFrame, lines: int) -> DataFrame:
     )
 
 
-def repeated_runs(lines: DataFrame) -> DataFrame:
-    """Maximal runs of lines that occurred earlier: row, start, n_lines, the earlier row and start, long.
+def rounds_of_names(lines: DataFrame) -> list[tuple[int, DataFrame]]:
+    """For 1, 2, 4, ... lines: the suffixes whose name for so many lines occurs more than once.
 
-    The names after k rounds stand for the next 2^k lines of every suffix, as the ranks of
-    prefix doubling do; only equality of names and the order of the text matter here. A suffix
-    whose name occurs once drops out, so rounds end with the longest repeat. For each suffix the
-    highest round counts in which an earlier suffix has its name. Neighbours with neighbouring
-    earlier places form one run: the interval of suffixes that share count - 1 + 2^k lines.
+    A suffix whose name occurs once drops out, so the rounds end with the longest repeat.
     """
-    levels, size = [], 1
+    rounds, size = [], 1
     current = shared(lines)
     while not current.isEmpty():
-        later = (F.col("first.pos") != F.col("pos")) | (F.col(f"first.{ORDER}.row") != F.col(ROW))
-        levels.append(
-            current.filter(later).select(
-                ROW, "pos", F.struct(
-                    F.lit(size).cast("long").alias("size"), F.col(f"first.{ORDER}.row").alias("row"),
-                    F.col("first.pos").alias("pos"), "long",
-                ).alias("earlier"),
-            )
-        )
+        rounds.append((size, current))
         current = shared(doubled(current, size))
         size *= 2
-    if not levels:
-        found = lines.filter("false").select(ROW, "pos", F.struct(
-            F.lit(1).cast("long").alias("size"), F.col(ROW).alias("row"), "pos", "long").alias("earlier"))
-    else:
-        found = reduce(DataFrame.unionAll, levels)
-    best = found.groupBy(ROW, "pos").agg(F.max("earlier").alias("e")).select(
-        ROW, "pos", F.col("e.size").alias("size"), F.col("e.row").alias("from_row"),
-        F.col("e.pos").alias("from_pos"), F.col("e.long").alias("long"),
+    free(current)
+    return rounds
+
+
+def bounded(rounds: list[tuple[int, DataFrame]]) -> DataFrame:
+    """The suffixes that begin with a line seen earlier, with bounds of how many such lines follow; stored.
+
+    ``size`` is the highest round in which an earlier suffix has the same name, ``first`` the first
+    such suffix. Neighbours of one size whose firsts are neighbours too have a whole stretch in
+    common with one place, so ``length`` lines at least. A suffix n lines on that has m lines at
+    most leaves n + m here, a suffix without any n: ``open`` are those where the least and the
+    most that their row allows still differ.
+    """
+    later = (F.col("first.pos") != F.col("pos")) | (F.col(f"first.{ORDER}.row") != F.col(ROW))
+    found = [
+        names.filter(later).select(ROW, "pos", F.struct(F.lit(size).cast("long").alias("size"), "first", "long", ORDER, *NAME).alias("e"))
+        for size, names in rounds
+    ]
+    best = reduce(DataFrame.unionAll, found).groupBy(ROW, "pos").agg(F.max("e").alias("e")).select(ROW, "pos", "e.*")
+    back = Window.partitionBy(ROW).orderBy(F.col("pos").desc())
+    so_far = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    adjacent = F.coalesce(F.lag("pos").over(back) == F.col("pos") + 1, F.lit(False))
+    joined = (
+        adjacent
+        & (F.lag("size").over(back) == F.col("size"))
+        & (F.lag(f"first.{ORDER}.row").over(back) == F.col(f"first.{ORDER}.row"))
+        & (F.lag("first.pos").over(back) == F.col("first.pos") + 1)
     )
-    diagonal = [ROW, "size", "from_row", F.col("from_pos") - F.col("pos")]
-    island = F.col("pos") - F.row_number().over(Window.partitionBy(*diagonal).orderBy("pos"))
-    return (
-        best.withColumn("island", island)
-        .groupBy(ROW, "size", "from_row", (F.col("from_pos") - F.col("pos")).alias("shift"), "island")
-        .agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("n"), F.max("long").alias("long"))
-        .select(
-            ROW, "start", (F.col("n") - 1 + F.col("size")).alias("n_lines"), "from_row",
-            (F.col("start") + F.col("shift")).alias("from_start"), "long",
+    best = best.withColumns({"joined": joined, "most": F.col("pos") + F.when(adjacent, 2 * F.col("size") - 1).otherwise(1)})
+    last = F.last(F.when(~F.col("joined"), F.col("pos")), ignorenulls=True).over(so_far)
+    best = best.withColumns({"length": last - F.col("pos") + F.col("size"), "most": F.min("most").over(so_far)}).drop("joined")
+    ahead = Window.partitionBy(ROW).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = F.max(F.col("pos") + F.col("length")).over(ahead)
+    return stored(best.withColumn("open", least < F.col("most")).drop("most"))
+
+
+def refined(rounds: list[tuple[int, DataFrame]], best: DataFrame) -> DataFrame:
+    """Exact lengths (row, pos, length, first) of the suffixes in ``best`` that share a name with an open one.
+
+    The intervals of suffixes with a common prefix are walked down from the highest round. An
+    interval holds its first suffix and, of every narrower interval below it that has been split
+    off, the first one; all others went on into the narrower ones. A suffix that is not the first
+    with its next 2^k lines in its interval goes on behind them, the first one stays, and goes along
+    as the place to compare with. So each suffix is in one interval, beside one first suffix for
+    each, and it ends where its lines occurred earlier for the last time.
+    """
+    interval = ["size", *NAME]
+    heads = stored(best.filter("open").groupBy(*interval).agg(F.min("first").alias("first")))
+    state = [ROW, ORDER, "pos", *interval, "length", "first", "guest"]
+    length = F.col("size").alias("length")
+    members = best.join(heads.select(*interval), interval, "left_semi").select(
+        ROW, ORDER, "pos", *interval, length, "first", F.lit(False).alias("guest")
+    )
+    guests = heads.select(
+        F.col(f"first.{ORDER}.row").alias(ROW), F.col(f"first.{ORDER}").alias(ORDER), F.col("first.pos").alias("pos"),
+        *interval, length, "first", F.lit(True).alias("guest"),
+    )
+    items = stored(members.unionByName(guests))
+    for size, names in reversed(rounds[:-1]):
+        lines = F.lit(size).cast("long")
+        step = names.select(ROW, F.col("pos").alias("at"), F.col("name").alias("name2"), F.col("check").alias("check2"))
+        ready = items.filter(F.col("size") > lines).withColumn("at", F.col("pos") + F.col("length"))
+        ready = stored(ready.join(step, [ROW, "at"], "left").drop("at"))
+        narrower = [*interval, "length", "name2", "check2"]
+        split = ready.filter(F.col("name2").isNotNull()).groupBy(*narrower)
+        split = split.agg(F.min(F.struct(ORDER, "pos")).alias("first2"), F.count(F.lit(1)).alias("n"))
+        split = stored(split.filter(F.col("n") > 1).drop("n"))
+        goes = F.col("first2").isNotNull() & ((F.col("first2.pos") != F.col("pos")) | (F.col(f"first2.{ORDER}.row") != F.col(ROW)))
+        pair = [*NAME, "name2", "check2"]
+        behind = {"name": F.xxhash64(*pair), "check": F.hash(*pair), "length": F.col("length") + lines, "first": F.col("first2")}
+        met = ready.join(split, narrower, "left").withColumn("goes", F.coalesce(goes, F.lit(False)))
+        met = met.withColumns({c: F.when(F.col("goes"), new).otherwise(F.col(c)) for c, new in behind.items()})
+        along = split.select(
+            F.col(f"first2.{ORDER}.row").alias(ROW), F.col(f"first2.{ORDER}").alias(ORDER), F.col("first2.pos").alias("pos"),
+            "size", *[new.alias(c) for c, new in behind.items()], F.lit(True).alias("guest"),
+        )
+        before = items
+        items = stored(
+            items.filter(F.col("size") <= lines).unionByName(met.select(*state)).unionByName(along.select(*state))
         )
+        free(before, ready, split)
+    return items.filter(~F.col("guest")).select(ROW, "pos", F.col("length").alias("exact"), F.col("first").alias("exact_first"))
+
+
+def earlier_lengths(lines: DataFrame) -> DataFrame:
+    """row, pos, n_lines, from_row, from_start, long: of each suffix how many of its first lines occurred earlier.
+
+    Only suffixes of which at least one did. Runs that lie inside the run of a suffix before them
+    may be given too short; all others are exact, and so is the longest that holds a line.
+    """
+    rounds = rounds_of_names(lines)
+    if not rounds:
+        return lines.select(
+            ROW, "pos", F.lit(0).cast("long").alias("n_lines"), F.col(ROW).alias("from_row"), F.col("pos").alias("from_start"), "long"
+        ).filter("false")
+    best = bounded(rounds)
+    if not best.filter("open").isEmpty():
+        best = best.join(refined(rounds, best), [ROW, "pos"], "left")
+        best = best.withColumns({"length": F.coalesce("exact", "length"), "first": F.coalesce("exact_first", "first")})
+    return best.select(
+        ROW, "pos", F.col("length").alias("n_lines"), F.col(f"first.{ORDER}.row").alias("from_row"),
+        F.col("first.pos").alias("from_start"), "long",
     )
 
 
+def not_inside(runs: DataFrame) -> DataFrame:
+    """Runs (row, start, n_lines) that lie in no run before them; ``reach`` is where the runs before end."""
+    before = Window.partitionBy(ROW).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    ends = runs.withColumn("end", F.col("start") + F.col("n_lines"))
+    return ends.withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(0))).filter(F.col("end") > F.col("reach"))
+
+
+def repeated_runs(lines: DataFrame) -> DataFrame:
+    """Maximal runs of lines that occurred earlier: row, start, n_lines, the earlier row and start, long.
+
+    No run lies inside another one; ``long`` tells that its first line has enough words.
+    """
+    return not_inside(earlier_lengths(lines).withColumnRenamed("pos", "start")).drop("end", "reach")
+
+
 def disjoint(runs: DataFrame) -> DataFrame:
     """Per row, the lines that its runs cover: sorted (gap, length) pairs; and its longest run."""
-    ordered = Window.partitionBy(ROW).orderBy("start", "end")
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    reach = runs.withColumn("end", F.col("start") + F.col("n_lines")).withColumn(
-        "reach", F.coalesce(F.max("end").over(before), F.lit(0))
-    )
     # What a run covers beyond the runs before it; a gap is what none of them covers.
     piece = F.struct(
         "start", "end", F.greatest(F.col("start") - F.col("reach"), F.lit(0)).cast("int").alias("gap"),
-        F.greatest(F.col("end") - F.greatest("start", "reach"), F.lit(0)).cast("int").alias("length"),
+        (F.col("end") - F.greatest("start", "reach")).cast("int").alias("length"),
     )
-    return reach.groupBy(ROW).agg(
+    return not_inside(runs).groupBy(ROW).agg(
         F.sort_array(F.collect_list(piece)).alias("_ld_pieces"), F.max("n_lines").alias("_ld_longest")
     )
 
@@ -141,8 +222,10 @@ def dedup_lines(
     rows = numbered(docs)
     with storing() as scope:
         lines = stored(line_ids(rows, text, list(order), min_words))
-        runs = repeated_runs(lines).filter((F.col("n_lines") >= min_lines) | F.col("long"))
-        covered = scope.keep(stored(disjoint(runs)))
+        runs = earlier_lengths(lines).withColumnRenamed("pos", "start")
+        alone = F.when(F.col("long"), 1)
+        runs = runs.select(ROW, "start", F.when(F.col("n_lines") >= min_lines, F.col("n_lines")).otherwise(alone).alias("n_lines"))
+        covered = scope.keep(stored(disjoint(runs.filter(F.col("n_lines").isNotNull()))))
     all_lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     numbers = F.sequence(F.lit(0), F.size("_ld_lines") - 1)
     worded = F.filter(numbers, lambda i: has_word(F.col("_ld_lines")[i]))
