@@ -342,6 +342,30 @@ def test_copies_and_hot_passages(spark):
     assert {(r["passage_start"], r["passage_stop"]) for r in copies} == {(0, 80)}
 
 
+def test_pairs_beside_a_frequent_phrase(spark):
+    phrase = prose(40, 9)
+    texts = [prose(60, 2000 + k) + phrase + prose(60, 3000 + k) for k in range(120)]
+    for k in range(12):
+        tail = prose(15, 4000 + k)
+        texts += [prose(60, 5000 + 2 * k + j) + phrase + tail + prose(60, 6000 + 2 * k + j) for j in (0, 1)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found: dict = {}
+    for r in passages.mark_passages(docs.repartition(4)).collect():
+        found.setdefault(r["doc_id"], set()).add(r["class_id"])
+    pairs = [(i, i + 1) for i in range(120, 144, 2)]
+    assert sum(bool(found[i] & found[j] - {None}) for i, j in pairs) == len(pairs)
+    assert all(found[i] == {None} for i in range(120)) and len({min(found[i]) for i, _ in pairs}) == len(pairs)
+
+
+def test_windows_of_fewest_shingles():
+    chance = np.random.default_rng(3)
+    for n in (3, 10, 31):
+        values = chance.integers(0, 12, n)
+        want = min(len(set(values[k : k + 10].tolist())) for k in range(max(1, n - 9)))
+        assert passages.fewest(values, 10) == want
+    assert passages.fewest(np.arange(30), 10) == 10 and passages.fewest(np.arange(4), 10) == 4
+
+
 def test_all_passages_of_two_texts(spark):
     rows = []
     for k in range(30):
