@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators import changes as ch
-from tideline.operators.groups import stored
+from tideline.operators.groups import stored, storing
 from tideline.sources import files
 
 # Files below this age that no version names may belong to a write that goes on.
@@ -105,9 +105,11 @@ class VersionedTable:
         before = self.version() if self.exists() else None
         if before and batch is not None and batch in before.batches:
             return before
-        if key is not None:
-            df = self._clustered(df, key, n_files)
-        names, rows = self._write(df)
+        with storing():
+            if key is not None:
+                # The cuts between files take a pass of their own, which reads the stored rows.
+                df = self._clustered(stored(df), key, n_files)
+            names, rows = self._write(df)
         number = before.number + 1 if before else 1
         batches = dict(before.batches) if before else {}
         return self._commit(Version(number, names, df.schema.json(), key, batches), {"rows": rows, "base": number - 1}, batch)

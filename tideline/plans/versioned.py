@@ -8,9 +8,11 @@ the two versions of the facts, not from the run that made them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideline.operators import changes as ch
 from tideline.operators import retract
+from tideline.operators.changes import BROADCAST_ROWS, hinted, is_small
 from tideline.operators.sampling import hash_sample
 from tideline.operators.versions import VersionedTable
 from tideline.plans import star
@@ -54,7 +56,14 @@ def run_versioned_cycle(spark: SparkSession, root: str, batch: str | None = None
     if batch not in held.batches:
         moved = facts.difference(note["base"], note["version"])
         after = facts.read(note["version"])
-        renewed = retract.state_changes(state.read(held.number), moved.removed, moved.added, lambda some: retract.of_customers(after, some))
+        # Files are rewritten whole; rows of other keys are on both sides and cancel out.
+        keys = changes.select(F.col("orderkey").alias("_m"))
+        small = is_small(keys, BROADCAST_ROWS)
+
+        def of_keys(rows: DataFrame) -> DataFrame:
+            return rows.join(hinted(keys, small), F.col("orderkey").eqNullSafe(F.col("_m")), "left_semi")
+
+        renewed = retract.state_changes(state.read(held.number), of_keys(moved.removed), of_keys(moved.added), lambda some: retract.of_customers(after, some))
         held = state.merge(renewed, "custkey", batch, "null_safe")
     return {FACTS: note, STATE: held.batches[batch]}
 
