@@ -229,6 +229,38 @@ def test_every_pair_of_a_bucket_is_settled(spark):
     assert not split and all(want[i] == want[found[i]] for i in found)
 
 
+def test_rare_shingles_weigh_by_their_exact_counts(spark):
+    """Pages of 85 shared and 10 own shingles among 10,000 other rows: similarity 0.72 by TF-IDF, 0.81 by plain counts."""
+    stock = prose(89, 61)
+    pages = [" ".join(stock + prose(10, 900 + k)) for k in range(40)]
+    rows = pages + [" ".join(prose(5, 2000 + k)) for k in range(10_000)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    found = near_dups.near_duplicates(docs).filter("doc_id < 40").collect()
+    assert len({r["class_id"] for r in found}) == 40 and {r["class_rows"] for r in found} == {1}
+
+
+def test_counts_of_shingles_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "CHUNK_BYTES", 2_000)
+    monkeypatch.setattr(near_dups, "PART_SHINGLES", 300)
+    texts = near_copies() + ["w " * 400, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    table = near_dups.weights_table(docs, "text", near_dups.NearDups())
+    assert table.texts.select("chunk").distinct().count() > 10 and table.counts.select("part").distinct().count() > 10
+    want = Counter(s for t in texts for s in shingled(t))
+    found = near_dups.distinct_texts(docs, "text", "doc_id", table, near_dups.NearDups()).collect()
+    assert len(found) == len({t or "" for t in texts}) and table.total == len(texts)
+    for r in found:
+        own = near_dups.unpacked(bytes(r["df"])).tolist()
+        assert sorted(own) == sorted(want[s] for s in shingled(texts[r["first"]]))
+
+
+def test_packed_numbers():
+    for values in ([], [0], [1, 255, 3], [256, 0], [(1 << 44) - 1, 7], [1 << 63]):
+        raw = near_dups.packed(np.array(values, dtype=np.uint64))
+        assert near_dups.unpacked(raw).tolist() == values
+    assert len(near_dups.packed(np.array([1, 2, 3], dtype=np.uint64))) == 4
+
+
 def test_near_duplicates_of_edge_rows(spark):
     rows = [(None, "x y z"), (None, "x y z"), (5, None), (5, ""), (7, "w " * 30000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

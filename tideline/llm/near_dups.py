@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,24 +21,22 @@ from tideline.operators.groups import stored, storing
 ID_BITS = 44
 TABLE_BITS = 16
 SEED = 42
-# Rows, and different shingles, of the chunks in which frequent shingles are looked for.
-CHUNK_ROWS, CHUNK_SHINGLES = 4_000, 4_000_000
+# Bytes of the texts whose shingles are sent and weighed together; different shingles that a task counts at once, about.
+CHUNK_BYTES, PART_SHINGLES, MIN_PART_BITS = 8_000_000, 2_000_000, 3
 # Open buckets of so many texts are compared pair by pair; larger ones by shingles that their texts share.
 FULL = 8
 
 
 @dataclass(frozen=True)
 class NearDups:
-    """Similarity from which texts are near duplicates, shape of the bands, and the idf's floor.
+    """Similarity from which texts are near duplicates, and shape of the bands.
 
-    ``common``: shingles in a smaller share of the texts weigh as if they were in this share.
     With 10 bands of 3 samples two texts of similarity 0.8 meet in a band with a chance of 99.9 %.
     """
 
     similarity: float = 0.8
     bands: int = 10
     rows: int = 3
-    common: float = 0.005
 
 
 class Samples:
@@ -95,107 +94,180 @@ def signatures(owner: np.ndarray, ids: np.ndarray, weights: np.ndarray, texts: i
     return buckets, present
 
 
-def common_shingles(docs: DataFrame, text: str, share: float) -> tuple[int, list[tuple[int, int]]]:
-    """Number of rows, and (id, rows that have it) for shingles in at least ``share`` of the rows.
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, all first bytes first; told apart by the byte in front."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
-    A shingle with that share in all has it in some chunk of rows; chunks report what has a
-    quarter of the share in them. Sums that can reach the share are few (shingles per text over three
-    quarters of the share, at most); these are counted exactly in a second pass.
+
+def unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, : raw[0]] = planes.T
+    return wide.view("<u8").ravel()
+
+
+@dataclass(frozen=True)
+class Weights:
+    """Different texts in chunks (tid, _ll_key, _ll_check, n, chunk, text), and in how many rows their shingles are.
+
+    ``counts`` (chunk, part, rows): the rows of each different shingle of the chunk in the order of its
+    id, parts being ranges of ids. ``total``: all rows.
     """
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    total = rows.count()
-    # Small partitions are read together, as shares of a few rows mean nothing.
-    wide = rows.coalesce(max(1, total // CHUNK_ROWS))
 
-    def told(chunk: list[np.ndarray], n: int) -> Iterator[pa.RecordBatch]:
-        ids, times = np.unique(np.concatenate(chunk), return_counts=True)
-        many = times >= share / 4 * n
-        yield pa.RecordBatch.from_arrays([pa.array(ids[many].astype(np.int64)), pa.array(times[many])], ["id", "n"])
+    texts: DataFrame
+    counts: DataFrame
+    total: int
 
-    def frequent(batches: Iterator[pa.RecordBatch]):
-        known = cached_hashes()
-        whole, whole_rows, chunk, n = [], 0, [], 0
-        for batch in slices(batches, "text"):
-            found = Shingles(utf8_texts(batch.column("text")), known)
-            chunk.append(weighted(found, np.zeros(0, np.uint64), np.zeros(0), 1.0)[1])
-            n += batch.num_rows
-            if n >= CHUNK_ROWS and sum(map(len, chunk)) >= CHUNK_SHINGLES:
-                if whole:
-                    yield from told(whole, whole_rows)
-                whole, whole_rows, chunk, n = chunk, n, [], 0
-        # What is left joins the last whole chunk, so no chunk is of a few rows.
-        if whole or chunk:
-            yield from told(whole + chunk, whole_rows + n)
-
-    near = wide.mapInArrow(frequent, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    ids = sorted(r["id"] for r in near.filter(F.col("n") >= total * share * 0.75).select("id").collect())
-    if not ids:
-        return total, []
-    wanted = docs.sparkSession.sparkContext.broadcast(np.array(ids, dtype=np.uint64))
-
-    def count(batches: Iterator[pa.RecordBatch]):
-        known, these = cached_hashes(), wanted.value
-        sums = np.zeros(len(these), dtype=np.int64)
-        for batch in slices(batches, "text"):
-            found = Shingles(utf8_texts(batch.column("text")), known)
-            _, ids, _ = weighted(found, np.zeros(0, np.uint64), np.zeros(0), 1.0)
-            at = np.minimum(np.searchsorted(these, ids), len(these) - 1)
-            sums += np.bincount(at[these[at] == ids], minlength=len(these))
-        yield pa.RecordBatch.from_arrays([pa.array(these.astype(np.int64)), pa.array(sums)], ["id", "n"])
 
-    counts = rows.mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    return total, sorted((r["id"], r["n"]) for r in counts.filter(F.col("n") >= total * share).collect())
+def bags(column: pa.Array, known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different shingles of each text, sorted: owner, id, occurrences."""
+    return weighted(Shingles(utf8_texts(column), known), np.zeros(0, np.uint64), np.zeros(0), 1.0)
+
+
+def chunked(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows with the chunk of about ``limit`` bytes of text that they are in."""
+    chunk, size = None, 0
+    for batch in batches:
+        chunks = []
+        for tid, n in zip(batch.column("tid").to_pylist(), pc.binary_length(batch.column("text")).to_pylist()):
+            if chunk is None or size and size + n > limit:
+                chunk, size = tid, 0
+            size += n
+            chunks.append(chunk)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunks, pa.int64())], [*batch.schema.names, "chunk"])
+
 
+def chunk_shingles(texts: DataFrame, parts: int) -> DataFrame:
+    """part, chunk, ids, rows: different shingles of a chunk, by ranges of ids, and its rows that have them.
+
+    A range has a row for each task that reads some of the chunk.
+    """
+    begins_at = np.arange(parts, dtype=np.uint64) << np.uint64(ID_BITS - (parts - 1).bit_length())
+    names = ["part", "chunk", "ids", "rows"]
+
+    def told(chunk: int, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        ids, at = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+        rows = np.bincount(at, np.concatenate([f[1] for f in found]), minlength=len(ids)).astype(np.uint64)
+        cuts = [0, *np.searchsorted(ids, begins_at[1:]).tolist(), len(ids)]
+        some = [(p, i, j) for p, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
+        blobs = [packed(np.diff(ids[i:j], prepend=begins_at[p])) for p, i, j in some]
+        columns = [pa.array([p for p, _, _ in some], pa.int32()), pa.array([chunk] * len(some), pa.int64())]
+        columns += [pa.array(blobs, pa.binary()), pa.array([packed(rows[i:j]) for _, i, j in some], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        known, chunk, found = cached_hashes(), None, []
+        for whole in slices(batches, "text"):
+            chunks = whole.column("chunk").to_numpy()
+            begins = np.flatnonzero(np.concatenate([[True], chunks[1:] != chunks[:-1]])).tolist()
+            for i, j in zip(begins, [*begins[1:], len(chunks)]):
+                if found and chunk != int(chunks[i]):
+                    yield from told(chunk, found)
+                    found = []
+                chunk = int(chunks[i])
+                owner, ids, _ = bags(whole.column("text").slice(i, j - i), known)
+                found.append((ids, whole.column("n").to_numpy()[i:j][owner]))
+        if found:
+            yield from told(chunk, found)
+
+    return texts.select("chunk", "n", "text").mapInArrow(run, "part int, chunk long, ids binary, rows binary")
+
+
+def counted(part: pa.Table) -> pa.Table:
+    """chunk, part and rows: in how many rows of all chunks the shingles of a part are, in the order of their ids."""
+    chunks = part.column("chunk").to_numpy()
+    ids = [np.cumsum(unpacked(raw)) for raw in part.column("ids").to_pylist()]
+    rows = np.concatenate([unpacked(raw) for raw in part.column("rows").to_pylist()])
+    values, at = np.unique(np.concatenate(ids), return_inverse=True)
+    sums = np.bincount(at, rows, minlength=len(values)).astype(np.uint64)
+    pieces: dict[int, list[np.ndarray]] = {}
+    bounds = np.cumsum([0, *map(len, ids)])
+    for k, chunk in enumerate(chunks.tolist()):
+        pieces.setdefault(chunk, []).append(at[bounds[k] : bounds[k + 1]])
+    blobs = [packed(sums[several[0] if len(several) == 1 else np.unique(np.concatenate(several))]) for several in pieces.values()]
+    columns = [pa.array(list(pieces), pa.int64()), pa.array([part.column("part")[0].as_py()] * len(pieces), pa.int32())]
+    return pa.Table.from_arrays([*columns, pa.array(blobs, pa.binary())], ["chunk", "part", "rows"])
+
+
+def weights_table(docs: DataFrame, text: str, shape: NearDups) -> Weights:
+    """Exact numbers of rows that have each shingle of each different text; stored.
+
+    Each chunk sends its different shingles once, as sorted differences, and gets back what they add up to
+    over all chunks; so neither a task nor the driver holds the shingles of all texts.
+    """
+    rows = docs.select(*text_key(text), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = rows.groupBy("_ll_key", "_ll_check").agg(F.count(F.lit(1)).alias("n"), F.max("text").alias("text"))
+    texts = texts.select(F.monotonically_increasing_id().alias("tid"), "_ll_key", "_ll_check", "n", "text")
+    texts = stored(texts.mapInArrow(partial(chunked, limit=CHUNK_BYTES), "tid long, _ll_key long, _ll_check int, n long, text string, chunk long"))
+    all_of = texts.agg(F.sum("n").alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    # A word has some six bytes, and a shingle.
+    parts = 1 << max(MIN_PART_BITS, ((all_of["bytes"] or 0) // (6 * PART_SHINGLES)).bit_length())
+    counts = chunk_shingles(texts, parts).groupBy("part").applyInArrow(counted, "chunk long, part int, rows binary")
+    return Weights(texts, stored(counts), all_of["rows"] or 0)
 
-def weights_table(docs: DataFrame, text: str, shape: NearDups) -> Broadcast:
-    """Ids and idf of common shingles, and the idf of all others: ln(1 + rows / rows with it)."""
-    total, common = common_shingles(docs, text, shape.common)
-    ids = np.array([i for i, _ in common], dtype=np.uint64)
-    idf = np.log1p(total / np.array([n for _, n in common], dtype=np.float64))
-    return docs.sparkSession.sparkContext.broadcast((ids, idf, float(np.log1p(1 / shape.common))))
 
+def distinct_texts(docs: DataFrame, text: str, order: str, table: Weights, shape: NearDups) -> DataFrame:
+    """tid, _ll_key, _ll_check, first, n, buckets and df of every different text, stored.
 
-def distinct_texts(docs: DataFrame, text: str, order: str, table: Broadcast, shape: NearDups) -> DataFrame:
-    """tid, _ll_key, _ll_check, first, n and buckets of every different text, stored; buckets are NULL without words."""
-    kind = docs.schema[order].dataType.simpleString()
-    rows = docs.select(F.col(order).alias("first"), *text_key(text), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    buckets are NULL without words; df: the rows that have each different shingle, in the order of ids.
+    """
+    firsts = docs.select(F.col(order).alias("first"), *text_key(text)).groupBy("_ll_key", "_ll_check").agg(F.min("first").alias("first"))
+    names = ["tid", "_ll_key", "_ll_check", "n", "buckets", "df"]
+    total = table.total
 
-    def sign(batches: Iterator[pa.RecordBatch]):
+    def sign(chunk: pa.Table, counts: pa.Table) -> pa.Table:
         known, samples = cached_hashes(), Samples(shape.bands * shape.rows)
-        for batch in slices(batches, "text"):
-            found = Shingles(utf8_texts(batch.column("text")), known)
-            made, present = signatures(*weighted(found, *table.value), batch.num_rows, samples, shape)
+        pieces = sorted(zip(counts.column("part").to_pylist(), counts.column("rows").to_pylist()))
+        df = np.concatenate([np.zeros(0, np.uint64), *[unpacked(raw) for _, raw in pieces]])
+        batches = list(slices(chunk.combine_chunks().to_batches(), "text"))
+        found = [bags(batch.column("text"), known) for batch in batches]
+        ids = np.sort(np.concatenate([np.zeros(0, np.uint64), *[f[1] for f in found]]))
+        ids = ids[np.flatnonzero(np.diff(ids, prepend=ids[:1] + np.uint64(1)))]
+        if len(ids) != len(df):
+            raise ValueError(f"{len(df)} counts for {len(ids)} shingles")
+        made = []
+        for batch, (owner, own, times) in zip(batches, found):
+            rows = df[np.searchsorted(ids, own)]
+            buckets, present = signatures(owner, own, times * np.log1p(total / rows), batch.num_rows, samples, shape)
             lists: list = [None] * batch.num_rows
-            for k, buckets in zip(present, made.T.view(np.int64).tolist()):
-                lists[k] = buckets
-            arrays = [batch.column(c) for c in ("first", "_ll_key", "_ll_check")]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(lists, pa.list_(pa.int64()))], ["first", "_ll_key", "_ll_check", "buckets"]
-            )
+            for k, values in zip(present, buckets.T.view(np.int64).tolist()):
+                lists[k] = values
+            bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            blobs = [packed(rows[i:j]) for i, j in zip(bounds, bounds[1:])]
+            arrays = [*[batch.column(c) for c in names[:4]], pa.array(lists, pa.list_(pa.int64())), pa.array(blobs, pa.binary())]
+            made.append(pa.RecordBatch.from_arrays(arrays, names))
+        return pa.Table.from_batches(made)
+
+    kinds = "tid long, _ll_key long, _ll_check int, n long, buckets array<long>, df binary"
+    signed = table.texts.groupBy("chunk").cogroup(table.counts.groupBy("chunk")).applyInArrow(sign, kinds)
+    return stored(signed.join(firsts, ["_ll_key", "_ll_check"]))
 
-    signed = rows.mapInArrow(sign, f"first {kind}, _ll_key long, _ll_check int, buckets array<long>")
-    grouped = signed.groupBy("_ll_key", "_ll_check").agg(
-        F.min("first").alias("first"), F.count(F.lit(1)).alias("n"), F.first("buckets").alias("buckets")
-    )
-    return stored(grouped.withColumn("tid", F.monotonically_increasing_id()))
 
+def weighed(texts: pa.Array, df: pa.Array, total: int, known) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different shingles of each text, sorted: owner, id, weight; ``df`` as ``distinct_texts`` tells it."""
+    owner, ids, times = bags(texts, known)
+    rows = np.concatenate([np.zeros(0, np.uint64), *[unpacked(raw) for raw in df.to_pylist()]])
+    return owner, ids, times * np.log1p(total / rows)
 
-def verify(pairs: DataFrame, fetched: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
+
+def verify(pairs: DataFrame, fetched: DataFrame, table: Weights, shape: NearDups) -> DataFrame:
     """``pairs`` (a, b) with their weighted Jaccard similarity, and whether it reaches the threshold; stored.
 
-    ``fetched`` holds their texts (tid, text).
+    ``fetched`` holds their texts (tid, text, df).
     """
+    total = table.total
 
     def compare(batches: Iterator[pa.RecordBatch]):
         known = cached_hashes()
         for batch in slices(batches, "text_a"):
             n = batch.num_rows
             sides = []
-            for side in ("text_a", "text_b"):
-                unique = batch.column(side).dictionary_encode()
-                found = weighted(Shingles(utf8_texts(unique.dictionary), known), *table.value)
-                bounds = np.searchsorted(found[0], np.arange(len(unique.dictionary) + 1))
-                sides.append((unique.indices.to_numpy(), found[1], found[2], bounds))
+            for side in ("a", "b"):
+                unique, first, at = np.unique(batch.column(side).to_numpy(), return_index=True, return_inverse=True)
+                found = weighed(batch.column(f"text_{side}").take(pa.array(first)), batch.column(f"df_{side}").take(pa.array(first)), total, known)
+                bounds = np.searchsorted(found[0], np.arange(len(unique) + 1))
+                sides.append((at, found[1], found[2], bounds))
             similarity, similar = [], []
             for i in range(n):
                 (ia, ids_a, w_a, at_a), (ib, ids_b, w_b, at_b) = sides
@@ -208,9 +280,8 @@ def verify(pairs: DataFrame, fetched: DataFrame, table: Broadcast, shape: NearDu
             arrays = [batch.column("a"), batch.column("b"), pa.array(similarity, pa.float64()), pa.array(similar, pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "similarity", "similar"])
 
-    left = fetched.select(F.col("tid").alias("a"), F.col("text").alias("text_a"))
-    right = fetched.select(F.col("tid").alias("b"), F.col("text").alias("text_b"))
-    full = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    left, right = [fetched.select(F.col("tid").alias(x), F.col("text").alias(f"text_{x}"), F.col("df").alias(f"df_{x}")) for x in "ab"]
+    full = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b", "df_a", "df_b")
     return stored(full.mapInArrow(compare, "a long, b long, similarity double, similar boolean"))
 
 
@@ -224,7 +295,7 @@ def heaviest(members: DataFrame) -> DataFrame:
     return stored(ranked.select("bucket", F.col("tid").alias("tid2")))
 
 
-def first_shingles(fetched: DataFrame, tids: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
+def first_shingles(fetched: DataFrame, tids: DataFrame, table: Weights, shape: NearDups) -> DataFrame:
     """tid, total, id and after: shingles of which two similar texts have one in common; stored.
 
     Shingles are put in one order, those in fewest of these texts first. What two similar texts
@@ -233,17 +304,19 @@ def first_shingles(fetched: DataFrame, tids: DataFrame, table: Broadcast, shape:
     lies at or after the shingle.
     """
 
+    rows_in_all = table.total
+
     def told(batches: Iterator[pa.RecordBatch]):
         known = cached_hashes()
         for batch in slices(batches, "text"):
-            owner, ids, weights = weighted(Shingles(utf8_texts(batch.column("text")), known), *table.value)
+            owner, ids, weights = weighed(batch.column("text"), batch.column("df"), rows_in_all, known)
             total = np.bincount(owner, weights, minlength=batch.num_rows)[owner]
             tid = batch.column("tid").to_numpy()[owner]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(tid), pa.array(ids.astype(np.int64)), pa.array(weights), pa.array(total)], ["tid", "id", "w", "total"]
             )
 
-    rows = fetched.join(tids, "tid", "left_semi").select("tid", "text")
+    rows = fetched.join(tids, "tid", "left_semi").select("tid", "text", "df")
     rows = stored(rows.mapInArrow(told, "tid long, id long, w double, total double"))
     times = rows.groupBy("id").agg(F.count(F.lit(1)).alias("times"))
     upto = Window.partitionBy("tid").orderBy("times", "id")
@@ -257,7 +330,7 @@ def lost(total: Column) -> Column:
     return total * 1e-9 + 1e-6
 
 
-def open_pairs(around: DataFrame, fetched: DataFrame, table: Broadcast, shape: NearDups) -> DataFrame:
+def open_pairs(around: DataFrame, fetched: DataFrame, table: Weights, shape: NearDups) -> DataFrame:
     """Pairs a, b of a bucket that could be similar, though neither center nor class joins them; stored.
 
     ``around`` (bucket, tid, similarity and similar to the center, label and center_label: classes so far).
@@ -295,7 +368,7 @@ def open_pairs(around: DataFrame, fetched: DataFrame, table: Broadcast, shape: N
     return stored(pairs.distinct())
 
 
-def links(texts: DataFrame, fetch, table: Broadcast, shape: NearDups) -> DataFrame:
+def links(texts: DataFrame, fetch, table: Weights, shape: NearDups) -> DataFrame:
     """Pairs u, v of different texts that are near duplicates, enough of them to join every class.
 
     In each bucket all texts are compared with its center, the text that shares most buckets
@@ -339,14 +412,15 @@ def text_classes(docs: DataFrame, text: str, order: str, shape: NearDups) -> Dat
         texts = distinct_texts(docs, text, order, table, shape)
 
         def fetch(tids: DataFrame) -> DataFrame:
-            return fetch_texts(docs, text, stored(texts.select("tid", "_ll_key", "_ll_check").join(tids, "tid")))
+            needed = stored(texts.select("tid", "_ll_key", "_ll_check").join(tids, "tid"))
+            return stored(fetch_texts(table.texts, "text", needed).join(texts.select("tid", "df"), "tid"))
 
         with storing() as inner:
             edges = inner.keep(links(texts, fetch, table, shape))
         ends = edges.select(F.col("u").alias("tid")).unionAll(edges.select(F.col("v").alias("tid")))
         degree = ends.groupBy("tid").agg(F.count(F.lit(1)).alias("n_links"))
         class_of = stored(components(edges).withColumnRenamed("node", "tid").join(degree, "tid"))
-        placed = texts.drop("buckets").join(class_of, "tid", "left").withColumn("component", F.coalesce("component", "tid"))
+        placed = texts.drop("buckets", "df").join(class_of, "tid", "left").withColumn("component", F.coalesce("component", "tid"))
         named = stored(placed.groupBy("component").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_rows")))
         classes = placed.join(named, "component").select(
             "_ll_key", "_ll_check", F.col("component").alias("_ll_component"), "class_id", "class_rows",
