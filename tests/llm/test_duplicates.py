@@ -261,6 +261,26 @@ def test_packed_numbers():
     assert len(near_dups.packed(np.array([1, 2, 3], dtype=np.uint64))) == 4
 
 
+def test_open_pairs_of_a_large_bucket_are_made_once(spark, monkeypatch):
+    """Texts meet in many buckets, and by many shingles that they share."""
+    made, pairs_of = [], near_dups.shared_pairs
+
+    def counted(*args):
+        pairs = pairs_of(*args)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(near_dups, "shared_pairs", counted)
+    stock, texts = prose(300, 62), [" ".join(prose(5, 5000 + k)) for k in range(2000)]
+    for k in range(60):
+        edits = random.Random(k).sample(range(300), 3)
+        texts.append(" ".join(f"changed{k}" if i in edits else word for i, word in enumerate(stock)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    near_dups.near_duplicates(docs).count()
+    print(f"rows and pairs: {made}")
+    assert made and made[0][1] > 20 and made[0][0] <= 1.2 * made[0][1]
+
+
 def test_near_duplicates_of_edge_rows(spark):
     rows = [(None, "x y z"), (None, "x y z"), (5, None), (5, ""), (7, "w " * 30000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

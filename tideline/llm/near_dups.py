@@ -25,6 +25,8 @@ SEED = 42
 CHUNK_BYTES, PART_SHINGLES, MIN_PART_BITS = 8_000_000, 2_000_000, 3
 # Open buckets of so many texts are compared pair by pair; larger ones by shingles that their texts share.
 FULL = 8
+# So many shingles in front of a shared one are looked at for one that is shared too.
+BEFORE = 6
 
 
 @dataclass(frozen=True)
@@ -296,12 +298,12 @@ def heaviest(members: DataFrame) -> DataFrame:
 
 
 def first_shingles(fetched: DataFrame, tids: DataFrame, table: Weights, shape: NearDups) -> DataFrame:
-    """tid, total, id and after: shingles of which two similar texts have one in common; stored.
+    """tid, total, id, after and before: shingles of which two similar texts have one in common; stored.
 
     Shingles are put in one order, those in fewest of these texts first. What two similar texts
     share weighs at least ``similarity`` of either, so the first shingle they share has that much
     of the weight at or after it, in both. ``total`` is the text's weight, ``after`` what of it
-    lies at or after the shingle.
+    lies at or after the shingle, ``before`` the few shingles in front of it.
     """
 
     rows_in_all = table.total
@@ -322,7 +324,8 @@ def first_shingles(fetched: DataFrame, tids: DataFrame, table: Weights, shape: N
     upto = Window.partitionBy("tid").orderBy("times", "id")
     placed = rows.join(times, "id").withColumn("after", F.col("total") - F.sum("w").over(upto) + F.col("w"))
     first = placed.filter((F.col("times") > 1) & (F.col("after") >= F.col("total") * shape.similarity - lost(F.col("total"))))
-    return stored(first.select("tid", "total", "id", "after"))
+    before = F.collect_list("id").over(Window.partitionBy("tid").orderBy("times", "id").rowsBetween(-BEFORE, -1))
+    return stored(first.select("tid", "total", "id", "after", before.alias("before")))
 
 
 def lost(total: Column) -> Column:
@@ -330,6 +333,31 @@ def lost(total: Column) -> Column:
     return total * 1e-9 + 1e-6
 
 
+def met(left: DataFrame, right: DataFrame, on: list[str], bound: Column, shape: NearDups) -> DataFrame:
+    """Pairs a, b of rows that agree in ``on``, one of them open, of different classes, that the center leaves possible."""
+    others = right.select(*on, *[F.col(c).alias(f"{c}2") for c in right.columns if c not in on])
+    both = (F.col("unlike") | F.col("unlike2")) & (F.col("tid") != F.col("tid2")) & (F.col("label") != F.col("label2"))
+    both = both & (F.abs(F.col("similarity") - F.col("similarity2")) <= 1 - shape.similarity + 1e-6) & bound
+    return left.join(others, on).filter(both).select(F.least("tid", "tid2").alias("a"), F.greatest("tid", "tid2").alias("b"))
+
+
+def shared_pairs(many: DataFrame, fetched: DataFrame, table: Weights, shape: NearDups) -> DataFrame:
+    """Pairs a, b of large buckets that share a shingle with enough weight at or after it; few of them twice."""
+    texts = stored(many.groupBy("tid").agg(F.sort_array(F.collect_list("bucket")).alias("buckets")))
+    marked = many.join(first_shingles(fetched, texts.select("tid"), table, shape).join(texts, "tid"), "tid")
+    # Similar texts share this much of the sum of their weights, all of it at or after the first
+    # shingle they share; in the lighter text that is twice as much of its own weight.
+    share = shape.similarity / (1 + shape.similarity)
+    leading = marked.filter(F.col("after") >= 2 * share * F.col("total") - lost(F.col("total")))
+    lighter = (F.col("total") < F.col("total2")) | ((F.col("total") == F.col("total2")) & (F.col("tid") < F.col("tid2")))
+    sums = F.col("total") + F.col("total2")
+    rest = F.least("after", "after2") >= share * sums - lost(sums)
+    # Of the buckets and shingles that two texts share the first makes the pair: an earlier one
+    # has as much weight after it, and what a bucket rules out holds for the pair.
+    once = (F.col("bucket") == F.array_min(F.array_intersect("buckets", "buckets2"))) & ~F.arrays_overlap("before", "before2")
+    return met(leading, marked, ["bucket", "id"], lighter & rest & once, shape)
+
+
 def open_pairs(around: DataFrame, fetched: DataFrame, table: Weights, shape: NearDups) -> DataFrame:
     """Pairs a, b of a bucket that could be similar, though neither center nor class joins them; stored.
 
@@ -345,26 +373,11 @@ def open_pairs(around: DataFrame, fetched: DataFrame, table: Weights, shape: Nea
     near = stored(near)
     sizes = near.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     near = stored(near.join(sizes, "bucket"))
-
-    def met(left: DataFrame, right: DataFrame, on: list[str], bound: Column) -> DataFrame:
-        others = right.select(*on, *[F.col(c).alias(f"{c}2") for c in right.columns if c not in on])
-        both = (F.col("unlike") | F.col("unlike2")) & (F.col("tid") != F.col("tid2")) & (F.col("label") != F.col("label2"))
-        both = both & (F.abs(F.col("similarity") - F.col("similarity2")) <= slack) & bound
-        return left.join(others, on).filter(both).select(F.least("tid", "tid2").alias("a"), F.greatest("tid", "tid2").alias("b"))
-
     few, many = near.filter(F.col("n") <= FULL).drop("n"), near.filter(F.col("n") > FULL).drop("n")
     # A pair of two open texts is made once.
-    pairs = met(few.filter("unlike"), few, ["bucket"], (F.col("tid") < F.col("tid2")) | ~F.col("unlike2"))
+    pairs = met(few.filter("unlike"), few, ["bucket"], (F.col("tid") < F.col("tid2")) | ~F.col("unlike2"), shape)
     if not many.isEmpty():
-        marked = many.join(first_shingles(fetched, stored(many.select("tid").distinct()), table, shape), "tid")
-        # Similar texts share this much of the sum of their weights, all of it at or after the first
-        # shingle they share; in the lighter text that is twice as much of its own weight.
-        share = shape.similarity / (1 + shape.similarity)
-        leading = marked.filter(F.col("after") >= 2 * share * F.col("total") - lost(F.col("total")))
-        lighter = (F.col("total") < F.col("total2")) | ((F.col("total") == F.col("total2")) & (F.col("tid") < F.col("tid2")))
-        sums = F.col("total") + F.col("total2")
-        rest = F.least("after", "after2") >= share * sums - lost(sums)
-        pairs = pairs.unionAll(met(leading, marked, ["bucket", "id"], lighter & rest))
+        pairs = pairs.unionAll(shared_pairs(many, fetched, table, shape))
     return stored(pairs.distinct())
 
 
