@@ -445,6 +445,50 @@ def test_matched_finds_every_stretch():
     assert passages.matched(x, y, passages.Passages()) == []
 
 
+def test_open_windows_are_paired_by_the_cheaper_way(spark, monkeypatch):
+    phrase = prose(40, 9)
+    texts = [prose(60, 2000 + k) + phrase + prose(60, 3000 + k) for k in range(24)]
+    for k in range(4):
+        tail = prose(15, 4000 + k)
+        texts += [prose(60, 5000 + 2 * k + j) + phrase + tail + prose(60, 6000 + 2 * k + j) for j in (0, 1)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    shingled, by_shingles = [], passages.window_shingles
+    monkeypatch.setattr(passages, "window_shingles", lambda *a: shingled.append(1) or by_shingles(*a))
+    direct = sorted(passages.mark_passages(docs).drop("text").collect(), key=str)
+    assert not shingled
+    assert all(any(r["doc_id"] == i and r["class_id"] for r in direct) for i in range(24, 32))
+    monkeypatch.setattr(passages, "DIRECT", 0.0)
+    assert sorted(passages.mark_passages(docs).drop("text").collect(), key=str) == direct and shingled
+
+
+def test_a_block_has_each_text_once(spark, monkeypatch):
+    ids = list(range(100, 160)) + [200, 201]
+    pairs = [(a, b) for a in ids for b in ids if a > b and (a < 200) == (b < 200)]
+    fetched = spark.createDataFrame([(i, "x" * 100) for i in ids], "tid long, text string")
+    grouped = spark.createDataFrame(pairs, "tid long, tid2 long")
+    for size, cells in ((1 << 20, 1), (5 * (passages.TEXT_BYTES + 100), 4)):
+        monkeypatch.setattr(passages, "CELL_BYTES", size)
+        blocks, sent = passages.in_blocks(grouped, fetched)
+        blocks, sent = blocks.collect(), [(r["block"], r["block2"], r["tid"]) for r in sent.collect()]
+        assert sorted((r["tid"], r["tid2"]) for r in blocks) == sorted(pairs)
+        assert len(set(sent)) == len(sent)
+        assert set(sent) == {(r["cell"], r["cell2"], r[x]) for r in blocks for x in ("tid", "tid2")}
+        assert len({r["cell"] for r in blocks}) >= cells
+    monkeypatch.setattr(passages, "CELL_BYTES", 1 << 20)
+    assert len(passages.in_blocks(grouped, fetched)[1].collect()) == len(ids)
+
+
+def test_fewest_different_shingles_of_a_text():
+    chance = np.random.default_rng(5)
+    for n, kinds in ((30, 8), (60, 40), (200, 1000), (9, 3)):
+        text = chance.integers(0, kinds, n).astype(np.uint64)
+        found = passages.Ordered(text, 10)
+        runs = [len(np.unique(text[k : k + 10])) for k in range(n - 9)]
+        assert found.unique == (len(np.unique(text)) == n)
+        assert not runs or 0 < found.least <= min(runs)
+    assert passages.Ordered(np.array([1, 2, 3, 4, 1], dtype=np.uint64), 4).least == 4
+
+
 # ---- benchmark items ----------------------------------------------------------------
 
 QUESTION = "A train leaves the old station with Maria on board and travels 120 km in 2 hours before Maria gets off at the river"
