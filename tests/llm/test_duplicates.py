@@ -445,6 +445,48 @@ def test_matched_finds_every_stretch():
     assert passages.matched(x, y, passages.Passages()) == []
 
 
+def test_stretches_side_by_side_are_matched_as_each_alone():
+    shape, chance, given, inside, others, stretch = passages.Passages(words=14), np.random.default_rng(6), [], [], [], []
+    texts: list = []
+    for kinds in (1 << 40, 1 << 40, 30, 6):
+        for _ in range(40):
+            parts = [chance.integers(0, kinds, n).astype(np.uint64) for n in chance.integers(1, 30, 9)]
+            texts.append([np.concatenate([parts[k] for k in chance.permutation(9)[: chance.integers(4, 9)]]) for _ in range(2)])
+    alone = [passages.matched(a, b, shape) for a, b in texts]
+    base = 0
+    for k, (a, b) in enumerate(texts):
+        first = {x: i for i, x in reversed(list(enumerate(b.tolist())))}
+        at = [i for i, x in enumerate(a.tolist()) if x in first]
+        inside, others, stretch = inside + at, others + [first[x] for x in a[at].tolist()], stretch + [k] * len(at)
+        unique = len(set(a.tolist())) == len(a) and len(set(b.tolist())) == len(b)
+        given.append((1, unique, 0, len(a), 0, base, base + len(a)))
+        base += len(a) + len(b)
+    facts = [np.array(x) for x in zip(*given)]
+    runs = passages.runs(np.array(inside), np.array(others), np.array(stretch), *facts, np.concatenate([x for t in texts for x in t]))
+    found: dict = {}
+    for k, *one in zip(*[x.tolist() for x in passages.matched_runs(runs, shape)]):
+        found.setdefault(k, []).append(tuple(one))
+    assert [sorted(found.get(k, [])) for k in range(len(texts))] == alone and sum(map(bool, alone)) > 40
+    for (a, b), ends in zip(texts, alone):
+        for start, stop, start2, stop2 in ends:
+            x, y = set(a[start : stop + 1].tolist()), set(b[start2 : stop2 + 1].tolist())
+            assert len(x & y) >= 0.8 * len(x | y) - 1e-9 and min(stop - start, stop2 - start2) + 1 >= shape.least
+
+
+def test_windows_are_made_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+    plain = passages.compact_windows
+
+    def counted(*given):
+        made.add(1)
+        return plain(*given)
+
+    docs = spark.createDataFrame([(k, " ".join(prose(60, 70 + k) + prose(60, 9))) for k in range(4)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(passages, "compact_windows", counted)
+    assert len({r["class_id"] for r in passages.mark_passages(docs).collect()}) == 1
+    assert made.value == passages.Passages().hashes
+
+
 def test_open_windows_are_paired_by_the_cheaper_way(spark, monkeypatch):
     phrase = prose(40, 9)
     texts = [prose(60, 2000 + k) + phrase + prose(60, 3000 + k) for k in range(24)]
