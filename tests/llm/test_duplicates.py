@@ -473,6 +473,26 @@ def test_stretches_side_by_side_are_matched_as_each_alone():
             assert len(x & y) >= 0.8 * len(x | y) - 1e-9 and min(stop - start, stop2 - start2) + 1 >= shape.least
 
 
+def test_what_is_compared_at_once_is_bounded(spark, monkeypatch):
+    sizes = np.array([5, 900_000, 0, 400_000, 400_000, 7] + [100] * 30_000)
+    cut = passages.pieces(sizes)
+    assert [k for x in cut for k in range(*x)] == list(range(len(sizes))) and passages.pieces(sizes[:0]) == []
+    assert all(stop - start == 1 or sizes[start : stop - 1].sum() <= 500_000 + sizes[start] for start, stop in cut)
+    texts = [prose(30, 300 + k) + prose(60, 9)[k % 3 :] + prose(50, 8) + prose(20, 400 + k) for k in range(12)]
+    docs = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(texts)], "doc_id long, text string")
+    whole = sorted(passages.mark_passages(docs).drop("text").collect(), key=str)
+    verify = passages.verify
+    shape = passages.Passages()
+    found = passages.windows(docs, "text", shape)
+    fetched = docs.select(passages.text_key("text")[0].alias("tid"), "text")
+    other = found.select("token", *[passages.F.col(c).alias(f"{c}2") for c in ("tid", "place")])
+    pairs = passages.stored(found.join(other, "token").filter("tid > tid2").select(*passages.PAIR))
+    at_once = sorted(verify(pairs, fetched, shape).select(*passages.FOUND).distinct().collect())
+    monkeypatch.setattr(passages, "SHINGLES_AT_ONCE", 100)
+    assert sorted(verify(pairs, fetched, shape).select(*passages.FOUND).distinct().collect()) == at_once and len(at_once) > 20
+    assert len({r["class_id"] for r in whole}) == 1
+
+
 def test_windows_are_made_once(spark, monkeypatch):
     made = spark.sparkContext.accumulator(0)
     plain = passages.compact_windows
