@@ -409,6 +409,81 @@ def test_pairs_beside_a_frequent_phrase(spark):
     assert all(found[i] == {None} for i in range(120)) and len({min(found[i]) for i, _ in pairs}) == len(pairs)
 
 
+def test_every_place_of_a_passage(spark):
+    rows = []
+    for k in range(12):
+        passage, start = prose(60, 700 + k), k % 3 * 20
+        twice = prose(30 + start, 800 + k) + passage + prose(50, 820 + k) + passage + prose(30, 840 + k) + passage + prose(9, 860 + k)
+        rows += [(2 * k, " ".join(twice), [30 + start, 140 + start, 230 + start])]
+        rows += [(2 * k + 1, " ".join(prose(25, 880 + k) + passage + prose(30, 900 + k)), [25])]
+    found: dict = {}
+    for r in passages.mark_passages(spark.createDataFrame(rows, "doc_id long, text string, at array<int>")).collect():
+        found.setdefault(r["doc_id"], []).append(r)
+    for k, _, at in rows:
+        assert len(found[k]) == len(at) and {r["class_id"] for r in found[k]} == {found[k // 2 * 2][0]["class_id"]}
+        starts = sorted(r["passage_start"] for r in found[k])
+        assert all(abs(x - y) <= 3 for x, y in zip(starts, at)) and all(abs(r["passage_stop"] - r["passage_start"] - 60) <= 3 for r in found[k])
+
+
+def test_a_line_that_stands_many_times(spark):
+    line = prose(12, 33)
+    times = [30, 60, 25, 90]
+    rows = [(k, " ".join(prose(40, 610 + k) + line * n + prose(40, 650 + k))) for k, n in enumerate(times)]
+    found = passages.mark_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(times) and len({r["class_id"] for r in found}) == 1
+    for r in found:
+        assert abs(r["passage_start"] - 40) <= 3 and abs(r["passage_stop"] - 40 - 12 * times[r["doc_id"]]) <= 12
+
+
+def test_a_passage_behind_two_million_words(spark):
+    words = [format(x, "x") for x in np.random.default_rng(8).integers(1 << 16, 1 << 20, 2_300_000).tolist()]
+    passage = prose(80, 55)
+    rows = [(0, " ".join(words + passage)), (1, " ".join(prose(100, 56) + passage)), (2, " ".join(prose(90, 57)))]
+    found = {r["doc_id"]: r for r in passages.mark_passages(spark.createDataFrame(rows, "doc_id long, text string")).drop("text").collect()}
+    assert found[0]["class_id"] == found[1]["class_id"] and found[2]["class_id"] is None
+    assert (found[0]["passage_start"], found[0]["passage_stop"]) == (2_300_000, 2_300_080)
+    assert (found[1]["passage_start"], found[1]["passage_stop"]) == (100, 180)
+
+
+def test_packed_windows_are_never_narrower(spark):
+    chance = np.random.default_rng(2)
+    center = chance.integers(0, (1 << 31) - 1, 4000)
+    reach = [chance.integers(0, 1 << 30, 4000) >> chance.integers(0, 30, 4000) for _ in range(2)]
+    left, right = np.maximum(center - reach[0], 0), center + reach[1]
+    place = passages.packed(left, center, right)
+    low, middle, high = passages.opened(place)
+    assert (middle == center).all() and (low <= left).all() and (high >= right).all() and (place >= 0).all()
+    assert (low == left)[center - left < 4096].all() and (high == right)[right - center < 4096].all()
+    assert ((left - low) * 2000 <= center - left).all() and ((high - right) * 2000 <= right - center).all()
+    rows = spark.createDataFrame([(x,) for x in place.tolist()], "place long").select("place", *passages.unpacked("place")).collect()
+    assert {tuple(r) for r in rows} == set(zip(place.tolist(), low.tolist(), middle.tolist(), high.tolist()))
+
+
+def test_windows_that_agree_against_brute_force():
+    chance, shape = np.random.default_rng(7), passages.Passages()
+    for n, length in ((60, 300), (80, 150), (3, 90)):
+        of, center = chance.integers(0, 3, n), chance.integers(0, length, n)
+        left, right = center - chance.integers(0, 60, n), center + chance.integers(0, 60, n)
+        left, token = np.maximum(left, 0), chance.integers(0, 6, n)
+        bucket, text, place, more, gap = passages.agreed(of, token, passages.packed(left, center, right), shape)
+        want = []
+        for i in range(n):
+            for j in range(n):
+                lo, hi = max(left[i], left[j]), min(right[i], right[j])
+                near = abs(center[i] // shape.least - center[j] // shape.least) <= 1
+                if of[i] == of[j] and token[i] < token[j] and near and hi - lo + 1 >= shape.least and lo <= center[i] <= hi and lo <= center[j] <= hi:
+                    want.append((of[i], (token[i], token[j], center[j] - center[i]), (lo, center[i], hi)))
+        opened = list(zip(*[x.tolist() for x in passages.opened(place)]))
+        assert sorted(zip(text.tolist(), opened)) == sorted((x, z) for x, _, z in want)
+        assert len(set(bucket.tolist())) == len({y for _, y, _ in want})
+        seen: dict = {}
+        for b, t, w, m, g in zip(bucket.tolist(), text.tolist(), opened, more.tolist(), gap.tolist()):
+            before = seen.get((b, t))
+            assert m == (before is not None)
+            assert g == (w[1] - before[1] if m and before[0] <= w[0] and before[2] >= w[2] else 0)
+            seen[b, t] = w
+
+
 def test_windows_of_fewest_shingles():
     chance = np.random.default_rng(3)
     for n in (3, 10, 31):
