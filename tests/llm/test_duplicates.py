@@ -548,6 +548,57 @@ def test_stretches_side_by_side_are_matched_as_each_alone():
             assert len(x & y) >= 0.8 * len(x | y) - 1e-9 and min(stop - start, stop2 - start2) + 1 >= shape.least
 
 
+def test_stretches_left_are_matched_beside_new_ones():
+    shape, chance = passages.Passages(words=14), np.random.default_rng(12)
+    texts: list = []
+    for kinds in (1 << 40, 30):
+        for _ in range(30):
+            parts = [chance.integers(0, kinds, n).astype(np.uint64) for n in chance.integers(1, 30, 9)]
+            texts.append([np.concatenate([parts[k] for k in chance.permutation(9)[: chance.integers(4, 9)]]) for _ in range(2)])
+    whole = np.concatenate([x for t in texts for x in t])
+    bases = np.cumsum([0] + [len(x) for t in texts for x in t]).tolist()
+
+    def runs_of(numbers):
+        given, inside, others, stretch = [], [], [], []
+        for n, k in enumerate(numbers):
+            a, b = texts[k]
+            first = {x: i for i, x in reversed(list(enumerate(b.tolist())))}
+            at = [i for i, x in enumerate(a.tolist()) if x in first]
+            inside, others, stretch = inside + at, others + [first[x] for x in a[at].tolist()], stretch + [n] * len(at)
+            unique = len(set(a.tolist())) == len(a) and len(set(b.tolist())) == len(b)
+            given.append((1, unique, 0, len(a), 0, bases[2 * k], bases[2 * k + 1]))
+        return passages.runs(np.array(inside), np.array(others), np.array(stretch), *[np.array(x) for x in zip(*given)], whole)
+
+    numbers = [k for k, (a, b) in enumerate(texts) if set(a.tolist()) & set(b.tolist())]
+    found: dict = {}
+    r, of = runs_of(numbers[:20]), np.array(numbers[:20])
+    parts, carried = passages.whole_parts(r), 0
+    for more in (numbers[20:40], numbers[40:], None):
+        made, parts = passages.matched_parts(r, parts, shape, 15 if more else 1)
+        for k, *one in zip(of[made[0]].tolist(), *[x.tolist() for x in made[1:]]):
+            found.setdefault(k, []).append(tuple(one))
+        if more:
+            carried += len(parts[0])
+            r, parts, kept = passages.both_parts(r, parts, runs_of(more))
+            of = np.concatenate([of[kept], more])
+    assert carried and not len(parts[0])
+    assert all(sorted(found.get(k, [])) == passages.matched(*texts[k], shape) for k in numbers) and len(found) > 20
+
+
+def test_a_partner_as_far_off_as_the_windows(spark):
+    line = prose(7, 41)
+    rows = [(k, " ".join(prose(30, 420 + k) + line * 20 + prose(30, 440 + k))) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fetched = docs.select(passages.text_key("text")[0].alias("tid"), "text")
+    tids = [r["tid"] for r in fetched.select("tid").collect()]
+    # The line's third to seventeenth place in one text beside the first to fifteenth in another, and twelve places of the same text.
+    places = [passages.packed(*[np.array([x]) for x in window]).tolist()[0] for window in ((44, 50, 140), (30, 36, 126), (30, 36, 113))]
+    given = [(tids[0], places[0], tids[1], places[1]), (tids[0], places[0], tids[2], places[2])]
+    pairs = spark.createDataFrame(given, "tid long, place long, tid2 long, place2 long")
+    found = {(r["tid2"], r["start"], r["stop"], r["start2"], r["stop2"]) for r in passages.verify(pairs, fetched, passages.Passages()).collect()}
+    assert found == {(tids[1], 44, 140, 30, 126), (tids[2], 44, 127, 30, 113)}
+
+
 def test_what_is_compared_at_once_is_bounded(spark, monkeypatch):
     sizes = np.array([5, 900_000, 0, 400_000, 400_000, 7] + [100] * 30_000)
     cut = passages.pieces(sizes)
